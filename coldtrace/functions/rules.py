@@ -23,12 +23,10 @@ COMPARISONS = {
 }
 
 
-def sensor_value(item_id: Column) -> Column:
+def sensor_value(item_column: str) -> Column:
     """The sensor column a measurement item id stands for, NULL for any other id."""
-    chosen = F.when(item_id == 1, F.col(SENSORS[0]))
-    for number, name in enumerate(SENSORS[1:], start=2):
-        chosen = chosen.when(item_id == number, F.col(name))
-    return chosen
+    cases = " ".join(f"WHEN {number} THEN {name}" for number, name in enumerate(SENSORS, start=1))
+    return F.expr(f"CASE {item_column} {cases} END")
 
 
 def threshold_exceeded(value: Column, item_id: Column, operator: Column, threshold: Column) -> Column:

@@ -47,16 +47,16 @@ def evaluate(
     """
     item = F.col("alert_conditions_measurement_item_id")
     joined = spread_join(rows, rules, ["device_id"], [seq], how, hot)
-    judged = joined.withColumn("current_sensor_value", R.sensor_value(item))
-    return judged.withColumn(
-        "threshold_exceeded",
-        R.threshold_exceeded(
-            F.col("current_sensor_value"),
-            item,
-            F.col("alert_conditions_operator"),
-            F.col("alert_conditions_threshold"),
-        ),
-    ).drop(*SENSORS)
+    judged = joined.withColumn("current_sensor_value", R.sensor_value("alert_conditions_measurement_item_id")).drop(*SENSORS)
+    exceeded = R.threshold_exceeded(
+        F.col("current_sensor_value"),
+        item,
+        F.col("alert_conditions_operator"),
+        F.col("alert_conditions_threshold"),
+    )
+    # Unpacked from a one-element array, so that filters on the outcome stay above and the choice
+    # among the sensors is made once per row.
+    return judged.select("*", F.inline(F.array(F.struct(exceeded.alias("threshold_exceeded")))))
 
 
 def with_state(

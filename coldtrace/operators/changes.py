@@ -7,7 +7,8 @@ gives the same rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,15 +30,11 @@ FIRING_DETAIL = (
 )
 
 
-@dataclass
-class Changes:
-    """Change sets of one batch, all lazy."""
+Hold = Callable[[DataFrame], DataFrame]
 
-    state: DataFrame
-    history: DataFrame
-    closings: DataFrame
-    firings: DataFrame
-    late_rows: DataFrame
+
+def no_hold(rows: DataFrame) -> DataFrame:
+    return rows
 
 
 def is_late() -> Column:
@@ -261,21 +258,44 @@ def status_rows(fired: DataFrame, status: DataFrame, batch_time: Column) -> Data
     )
 
 
-def apply_batch(
-    with_state: DataFrame,
-    state: DataFrame,
-    batch_time: Column,
-    null_policy: str = "keep",
-    seq: str = "event_id",
-) -> Changes:
-    """Change sets of a batch judged as a whole against the state before it."""
-    rows = considered(with_state, null_policy)
-    keys = per_alert(rows, seq)
-    fired = firings(keys)
-    return Changes(
-        state=changed_state(keys, state, batch_time),
-        history=history_rows(fired, batch_time),
-        closings=closing_rows(recoveries(rows, keys), batch_time),
-        firings=fired,
-        late_rows=with_state.filter(F.col("alert_id").isNotNull() & is_late()),
-    )
+class BatchChanges:
+    """Change sets of a batch judged as a whole against the state before it.
+
+    Each set is built when asked for. `hold` may keep the frames several sets share.
+    """
+
+    def __init__(
+        self,
+        with_state: DataFrame,
+        state: DataFrame,
+        batch_time: Column,
+        null_policy: str = "keep",
+        seq: str = "event_id",
+        hold: Hold = no_hold,
+    ):
+        self._with_state = with_state
+        self._state, self._batch_time = state, batch_time
+        self._rows = considered(with_state, null_policy)
+        self._keys = hold(per_alert(self._rows, seq))
+
+    @cached_property
+    def firings(self) -> DataFrame:
+        return firings(self._keys)
+
+    @cached_property
+    def state(self) -> DataFrame:
+        return changed_state(self._keys, self._state, self._batch_time)
+
+    @cached_property
+    def recoveries(self) -> DataFrame:
+        return recoveries(self._rows, self._keys)
+
+    @cached_property
+    def history(self) -> DataFrame:
+        """Opening and closing rows of the firing history."""
+        opened = history_rows(self.firings, self._batch_time)
+        return opened.unionByName(closing_rows(self.recoveries, self._batch_time))
+
+    @cached_property
+    def late_rows(self) -> DataFrame:
+        return self._with_state.filter(F.col("alert_id").isNotNull() & is_late())

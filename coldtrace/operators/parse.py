@@ -49,7 +49,7 @@ def decode(
         rows = rows.withColumn("raw_json", json_text).withColumn(
             "parsed", payload.parse_json_payload(F.col("raw_json"))
         )
-        sensors = [F.col(f"parsed.{name}").alias(name) for name in SENSORS]
+        sensors = [F.expr(f"parsed.{name} AS {name}") for name in SENSORS]
         event_text, event = F.col("parsed.event_timestamp"), payload.event_time(
             F.col("parsed.event_timestamp")
         )
@@ -61,7 +61,7 @@ def decode(
             F.struct(
                 device.alias("device_id"),
                 payload.iso_text(record_time).alias("event_timestamp"),
-                *[F.col(f"record.{name}").alias(name) for name in SENSORS],
+                *[F.expr(f"record.{name} AS {name}") for name in SENSORS],
             )
         )
         rows = rows.withColumn(
@@ -70,7 +70,7 @@ def decode(
             "parsed", F.when(~framed, payload.parse_json_payload(F.col("raw_json")))
         )
         sensors = [
-            F.when(framed, F.col(f"record.{name}")).otherwise(F.col(f"parsed.{name}")).alias(name)
+            F.expr(f"CASE WHEN record IS NOT NULL THEN record.{name} ELSE parsed.{name} END AS {name}")
             for name in SENSORS
         ]
         json_time = F.col("parsed.event_timestamp")

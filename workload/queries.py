@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from coldtrace.functions import frames, payload
 from coldtrace.operators import alerts, changes, correlate, enrich, numbering, parse, replay
-from coldtrace.operators import replay_changes
 from coldtrace.operators.hot import hot_keys
 from coldtrace.plans import runs, traffic, validation, verdicts
 from coldtrace.schemas import SENSORS
@@ -55,8 +54,8 @@ def _with_state(v: Views) -> DataFrame:
     return alerts.with_state(_judged(v, "inner"), v.state0)
 
 
-def _changes(v: Views) -> changes.Changes:
-    return changes.apply_batch(_with_state(v), v.state0, _now())
+def _changes(v: Views) -> changes.BatchChanges:
+    return changes.BatchChanges(_with_state(v), v.state0, _now())
 
 
 # -- messages and parsing ----------------------------------------------------------------------
@@ -235,8 +234,7 @@ def q_alert_history(v: Views) -> DataFrame:
 
 @query
 def q_alert_recovery(v: Views) -> DataFrame:
-    rows = changes.considered(_with_state(v))
-    return changes.recoveries(rows, changes.per_alert(rows)).select(
+    return _changes(v).recoveries.select(
         "device_id", "alert_id", "recovered_event_time"
     )
 
@@ -634,11 +632,15 @@ def q_generate_messages(v: Views) -> DataFrame:
 
 
 def run_stream(v: Views, mode: str, files: int = 4) -> Pipeline:
-    """Telemetry messages written to a folder in order of time and streamed through the pipeline."""
+    """Telemetry messages landed file by file in order and streamed through the pipeline."""
     root = f"{scratch_root(v.spark)}/stream-{uuid.uuid4().hex}"
     landing = f"{root}/landing"
-    rows = v.raw_messages.repartitionByRange(files, "timestamp").sortWithinPartitions("timestamp")
-    rows.write.parquet(landing)
+    last = v.events.agg(F.max("event_id")).first()[0]
+    step = last // files + 1
+    arrived = materialise(v.raw_messages)
+    for number in range(files):
+        part = arrived.filter(F.col("offset").between(number * step, (number + 1) * step - 1))
+        part.coalesce(1).write.mode("append").parquet(landing)
     masters = Masters(
         devices=lambda: v.device_master,
         organizations=lambda: v.organization_master,
