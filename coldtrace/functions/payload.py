@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coldtrace.schemas import SENSOR_FIELDS, SENSOR_PAYLOAD, SENSORS
+from coldtrace.schemas import SENSOR_FIELDS, SENSORS
 
 # Little-endian INT32 device, INT64 time, 22 FLOAT64 sensors; 188 bytes a record.
 BINARY_RECORD = np.dtype(
@@ -22,6 +22,13 @@ BINARY_SIZE = 188
 JSON_OBJECT = r"^\{.*\}"
 TOPIC_NUMBER = r"(\d+)/messages"
 
+JSON_PAYLOAD = T.StructType(
+    [
+        T.StructField("device_id", T.StringType()),
+        T.StructField("event_timestamp", T.StringType()),
+        *SENSOR_FIELDS,
+    ]
+)
 BINARY_STRUCT = T.StructType(
     [
         T.StructField("device_id", T.IntegerType()),
@@ -31,15 +38,16 @@ BINARY_STRUCT = T.StructType(
 )
 
 
+def json_path(value: Column, path: str) -> Column:
+    """Text at a path of a JSON payload given in bytes, NULL where there is none."""
+    return F.get_json_object(value.cast("string"), path)
+
+
 def device_id(
-    topic: Column, key: Column, text: Column, precedence: Sequence[str] = ("json", "key", "topic")
+    topic: Column, key: Column, json_id: Column, precedence: Sequence[str] = ("json", "key", "topic")
 ) -> Column:
     """Device id from the JSON field, the message key or the topic, first usable one wins."""
-    candidates = {
-        "json": F.get_json_object(text, "$.device_id"),
-        "key": key,
-        "topic": F.regexp_extract(topic, TOPIC_NUMBER, 1),
-    }
+    candidates = {"json": json_id, "key": key, "topic": F.regexp_extract(topic, TOPIC_NUMBER, 1)}
     return F.coalesce(*[candidates[name].try_cast("int") for name in precedence])
 
 
@@ -80,17 +88,17 @@ def iso_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def with_device_id(text: Column, device: Column) -> Column:
+def parse_json_payload(text: Column) -> Column:
+    """Declared fields of a JSON text, the device id as it is written there."""
+    return F.from_json(text, JSON_PAYLOAD)
+
+
+def with_device_id(text: Column, json_id: Column, device: Column) -> Column:
     """JSON text carrying the device id: added in front when the object has none."""
     rest = F.ltrim(F.substr(text, F.lit(2)))
     separator = F.when(rest.startswith("}"), F.lit("")).otherwise(F.lit(","))
     added = F.concat(F.lit('{"device_id":'), device.cast("string"), separator, rest)
-    opens = text.startswith("{") & F.get_json_object(text, "$.device_id").isNull()
-    return F.when(opens, added).otherwise(text)
-
-
-def parse_json_payload(text: Column) -> Column:
-    return F.from_json(text, SENSOR_PAYLOAD)
+    return F.when(json_id.isNull() & text.startswith("{"), added).otherwise(text)
 
 
 def event_time(text: Column) -> Column:

@@ -36,26 +36,24 @@ def decode(
 ) -> DataFrame:
     """Every message with its device id, canonical JSON and parsed fields, nothing dropped yet.
 
-    With `binary=False` (a JSON-only topic) the plan holds no Python step.
+    The text is parsed once, and that pass yields the device id as well. With `binary=False`
+    (a JSON-only topic) the plan holds no Python step.
     """
-    text = F.col("value").cast("string")
-    rows = select_message(raw).withColumn(
-        "extracted_device_id",
-        payload.device_id(F.col("topic"), F.col("message_key"), text, precedence),
-    )
-    device = F.col("extracted_device_id")
-    json_text = F.when(device.isNotNull(), payload.with_device_id(text, device))
-    if not binary:
-        rows = rows.withColumn("raw_json", json_text).withColumn(
-            "parsed", payload.parse_json_payload(F.col("raw_json"))
-        )
-        sensors = [F.expr(f"parsed.{name} AS {name}") for name in SENSORS]
-        event_text, event = F.col("parsed.event_timestamp"), payload.event_time(
-            F.col("parsed.event_timestamp")
-        )
-    else:
+    text, device = F.col("text"), F.col("extracted_device_id")
+    json_id, json_time = F.col("parsed.device_id"), F.col("parsed.event_timestamp")
+    rows = select_message(raw).withColumn("text", F.col("value").cast("string"))
+    if binary:
         rows = rows.withColumn("record", payload.decode_binary(F.col("value")))
         framed = F.col("record").isNotNull()
+        parsed = F.when(~framed, payload.parse_json_payload(text))
+    else:
+        parsed = payload.parse_json_payload(text)
+    rows = rows.withColumn("parsed", parsed).withColumn(
+        "extracted_device_id",
+        payload.device_id(F.col("topic"), F.col("message_key"), json_id, precedence),
+    )
+    json_text = F.when(device.isNotNull(), payload.with_device_id(text, json_id, device))
+    if binary:
         record_time = payload.epoch_to_timestamp(F.col("record.event_time"), time_unit)
         record_json = F.to_json(
             F.struct(
@@ -64,21 +62,20 @@ def decode(
                 *[F.expr(f"record.{name} AS {name}") for name in SENSORS],
             )
         )
-        rows = rows.withColumn(
-            "raw_json", F.when(framed & device.isNotNull(), record_json).otherwise(json_text)
-        ).withColumn(
-            "parsed", F.when(~framed, payload.parse_json_payload(F.col("raw_json")))
-        )
+        raw_json = F.when(framed & device.isNotNull(), record_json).otherwise(json_text)
         sensors = [
             F.expr(f"CASE WHEN record IS NOT NULL THEN record.{name} ELSE parsed.{name} END AS {name}")
             for name in SENSORS
         ]
-        json_time = F.col("parsed.event_timestamp")
         event_text = F.when(framed, payload.iso_text(record_time)).otherwise(json_time)
         event = F.when(framed, record_time).otherwise(payload.event_time(json_time))
+    else:
+        raw_json = json_text
+        sensors = [F.expr(f"parsed.{name} AS {name}") for name in SENSORS]
+        event_text, event = json_time, payload.event_time(json_time)
     fields = F.struct(
         device.alias("device_id"),
-        "raw_json",
+        raw_json.alias("raw_json"),
         event_text.alias("event_text"),
         event.alias("event_timestamp"),
         *sensors,

@@ -98,13 +98,17 @@ def request_stats(requests: DataFrame, with_total: bool = False) -> DataFrame:
         F.min("min_time").alias("min_response_time"),
         F.max("max_time").alias("max_response_time"),
         F.sum("total_length").cast("double").alias("total_length"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
         *[
             F.max(F.when(F.col("below") <= limit, F.col("rounded"))).alias(name)
             for name, limit in share.items()
         ],
     )
-    span = F.unix_micros(F.max("last_at")) - F.unix_micros(F.min("first_at"))
-    seconds = folded.agg(span / 1_000_000).scalar()
+    # The run is as long as from its first to its last request; by now there is one row per group.
+    run = W.partitionBy(F.lit(0))
+    span = F.unix_micros(F.max("last_at").over(run)) - F.unix_micros(F.min("first_at").over(run))
+    seconds = span / 1_000_000
     return stats.withColumn("run_seconds", seconds).select(
         "type",
         "name",

@@ -47,14 +47,6 @@ MESSAGE = T.StructType(
     ]
 )
 
-SENSOR_PAYLOAD = T.StructType(
-    [
-        T.StructField("device_id", T.IntegerType()),
-        T.StructField("event_timestamp", T.StringType()),
-        *SENSOR_FIELDS,
-    ]
-)
-
 ALERT_STATE = T.StructType(
     [
         T.StructField("device_id", T.IntegerType()),

@@ -308,6 +308,12 @@ _SILVER = f"""SELECT p.device_id, organization_id, event_timestamp,
 _QUERIES = {
     "q_extract_device": """SELECT event_id, CASE WHEN NOT no_device THEN device_id END AS device_id
         FROM flagged""",
+    "q_json_path": """SELECT event_id,
+            CASE WHEN NOT (bad OR plain OR framed OR no_device) THEN device_id END AS json_id,
+            CASE WHEN NOT (bad OR plain OR framed) AND event_id % 79 <> 0
+                THEN event_timestamp END AS json_time,
+            CASE WHEN NOT (bad OR plain OR framed) THEN external_temp END AS json_temp
+        FROM flagged""",
     "q_parse": "SELECT * FROM parsed",
     "q_funnel": """SELECT CAST(step AS INTEGER) AS step, stage, rows FROM (
             SELECT 0 AS step, 'raw' AS stage, count(*) AS rows FROM flagged

@@ -66,6 +66,20 @@ def q_extract_device(v: Views) -> DataFrame:
     return _decoded(v).select(F.col("offset").alias("event_id"), "device_id")
 
 
+@query
+def q_json_path(v: Views) -> DataFrame:
+    fields = {"json_id": "$.device_id", "json_time": "$.event_timestamp", "json_temp": "$.external_temp"}
+    return v.raw_messages.select(
+        F.col("offset").alias("event_id"),
+        *[payload.json_path(F.col("value"), path).alias(name) for name, path in fields.items()],
+    ).select(
+        "event_id",
+        F.col("json_id").try_cast("int").alias("json_id"),
+        payload.event_time(F.col("json_time")).alias("json_time"),
+        F.col("json_temp").try_cast("double").alias("json_temp"),
+    )
+
+
 @query
 def q_parse(v: Views) -> DataFrame:
     return parse.accepted(_decoded(v)).select(
@@ -631,6 +645,16 @@ def q_generate_messages(v: Views) -> DataFrame:
 # -- streaming ---------------------------------------------------------------------------------
 
 
+def masters_of(v: Views) -> Masters:
+    return Masters(
+        devices=lambda: v.device_master,
+        organizations=lambda: v.organization_master,
+        alert_settings=lambda: v.alert_setting,
+        mail_settings=lambda: v.mail_setting,
+        measurement_items=lambda: v.measurement_item,
+    )
+
+
 def run_stream(v: Views, mode: str, files: int = 4) -> Pipeline:
     """Telemetry messages landed file by file in order and streamed through the pipeline."""
     root = f"{scratch_root(v.spark)}/stream-{uuid.uuid4().hex}"
@@ -641,20 +665,13 @@ def run_stream(v: Views, mode: str, files: int = 4) -> Pipeline:
     for number in range(files):
         part = arrived.filter(F.col("offset").between(number * step, (number + 1) * step - 1))
         part.coalesce(1).write.mode("append").parquet(landing)
-    masters = Masters(
-        devices=lambda: v.device_master,
-        organizations=lambda: v.organization_master,
-        alert_settings=lambda: v.alert_setting,
-        mail_settings=lambda: v.mail_setting,
-        measurement_items=lambda: v.measurement_item,
-    )
-    pipeline = _MicrosPipeline(v.spark, f"{root}/tables", masters, mode=mode)
+    pipeline = MicrosPipeline(v.spark, f"{root}/tables", masters_of(v), mode=mode)
     stream = messages.archive_stream(v.spark, landing, max_files=1)
     pipeline.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
     return pipeline
 
 
-class _MicrosPipeline(Pipeline):
+class MicrosPipeline(Pipeline):
     """The test messages hold binary times in microseconds."""
 
     def transform(self, raw: DataFrame) -> DataFrame:
