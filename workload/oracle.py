@@ -544,6 +544,9 @@ _QUERIES = {
     "q_generate_messages": """SELECT device_id, CAST(2 AS BIGINT) AS messages,
             CAST(1024 AS INTEGER) AS min_bytes, CAST(1024 AS INTEGER) AS max_bytes
         FROM device_master""",
+    "q_stream_minutes": """SELECT date_trunc('minute', event_timestamp) AS minute,
+        count(*) AS records FROM telemetry GROUP BY 1""",
+    "q_stream_correlate": "SELECT * FROM correlated",
     "q_stream_silver": _SILVER
     + """ FROM parsed p JOIN device_master d ON p.device_id = d.device_id
         WHERE organization_id IN (SELECT organization_id FROM organization_master)""",

@@ -16,7 +16,8 @@ from coldtrace.schemas import SENSORS
 from coldtrace.session import materialise, scratch_root
 from coldtrace.sources import generator, loadtest, messages
 from coldtrace.streaming.pipeline import Masters, Pipeline
-from coldtrace.streaming.tables import current_history
+from coldtrace.streaming.correlation import CorrelationStream
+from coldtrace.streaming.tables import BatchTable, current_history
 from workload.views import AS_OF, BATCH_TIME, Views, plain_times
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -655,18 +656,29 @@ def masters_of(v: Views) -> Masters:
     )
 
 
+def land_in_order(rows: DataFrame, order: str, path: str, files: int) -> DataFrame:
+    """Rows written as `files` files, one after the other along `order`; returns the stream of them."""
+    spark = rows.sparkSession
+    arrived = materialise(rows)
+    shares = [n / files for n in range(1, files)]
+    number = F.col(order).cast("double")
+    cuts = arrived.agg(F.percentile_approx(number, shares, 10000)).first()[0]
+    lower = None
+    for upper in [*cuts, None]:
+        part = arrived
+        part = part if lower is None else part.filter(number > lower)
+        part = part if upper is None else part.filter(number <= upper)
+        part.coalesce(1).write.mode("append").parquet(path)
+        lower = upper
+    reader = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(path)
+
+
 def run_stream(v: Views, mode: str, files: int = 4) -> Pipeline:
     """Telemetry messages landed file by file in order and streamed through the pipeline."""
     root = f"{scratch_root(v.spark)}/stream-{uuid.uuid4().hex}"
-    landing = f"{root}/landing"
-    last = v.events.agg(F.max("event_id")).first()[0]
-    step = last // files + 1
-    arrived = materialise(v.raw_messages)
-    for number in range(files):
-        part = arrived.filter(F.col("offset").between(number * step, (number + 1) * step - 1))
-        part.coalesce(1).write.mode("append").parquet(landing)
+    stream = land_in_order(v.raw_messages, "offset", f"{root}/landing", files)
     pipeline = MicrosPipeline(v.spark, f"{root}/tables", masters_of(v), mode=mode)
-    stream = messages.archive_stream(v.spark, landing, max_files=1)
     pipeline.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
     return pipeline
 
@@ -697,3 +709,28 @@ def q_stream_alerts(v: Views) -> DataFrame:
         "alert_status_id",
         "alert_value",
     )
+
+
+@query
+def q_stream_minutes(v: Views) -> DataFrame:
+    """Tumbling minute windows kept up to date batch by batch: the last count of each minute."""
+    root = f"{scratch_root(v.spark)}/minutes-{uuid.uuid4().hex}"
+    rows = v.telemetry.select("event_id", "device_id", "event_timestamp")
+    stream = land_in_order(rows, "event_id", f"{root}/landing", 3)
+    table = BatchTable(f"{root}/counts")
+    writer = validation.per_minute_stream(stream).writeStream.outputMode("update")
+    writer = writer.foreachBatch(lambda frame, batch: table.write(frame, 0, batch))
+    writer = writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    writer.start().awaitTermination()
+    return table.read(v.spark).groupBy("minute").agg(F.max_by("records", "batch_id").alias("records"))
+
+
+@query
+def q_stream_correlate(v: Views) -> DataFrame:
+    root = f"{scratch_root(v.spark)}/correlation-{uuid.uuid4().hex}"
+    stream = land_in_order(v.messages, "at", f"{root}/landing", 4)
+    correlation = CorrelationStream(v.spark, f"{root}/tables")
+    query = correlation.start(stream, f"{root}/checkpoint", interval=None)
+    query.awaitTermination()
+    correlation.finish(query.lastProgress.batchId)
+    return correlation.results.read(v.spark).drop("epoch", "batch_id")
