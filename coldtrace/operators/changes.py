@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from coldtrace.functions import notices
 from coldtrace.functions import rules as R
+from coldtrace.operators.hot import spread_join
 from coldtrace.schemas import ALERT_HISTORY, ALERT_STATE, STATUS_FIRING, STATUS_RECOVERED
 
 KEY = ["device_id", "alert_id"]
@@ -146,33 +147,30 @@ def merged_state(state: DataFrame, changed: DataFrame) -> DataFrame:
     return both.select(*KEY, *[taken[name].alias(name) for name in names])
 
 
-def recoveries(rows: DataFrame, per_key: DataFrame) -> DataFrame:
+def recoveries(rows: DataFrame, per_key: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Alerts that fired, before or in this batch, and whose newest row is normal.
 
     The recovery time is the first normal event after the last exceeded one.
     """
+    fired_here = F.col("fired").isNotNull()
+    new_id = R.history_id(F.col("device_id"), F.col("alert_id"), F.col("abnormal_start_time"))
     ended = per_key.filter(
-        (F.col("pattern") == R.RECOVERY)
-        & (F.col("fired").isNotNull() | F.col("alert_fired_time").isNotNull())
-    ).select(*KEY, "last_exceeded_time", "abnormal_start_time", "alert_history_id", "fired")
+        (F.col("pattern") == R.RECOVERY) & (fired_here | F.col("alert_fired_time").isNotNull())
+    ).select(
+        *KEY,
+        "last_exceeded_time",
+        F.when(fired_here, new_id).otherwise(F.col("alert_history_id")).alias("alert_history_id"),
+    )
     normal = rows.filter(~F.col("threshold_exceeded")).select(*KEY, "event_timestamp")
     after = F.col("last_exceeded_time").isNull() | (
         F.col("event_timestamp") >= F.col("last_exceeded_time")
     )
-    first_normal = (
-        normal.join(ended.select(*KEY, "last_exceeded_time"), KEY)
+    return (
+        spread_join(normal, ended, KEY, ["event_timestamp"], "inner", hot)
         .filter(after)
-        .groupBy(*KEY)
+        .groupBy(*KEY, "alert_history_id")
         .agg(F.min("event_timestamp").alias("recovered_event_time"))
     )
-    new_id = R.history_id(F.col("device_id"), F.col("alert_id"), F.col("abnormal_start_time"))
-    return ended.join(first_normal, KEY).select(
-        *KEY,
-        F.when(F.col("fired").isNotNull(), new_id)
-        .otherwise(F.col("alert_history_id"))
-        .alias("alert_history_id"),
-        "recovered_event_time",
-    )
 
 
 def history_rows(fired: DataFrame, batch_time: Column) -> DataFrame:
@@ -271,9 +269,10 @@ class BatchChanges:
         batch_time: Column,
         null_policy: str = "keep",
         seq: str = "event_id",
+        hot: DataFrame | None = None,
         hold: Hold = no_hold,
     ):
-        self._with_state = with_state
+        self._with_state, self._hot = with_state, hot
         self._state, self._batch_time = state, batch_time
         self._rows = considered(with_state, null_policy)
         self._keys = hold(per_alert(self._rows, seq))
@@ -288,7 +287,7 @@ class BatchChanges:
 
     @cached_property
     def recoveries(self) -> DataFrame:
-        return recoveries(self._rows, self._keys)
+        return recoveries(self._rows, self._keys, self._hot)
 
     @cached_property
     def history(self) -> DataFrame:

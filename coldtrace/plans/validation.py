@@ -115,15 +115,22 @@ def count_check(stored: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Classify the row keys of two stores; keys repeated in a store are counted once."""
-    a = left.select(*keys, F.lit(1).alias("in_left")).distinct()
-    b = right.select(*keys, F.lit(1).alias("in_right")).distinct()
+    """Classify the row keys of two stores; keys repeated in a store are counted once.
+
+    One grouping of both sides' keys does the work of a full outer join with half its shuffles.
+    """
+    both = left.select(*keys, F.lit(True).alias("in_left")).unionByName(
+        right.select(*keys, F.lit(False).alias("in_left"))
+    )
     side = (
-        F.when(F.col("in_right").isNull(), "only_left")
-        .when(F.col("in_left").isNull(), "only_right")
-        .otherwise("both")
+        F.when(F.col("any_left") & F.col("all_left"), "only_left")
+        .when(F.col("any_left"), "both")
+        .otherwise("only_right")
+    )
+    seen = both.groupBy(*keys).agg(
+        F.max("in_left").alias("any_left"), F.min("in_left").alias("all_left")
     )
-    return a.join(b, keys, "full").select(*keys, side.alias("side"))
+    return seen.select(*keys, side.alias("side"))
 
 
 def reconcile_counts(left: DataFrame, right: DataFrame) -> DataFrame:

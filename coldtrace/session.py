@@ -31,19 +31,19 @@ def build_session(app: str = "coldtrace", master: str | None = None, **conf: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: `spark.checkpoint.dir` of the session.
+    """Folder of this application for intermediate tables, under `spark.checkpoint.dir`.
 
-    A local run without the setting gets a folder of its own. On a cluster a local folder would be
-    lost with its machine, so the setting is required there.
+    It can be removed once the application has ended. A local run without the setting gets a folder
+    of its own. On a cluster a local folder would be lost with its machine, so the setting is
+    required there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    root = tempfile.mkdtemp(prefix="coldtrace-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        shared = tempfile.mkdtemp(prefix="coldtrace-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/coldtrace-{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame) -> DataFrame:

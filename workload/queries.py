@@ -674,7 +674,7 @@ def land_in_order(rows: DataFrame, order: str, path: str, files: int) -> DataFra
     return reader.parquet(path)
 
 
-def run_stream(v: Views, mode: str, files: int = 4) -> Pipeline:
+def run_stream(v: Views, mode: str, files: int = 3) -> Pipeline:
     """Telemetry messages landed file by file in order and streamed through the pipeline."""
     root = f"{scratch_root(v.spark)}/stream-{uuid.uuid4().hex}"
     stream = land_in_order(v.raw_messages, "offset", f"{root}/landing", files)
@@ -728,7 +728,7 @@ def q_stream_minutes(v: Views) -> DataFrame:
 @query
 def q_stream_correlate(v: Views) -> DataFrame:
     root = f"{scratch_root(v.spark)}/correlation-{uuid.uuid4().hex}"
-    stream = land_in_order(v.messages, "at", f"{root}/landing", 4)
+    stream = land_in_order(v.messages, "at", f"{root}/landing", 3)
     correlation = CorrelationStream(v.spark, f"{root}/tables")
     query = correlation.start(stream, f"{root}/checkpoint", interval=None)
     query.awaitTermination()
