@@ -84,7 +84,7 @@ def test_closed_and_half_open_window(spark):
     assert validation.within(rows, *bounds, inclusive_end=False).count() == 0
 
 
-def locust_percentile(times, p):
+def tool_percentile(times, p):
     """Walks the rounded times from the top until at most floor(n * p) lie below."""
     below = len(times)
     for value in sorted(set(times), reverse=True):
@@ -103,7 +103,7 @@ def test_percentiles_of_rounded_times(spark):
     rounded = [float(round(x) if x < 100 else round(x, -1) if x < 1000 else round(x, -2) if x < 10000 else round(x, -3)) for x in raw]
     row = traffic.request_stats(frame).first()
     for name, p in traffic.PERCENTILES.items():
-        assert row[name] == locust_percentile(rounded, p), name
+        assert row[name] == tool_percentile(rounded, p), name
     assert row.median_response_time == sorted(rounded)[(len(rounded) - 1) // 2]
     assert row.max_response_time == 12345.0 and row.requests_per_s == 11 / 10
     assert row.average_content_size == 1026.0

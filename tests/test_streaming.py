@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from coldtrace.schemas import DEVICE_STATUS, MESSAGE
 from coldtrace.sources import messages
-from coldtrace.streaming import monitor
+from coldtrace.streaming import monitor, tables
 from coldtrace.streaming.pipeline import Masters, Pipeline, SinkError
 from coldtrace.streaming.tables import KeyedTable, current_history, epoch_of
 
@@ -98,8 +98,9 @@ def test_firing_over_batches_restart_and_new_checkpoint(spark, root, mode):
     assert second.late.read(spark).count() > 0
 
 
-@pytest.mark.parametrize("mode", ["batch", "replay"])
-def test_a_repeated_batch_changes_nothing(spark, root, mode):
+@pytest.mark.parametrize("mode, large", [("batch", 1_000_000), ("replay", -1)])
+def test_a_repeated_batch_changes_nothing(spark, root, monkeypatch, mode, large):
+    monkeypatch.setattr(tables, "LARGE_TABLE", large)
     pipeline = Pipeline(spark, f"{root}/tables", make_masters(spark), mode=mode, clock=clock)
     land(spark, f"{root}/a", [(1, 0, 9.0)])
     land(spark, f"{root}/b", [(1, 6, 9.0), (2, 6, 9.0)], first=5)
@@ -174,6 +175,9 @@ def test_keyed_table_folds_and_ignores_its_own_batch(spark, root):
         again = {r.device_id: r.alert_count for r in table.before(spark, 0, batch).collect()}
         assert again == before
     assert [r.alert_count for r in table.current(spark, 0).collect()] == [8]
+    table.write(change(5, 1).unionAll(change(6, 2)), 0, 7)
+    wanted = spark.createDataFrame([(6,), (7,)], "device_id int")
+    assert [r.device_id for r in table.before(spark, 0, 8, wanted).collect()] == [6]
     with pytest.raises(RuntimeError):
         KeyedTable(f"{root}/none", DEVICE_STATUS, ("device_id",)).before(spark, 0, 0)
 
