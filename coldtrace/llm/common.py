@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from coldtrace.session import materialise
 
@@ -49,6 +50,12 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(kept) if kept.count() <= rows else kept
 
 
+def extended(schema: StructType, **more: str) -> StructType:
+    """A schema with further columns, given by name and type."""
+    added = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in more.items()))
+    return StructType([*schema.fields, *added.fields])
+
+
 def salted_join(
     big: DataFrame, small: DataFrame, keys: list[str], spread_by: list[Column], how: str = "left"
 ) -> DataFrame:

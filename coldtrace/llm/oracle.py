@@ -4,6 +4,19 @@ from __future__ import annotations
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+OP1 = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS payload_digest,
+        strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages
+), f AS (
+    SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 OP6 = rf"""
 WITH w AS (
     SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, {WORDS} AS ws FROM documents
@@ -78,4 +91,4 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op6_rule_ledger": OP6, "op10_repetition_mix": OP10}
+    return {"op1_warc_chunks": OP1, "op6_rule_ledger": OP6, "op10_repetition_mix": OP10}

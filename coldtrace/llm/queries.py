@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldtrace.llm import mixing, quality_rules, sharding
+from coldtrace.llm import language, mixing, packing, quality_model, quality_rules, sharding, warc
 from coldtrace.llm.common import table
 from coldtrace.session import scratch_root
 
@@ -19,6 +19,27 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _folder(spark, "warc")
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("record_id"), "url", F.col("html").alias("payload")
+    )
+    warc.write_archives(pages, folder)
+    return warc.read_archives(spark, folder).select(
+        F.col("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), _folder(spark, "slot-map"))
     return placed.select(
@@ -33,12 +54,45 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_open_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
     base = F.lit(quality_rules.policy_mask(quality_rules.BASE)).cast("long")
     return judged.withColumn("base_failed", F.col("failed").bitwiseAND(base) != 0)
 
 
+def op7_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(docs))
+    return found.select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op8_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_model.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        quality_model.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_repetition_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.with_copies(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -54,8 +108,12 @@ def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
         for f in (
+            op1_warc_chunks,
             op2_virtual_slots,
+            op3_open_window_packing,
             op6_rule_ledger,
+            op7_word_first_language,
+            op8_subword_quality,
             op10_repetition_mix,
         )
     }
