@@ -51,6 +51,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 FROM b
 """
 
+#: Exact set join, then the least id reachable.
+OP9 = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), g AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(ws) = 1 THEN ws ELSE list_slice(ws, i, i + 1) END AS s
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws), least(len(ws), 1) + 1))) AS i FROM d WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*)::BIGINT AS n FROM g GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id
+    GROUP BY ALL
+), e AS (
+    SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(v, r) AS (
+    SELECT doc_id, doc_id FROM d UNION SELECT reach.v, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a
+), m AS (SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY v)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM m LEFT JOIN n USING (doc_id)
+"""
+
 #: Reshares by rounds, unlike the ordered trial of the operator.
 OP10 = rf"""
 WITH RECURSIVE d AS (
@@ -91,4 +114,9 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op1_warc_chunks": OP1, "op6_rule_ledger": OP6, "op10_repetition_mix": OP10}
+    return {
+        "op1_warc_chunks": OP1,
+        "op6_rule_ledger": OP6,
+        "op9_multi_index_minhash": OP9,
+        "op10_repetition_mix": OP10,
+    }

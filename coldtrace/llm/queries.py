@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldtrace.llm import language, mixing, packing, quality_model, quality_rules, sharding, warc
+from coldtrace.llm import language, minhash, mixing, packing, quality_model, quality_rules, sharding, warc
 from coldtrace.llm.common import table
 from coldtrace.session import scratch_root
 
@@ -93,6 +93,12 @@ def op8_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_multi_index_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return found.withColumn("kept", kept)
+
+
 def op10_repetition_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.with_copies(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -114,6 +120,7 @@ def llm_queries() -> dict[str, Query]:
             op6_rule_ledger,
             op7_word_first_language,
             op8_subword_quality,
+            op9_multi_index_minhash,
             op10_repetition_mix,
         )
     }
