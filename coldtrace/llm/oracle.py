@@ -17,6 +17,29 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+OP4 = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+w AS (
+    SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + 19), ' ')) AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)
+), later AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM w)
+    WHERE k > 1
+), gone AS (
+    SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later)
+    GROUP BY doc_id
+), word AS (
+    SELECT doc_id, p, w FROM (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS w FROM d)
+), kept AS (
+    SELECT word.doc_id, string_agg(w, ' ' ORDER BY p) AS t FROM word
+    LEFT JOIN (SELECT doc_id, unnest(ps) AS p, true AS cut FROM gone) USING (doc_id, p)
+    WHERE cut IS NULL GROUP BY word.doc_id
+)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+    sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 OP6 = rf"""
 WITH w AS (
     SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, {WORDS} AS ws FROM documents
@@ -116,6 +139,7 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_warc_chunks": OP1,
+        "op4_recompression": OP4,
         "op6_rule_ledger": OP6,
         "op9_multi_index_minhash": OP9,
         "op10_repetition_mix": OP10,

@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldtrace.llm import language, minhash, mixing, packing, quality_model, quality_rules, sharding, warc
+from coldtrace.llm import (
+    language,
+    minhash,
+    mixing,
+    packing,
+    quality_model,
+    quality_rules,
+    sharding,
+    substring,
+    warc,
+)
 from coldtrace.llm.common import table
 from coldtrace.session import scratch_root
 
@@ -67,6 +77,13 @@ def op3_open_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
     base = F.lit(quality_rules.policy_mask(quality_rules.BASE)).cast("long")
@@ -117,6 +134,7 @@ def llm_queries() -> dict[str, Query]:
             op1_warc_chunks,
             op2_virtual_slots,
             op3_open_window_packing,
+            op4_recompression,
             op6_rule_ledger,
             op7_word_first_language,
             op8_subword_quality,
