@@ -8,6 +8,7 @@ no task gets more of them than a bound, at last in one group that cuts pieces to
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,11 +26,14 @@ OPEN = 64
 #: Partitions whose open sequences are merged in one task.
 FAN_IN = 16
 END = 2
-#: Words whose ids a task remembers; further ones are tokenized each time they come.
-REMEMBER = 400_000
+#: Words, and parts of words, whose ids a task remembers; further ones are tokenized as they come.
+REMEMBER = 250_000
 #: Bytes of ids in one batch of pieces.
 BATCH = 8 << 20
 
+# Letters that case folding and normalization treat one by one, and marks other than apostrophes.
+_CUT = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+
 FIELDS = [
     ("doc_id", pa.int64()),
     ("start", pa.int64()),
@@ -55,29 +59,69 @@ def _tokenizer(path: str):
 
 
 @lru_cache(maxsize=2)
-def _remembered(path: str) -> dict[bytes, bytes]:
-    return {}
+def _remembered(path: str) -> tuple[dict[bytes, bytes], dict[str, bytes]]:
+    """Ids of words, and of the letters and the marks that words consist of."""
+    return {}, {}
+
+
+def _as_bytes(ids) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+def _parts_ids(parts: set[str], tokenizer) -> dict[str, bytes]:
+    """Ids of parts that are letters only, or marks only: the former in one call, by word number."""
+    letters = [p for p in parts if p[:1].isalpha()]
+    found = {}
+    if letters:
+        encoded = tokenizer.encode(" ".join(letters), add_special_tokens=False)
+        ids, word = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids)
+        at = np.searchsorted(word, np.arange(len(letters) + 1))
+        data = ids.tobytes()
+        found = {p: data[4 * a : 4 * b] for p, a, b in zip(letters, at[:-1].tolist(), at[1:].tolist())}
+    for part in parts:
+        if part not in found:
+            found[part] = _as_bytes(tokenizer.encode(part, add_special_tokens=False).ids) if part else b""
+    return found
+
+
+def _new_words(words: set[bytes], path: str) -> dict[bytes, bytes]:
+    """Ids of words not met before: letters and the marks behind them are tokens of their own."""
+    tokenizer, (_, parts) = _tokenizer(path), _remembered(path)
+    cut, whole = {}, []
+    for word in words:
+        match = _CUT(word.decode())
+        if match:
+            cut[word] = (match[1].lower(), match[2])
+        else:
+            whole.append(word)
+    fresh = _parts_ids({p for both in cut.values() for p in both if p not in parts}, tokenizer)
+    parts.update(fresh)
+    found = {word: parts[letters] + parts[marks] for word, (letters, marks) in cut.items()}
+    if len(parts) > REMEMBER:
+        for part in fresh:
+            del parts[part]
+    if whole:
+        encoded = tokenizer.encode_batch([w.decode() for w in whole], add_special_tokens=False)
+        found.update((word, _as_bytes(e.ids)) for word, e in zip(whole, encoded))
+    return found
 
 
 def token_ids(texts: list[str | None], path: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit numbers, without the end id.
 
     No token of the tokenizer spans ASCII white space, so words are tokenized one by one and
-    remembered.
+    remembered, up to a bound.
     """
-    tokenizer, known = _tokenizer(path), _remembered(path)
+    known, _ = _remembered(path)
     split = [text.encode().split() if text else [] for text in texts]
-    new = list({word for words in split for word in words if word not in known})
-    fresh = {}
-    if new:
-        encoded = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, encoded)}
-        for word, ids in fresh.items():
-            if len(known) >= REMEMBER:
-                break
-            known[word] = ids
-    get, other = known.get, fresh.get
-    return [b"".join([get(w) or other(w) or b"" for w in words]) for words in split]
+    fresh = _new_words({word for words in split for word in words if word not in known}, path)
+    known.update(fresh)
+    get = known.__getitem__
+    ids = [b"".join(map(get, words)) for words in split]
+    if len(known) > REMEMBER:
+        for word in fresh:
+            del known[word]
+    return ids
 
 
 class Packer:
