@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldtrace.llm import (
+    embeddings,
     language,
     minhash,
     mixing,
@@ -84,6 +85,12 @@ def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, recall = embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
+    return found.withColumns({"kept": kept, "audited_recall": F.lit(recall)})
+
+
 def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
     base = F.lit(quality_rules.policy_mask(quality_rules.BASE)).cast("long")
@@ -135,6 +142,7 @@ def llm_queries() -> dict[str, Query]:
             op2_virtual_slots,
             op3_open_window_packing,
             op4_recompression,
+            op5_nn_descent,
             op6_rule_ledger,
             op7_word_first_language,
             op8_subword_quality,
