@@ -78,8 +78,8 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _long_symbols(texts: DataFrame) -> DataFrame:
-    """(doc_id, version, name, check, start, end, period) of all symbols of LONG words or more."""
+def _long_symbols(texts: DataFrame, least: int) -> DataFrame:
+    """(doc_id, version, name, check, start, end, period) of all symbols of `least` words or more."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,7 +87,7 @@ def _long_symbols(texts: DataFrame) -> DataFrame:
                 level = recompress.words_level(hashed, words)
                 if not len(hashed):
                     continue
-                names, starts, ends, period = recompress.long_nodes(level, LONG, ROUNDS)
+                names, starts, ends, period = recompress.long_nodes(level, least, ROUNDS)
                 of = np.searchsorted(words, starts, "right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -122,11 +122,11 @@ def _span(start, end):
     return F.shiftleft(start.cast("long"), 32) + end.cast("long")
 
 
-def _repeated_symbols(symbols: DataFrame) -> DataFrame:
+def _repeated_symbols(symbols: DataFrame, window: int) -> DataFrame:
     """(doc_id, version, spans): repeated stretches of a document that whole symbols show."""
     later = _later(symbols, ["name", "check"]).select(*KEY, _span(F.col("start"), F.col("end")).alias("s"))
     # Inside a run all but its first period repeats the period before.
-    inner = symbols.filter(f"period > 0 AND end - start - period >= {WINDOW}").select(
+    inner = symbols.filter(f"period > 0 AND end - start - period >= {window}").select(
         *KEY, _span(F.col("start") + F.col("period"), F.col("end")).alias("s")
     )
     return later.unionByName(inner).groupBy(*KEY).agg(F.collect_list("s").alias("spans"))
@@ -139,29 +139,31 @@ def _lists(column: pa.ListArray, first: int, n: int) -> tuple[np.ndarray, np.nda
     return part.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(n), sizes)
 
 
-def _open_windows(words: np.ndarray, spans: np.ndarray, of: np.ndarray) -> np.ndarray:
+def _open_windows(
+    words: np.ndarray, window: int, spans: np.ndarray, of: np.ndarray
+) -> np.ndarray:
     """First words of all windows that lie in no span."""
     covered = np.zeros(words[-1] + 1, np.int32)
     starts, ends = words[of] + (spans >> 32), words[of] + (spans & 0xFFFFFFFF)
     np.add.at(covered, starts, 1)
-    np.add.at(covered, ends - WINDOW + 1, -1)
-    counts = np.maximum(np.diff(words) - WINDOW + 1, 0)
+    np.add.at(covered, ends - window + 1, -1)
+    counts = np.maximum(np.diff(words) - window + 1, 0)
     before = np.cumsum(counts) - counts
     windows = np.repeat(words[:-1] - before, counts) + np.arange(counts.sum())
     return windows[np.cumsum(covered)[windows] == 0]
 
 
-def _anchor_runs(joined: DataFrame) -> DataFrame:
+def _anchor_runs(joined: DataFrame, window: int) -> DataFrame:
     """(doc_id, version, name, start, n): runs of `n` open windows with one anchor."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, hashed, words in _parsed(batch):
-                windows = _open_windows(words, *_lists(batch.column(3), first, len(words) - 1))
+                windows = _open_windows(words, window, *_lists(batch.column(3), first, len(words) - 1))
                 if not len(windows):
                     continue
                 level = recompress.words_level(hashed, words)
-                names, places = recompress.anchors(level, windows, WINDOW)
+                names, places = recompress.anchors(level, windows, window)
                 opens = np.ones(len(windows), bool)
                 opens[1:] = (
                     (names[1:] != names[:-1])
@@ -183,7 +185,7 @@ def _anchor_runs(joined: DataFrame) -> DataFrame:
     return joined.mapInArrow(found, "doc_id long, version long, name long, start int, n int")
 
 
-def _windows(joined: DataFrame) -> DataFrame:
+def _windows(joined: DataFrame, window: int) -> DataFrame:
     """(doc_id, version, start, name, check) of the windows listed as runs in column 3."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +202,8 @@ def _windows(joined: DataFrame) -> DataFrame:
                     [
                         *_columns(batch, document + first),
                         pa.array((windows - words[document]).astype(np.int32)),
-                        _signed(_digests(hashed, windows, windows + WINDOW, 0)),
-                        _signed(_digests(hashed, windows, windows + WINDOW, 1)),
+                        _signed(_digests(hashed, windows, windows + window, 0)),
+                        _signed(_digests(hashed, windows, windows + window, 1)),
                     ],
                     names=[*KEY, "start", "name", "check"],
                 )
@@ -249,27 +251,27 @@ def _with(texts: DataFrame, found: DataFrame, how: str = "left") -> DataFrame:
     return texts.join(found, KEY, how).select(*KEY, "text", *[c for c in found.columns if c not in KEY])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, version, n_words, n_removed, kept) of every row of `docs` (doc_id, text).
 
-    A word goes if a window of WINDOW words around it also starts earlier, in a document of smaller
+    A word goes if a window of `window` words around it also starts earlier, in a document of smaller
     id or in the same one; windows are those of the input. `kept` holds the other words, `version`
     is xxhash64 of the text. NULL texts have no words. Rows without an id have no place in the order:
     they stay whole and nothing is judged by them. Equal rows of one id judge each other not.
     """
     texts = _bucketed(docs)
-    symbols = materialise(_long_symbols(texts))
-    spans = materialise(_repeated_symbols(symbols))
-    runs = materialise(_anchor_runs(_with(texts, spans)))
+    symbols = materialise(_long_symbols(texts, max(LONG, window)))
+    spans = materialise(_repeated_symbols(symbols, window))
+    runs = materialise(_anchor_runs(_with(texts, spans), window))
     repeated = runs.groupBy("name").agg(F.count("*").alias("c")).filter("c > 1").select("name")
     candidates = (
         runs.join(repeated, "name", "left_semi")
         .groupBy(*KEY)
         .agg(F.collect_list(_span(F.col("start"), F.col("n"))).alias("runs"))
     )
-    windows = materialise(_windows(_with(texts, candidates, "inner")))
+    windows = materialise(_windows(_with(texts, candidates, "inner"), window))
     later = _later(windows, ["name", "check"]).select(
-        *KEY, _span(F.col("start"), F.col("start") + WINDOW).alias("s")
+        *KEY, _span(F.col("start"), F.col("start") + window).alias("s")
     )
     cuts = later.groupBy(*KEY).agg(F.collect_list("s").alias("cuts"))
     both = spans.join(cuts, KEY, "full").select(
