@@ -112,7 +112,9 @@ def fit(counts: list[tuple[str, str, int]]) -> Model:
                 parts[gram][place[language]] += n
     totals = sum(words.values(), np.zeros(len(languages))) + 1
     known = sorted(w for w, c in words.items() if c.sum() >= KNOWN)
-    rows = np.array([np.log((words[w] + _FLOOR) / totals) for w in known]).reshape(-1, len(languages))
+    rows = np.zeros((len(known), len(languages)))
+    for k, word in enumerate(known):
+        rows[k] = np.log((words[word] + _FLOOR) / totals)
     by_length: Counter = Counter()
     length_totals: dict[int, np.ndarray] = {n: np.zeros(len(languages)) for n in GRAMS}
     for gram, c in parts.items():

@@ -187,11 +187,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(drawn, "doc_id")
     rows = texts.select("doc_id", "text", "label").dropDuplicates(["doc_id"])
     schema = "weights binary, bias double"
+    arrow = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("label", pa.int32())])
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
 
     def fit_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches, pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("label", pa.int32())]))
-        table = table.sort_by("doc_id")
+        table = pa.Table.from_batches(batches, arrow).sort_by("doc_id")
         model = fit(table["text"].to_pylist(), table["label"].to_numpy(), prior)
         yield pa.RecordBatch.from_pydict(
             {"weights": [model.weights.tobytes()], "bias": [model.bias]},
@@ -201,6 +201,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # One task by design: the sample is bounded, and descent takes one step after the other.
     shaped = rows.select(F.col("doc_id").cast("long"), "text", F.col("label").cast("int"))
     fitted = shaped.coalesce(1).mapInArrow(fit_once, schema).first()
+    if fitted is None:  # not a row, so not a task
+        return fit([], np.zeros(0))
     return Model(np.frombuffer(fitted.weights, np.float32), fitted.bias)
 
 
