@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -66,3 +70,32 @@ def salted_join(
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
     copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return big.withColumn("__salt", salt).join(copies, [*keys, "__salt"], how).drop("__salt")
+
+
+def dealt(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt by `keys`, those of equal keys side by side."""
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of equal keys, from batches in which they stand side by side."""
+    held: list[pa.RecordBatch] = []
+
+    def same(a: pa.RecordBatch, i: int, b: pa.RecordBatch, j: int) -> bool:
+        return all(a.column(k)[i].as_py() == b.column(k)[j].as_py() for k in keys)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        edges = np.zeros(batch.num_rows - 1, bool)
+        for k in keys:
+            values = batch.column(k).to_numpy(zero_copy_only=False)
+            edges |= values[1:] != values[:-1]
+        cuts = [0, *(np.flatnonzero(edges) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if held and not (a == 0 and same(held[-1], held[-1].num_rows - 1, batch, 0)):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)

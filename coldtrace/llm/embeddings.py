@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from coldtrace.llm.common import salted_join
+from coldtrace.llm.common import dealt, grouped, salted_join
 from coldtrace.llm.components import components
 from coldtrace.session import materialise
 
@@ -65,30 +65,6 @@ def _matrix(column: pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Rows of equal keys, from batches in which they stand side by side."""
-    held: list[pa.RecordBatch] = []
-
-    def same(a: pa.RecordBatch, i: int, b: pa.RecordBatch, j: int) -> bool:
-        return all(a.column(k)[i].as_py() == b.column(k)[j].as_py() for k in keys)
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        edges = np.zeros(batch.num_rows - 1, bool)
-        for k in keys:
-            values = batch.column(k).to_numpy(zero_copy_only=False)
-            edges |= values[1:] != values[:-1]
-        cuts = [0, *(np.flatnonzero(edges) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if held and not (a == 0 and same(held[-1], held[-1].num_rows - 1, batch, 0)):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _edges(a: np.ndarray, b: np.ndarray, sims: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(a), pa.array(b), pa.array(sims.astype(np.float64))], names=["a", "b", "sim"]
@@ -109,10 +85,6 @@ def _best_of(ids: np.ndarray, vectors: np.ndarray, floors: np.ndarray, most: int
     return _edges(ids[rows], ids[near[rows, columns]], values[rows, columns])
 
 
-def _dealt(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.repartition(*keys).sortWithinPartitions(*keys)
-
-
 def first_lists(vectors: DataFrame, most: int, seed: int) -> DataFrame:
     """Edges among vectors that share the sides of random hyperplanes, in blocks of about BLOCK.
 
@@ -146,13 +118,13 @@ def first_lists(vectors: DataFrame, most: int, seed: int) -> DataFrame:
     rows = placed.join(vectors, "id").select("code", "part", "id", "v")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["code", "part"]):
+        for group in grouped(batches, ["code", "part"]):
             if group.num_rows > 1:
                 ids = group["id"].to_numpy()
                 matrix = _matrix(group["v"], np.float32)
                 yield _best_of(ids, matrix, np.full(len(ids), -1.0), most)
 
-    return _dealt(rows, ["code", "part"]).mapInArrow(compared, EDGE)
+    return dealt(rows, ["code", "part"]).mapInArrow(compared, EDGE)
 
 
 def _top(edges: DataFrame, most: int) -> DataFrame:
@@ -185,14 +157,14 @@ def descend(lists: DataFrame, vectors: DataFrame, most: int) -> DataFrame:
     )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["center", "part"]):
+        for group in grouped(batches, ["center", "part"]):
             if group.num_rows > 1:
                 ids = group["id"].to_numpy()
                 matrix = _matrix(group["v"], np.float32)
                 yield _best_of(ids, matrix, group["floor"].to_numpy(), most)
 
     rows = members.join(carried, "id").select("center", "part", "id", "v", "floor")
-    found = _dealt(rows, ["center", "part"]).mapInArrow(compared, EDGE)
+    found = dealt(rows, ["center", "part"]).mapInArrow(compared, EDGE)
     return _top(lists.unionByName(found), most)
 
 
@@ -262,7 +234,7 @@ def _links_among(lists: DataFrame, units: DataFrame) -> DataFrame:
     )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["leader", "i", "j"]):
+        for group in grouped(batches, ["leader", "i", "j"]):
             ids = group["id"].to_numpy()
             matrix = _matrix(group["unit"], np.float64)
             left, right = (
@@ -278,7 +250,7 @@ def _links_among(lists: DataFrame, units: DataFrame) -> DataFrame:
                 )
 
     rows = met.join(units, "id").select("leader", "i", "j", "id", "is_left", "is_right", "unit")
-    return _dealt(rows, ["leader", "i", "j"]).mapInArrow(compared, "a long, b long")
+    return dealt(rows, ["leader", "i", "j"]).mapInArrow(compared, "a long, b long")
 
 
 def enlarge(lists: DataFrame, links: DataFrame, units: DataFrame, most: int) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldtrace.llm.arrays import blocks, hash_pairs, lower_ascii, mix, utf8, word_hashes, word_spans
-from coldtrace.llm.common import salted_join
+from coldtrace.llm.common import dealt, grouped, salted_join, small_side
 from coldtrace.llm.components import components
 from coldtrace.session import materialise
 
@@ -31,6 +31,8 @@ CHUNKS = 10
 DISTANCE = 19
 SIMILARITY = (80, 100)
 STAR_ROUNDS = 2
+#: Members of a bucket that are compared at a time.
+BLOCK = 512
 
 _MASKS = mix(np.arange(PLACES, dtype=np.uint64), 21)
 _FACTORS = mix(np.arange(PLACES, dtype=np.uint64), 22) | np.uint64(1)
@@ -181,7 +183,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(close)
 
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ends, "id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(small_side(ends), "id", "left_semi")
     sets = materialise(texts.mapInArrow(of_sets, "id long, set binary"))
     for end in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("set").alias(f"set_{end}")), end)
@@ -220,25 +222,52 @@ def _star_pairs(rows: DataFrame, sizes: DataFrame, round_: int) -> DataFrame:
     return best.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
+def _near_in_block(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of the left and right rows of a block with different labels that may be similar."""
+    ids, labels, sizes = (group[c].to_numpy() for c in ("id", "label", "n"))
+    marks = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(len(ids), -1)
+    left, right = (
+        np.flatnonzero(group[c].to_numpy(zero_copy_only=False)) for c in ("is_left", "is_right")
+    )
+    far = np.zeros((len(left), len(right)), np.uint8)
+    for place in range(PLACES):
+        far += marks[left, place][:, None] != marks[right, place]
+    low = np.minimum(sizes[left][:, None], sizes[right])
+    high = np.maximum(sizes[left][:, None], sizes[right])
+    fits = (far <= DISTANCE) & (low * SIMILARITY[1] >= high * SIMILARITY[0])
+    rows, columns = np.nonzero(fits & (labels[left][:, None] != labels[right]))
+    return ids[left[rows]], ids[right[columns]]
+
+
 def _all_pairs_left(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of a bucket with different labels, within DISTANCE and of fitting sizes."""
-    left = rows.select("key", F.col("id").alias("a"), F.col("label").alias("x"))
-    right = rows.select("key", F.col("id").alias("b"), F.col("label").alias("y"))
-    pairs = left.join(right, "key").filter("a < b AND x != y").select("a", "b").distinct()
-    for end in ("a", "b"):
-        known = classes.select(
-            F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("signature").alias(f"s_{end}")
-        )
-        pairs = pairs.join(known, end)
+    """Pairs of a bucket with different labels, within DISTANCE and of fitting sizes.
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s, t = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16) for k in (2, 3))
-            far = (s.reshape(-1, PLACES) != t.reshape(-1, PLACES)).sum(axis=1)
-            yield batch.select(["a", "b"]).filter(pa.array(far <= DISTANCE))
+    Buckets are compared block against block inside tasks; only such pairs leave them.
+    """
+    counts = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    known = rows.join(classes.select("id", "n", "signature"), "id")
+    placed = salted_join(known, counts, ["key"], [F.col("id")], "inner").withColumn(
+        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    fields = ["id", "label", "n", "signature"]
+    met = placed.select("key", "part", *fields, other).select(
+        "key",
+        F.least("part", "other").alias("i"),
+        F.greatest("part", "other").alias("j"),
+        *fields,
+        (F.col("part") <= F.col("other")).alias("is_left"),
+        (F.col("part") >= F.col("other")).alias("is_right"),
+    )
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ["key", "i", "j"]):
+            x, y = _near_in_block(group)
+            if len(x):
+                ends = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
+                yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
-    fitting = pairs.filter(_size_fits("n_a", "n_b")).select("a", "b", "s_a", "s_b")
-    return fitting.mapInArrow(near, "a long, b long")
+    return dealt(met, ["key", "i", "j"]).mapInArrow(compared, "a long, b long").filter("a < b").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
