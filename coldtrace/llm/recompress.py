@@ -16,8 +16,9 @@ from coldtrace.llm.arrays import hash_pairs, mix
 
 #: Rounds without run naming between the first and this one keep more of a window determined.
 RUNS_FROM = 7
-#: Anchors are taken from the symbols after at most so many rounds.
-ANCHOR_ROUNDS = 5
+#: Anchors are phrases of so many symbols after so many rounds.
+ANCHOR_ROUNDS = 2
+ANCHOR_SYMBOLS = 3
 
 
 @dataclass
@@ -97,36 +98,24 @@ def long_nodes(level: Level, least: int, rounds: int):
 
 
 def anchors(level: Level, windows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window, given by its first word, a symbol that only its words determine.
+    """For each window, given by its first word, a phrase of symbols that only its words determine.
 
     From a window's left end on, a symbol is certain once nothing outside can join it: the first
     run may go on outside, and a right symbol may join with one outside. The right end mirrors
-    this. The symbols in between occur wherever the window's words do. Of those of the last round
-    that has any, the first of the least name is taken. Returns names and first words: equal
-    windows have equal names, and the symbol at the same place.
+    this. The symbols in between occur wherever the window's words do. Of the phrases of
+    ANCHOR_SYMBOLS symbols among them, the first of the least hash is taken; if there are fewer
+    symbols, all of them, and if none, the window's first word. Returns names and first words:
+    equal windows have equal names, at the same place.
     """
-    n = level.n_words
-    from_, to = windows.copy(), windows + width
-    best, place = np.zeros(len(windows), np.uint64), np.zeros(len(windows), np.int64)
+    names, places = level.names[windows].copy(), windows.copy()
+    from_, to = windows, windows + width
     live = np.arange(len(windows))
-    for round_ in range(ANCHOR_ROUNDS + 1):
+    n = level.n_words
+    for round_ in range(ANCHOR_ROUNDS):
         at = np.zeros(n + 1, np.int64)
         at[level.starts] = np.arange(len(level.starts))
         at[n] = len(level.starts)
         first, end = at[from_], at[to]
-        if round_ in (0, ANCHOR_ROUNDS - 1, ANCHOR_ROUNDS):
-            order = mix(level.names, 50)
-            least, where = order[first], first.copy()
-            for k in range(1, int((end - first).max(initial=1))):
-                inside = np.flatnonzero(first + k < end)
-                other = order[first[inside] + k]
-                lower = other < least[inside]
-                least[inside[lower]] = other[lower]
-                where[inside[lower]] = first[inside[lower]] + k
-            best[live] = hash_pairs(np.full(len(live), round_, np.uint64), least)
-            place[live] = level.starts[where]
-        if round_ == ANCHOR_ROUNDS:
-            break
         if round_ == 0:
             runs, counts = name_runs(level)
             of = np.repeat(np.arange(len(counts)), counts)
@@ -140,4 +129,24 @@ def anchors(level: Level, windows: np.ndarray, width: int) -> tuple[np.ndarray,
         starts = np.append(level.starts, n)
         live, from_, to = live[certain], starts[first[certain]], starts[end[certain]]
         level, _ = name_pairs(level, right)
-    return best, place
+    at = np.zeros(n + 1, np.int64)
+    at[level.starts] = np.arange(len(level.starts))
+    at[n] = len(level.starts)
+    first, count = at[from_], at[to] - at[from_]
+    phrase = level.names
+    for m in range(1, ANCHOR_SYMBOLS + 1):
+        if m > 1:
+            phrase = hash_pairs(phrase[:-1], level.names[m - 1 :])
+        mine = np.flatnonzero(count == m if m < ANCHOR_SYMBOLS else count >= m)
+        least, where = phrase[first[mine]], first[mine].copy()
+        open_ = np.arange(len(mine))
+        for k in range(1, int(count.max(initial=m)) - m + 1):
+            open_ = open_[count[mine[open_]] >= m + k]
+            at_k = first[mine[open_]] + k
+            other = phrase[at_k]
+            lower = other < least[open_]
+            least[open_[lower]] = other[lower]
+            where[open_[lower]] = at_k[lower]
+        names[live[mine]] = mix(least, 50 + m)
+        places[live[mine]] = level.starts[where]
+    return names, places
