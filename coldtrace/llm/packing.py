@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coldtrace.llm.arrays import blocks, utf8, word_hashes, word_spans
 from coldtrace.session import materialise
 
 LENGTH = 4096
@@ -27,7 +28,10 @@ OPEN = 64
 FAN_IN = 16
 END = 2
 #: Words, and parts of words, whose ids a task remembers; further ones are tokenized as they come.
-REMEMBER = 250_000
+REMEMBER = 2_000_000
+PARTS = 250_000
+#: New words that join the remembered ones at a time.
+LOT = 50_000
 #: Bytes of ids in one batch of pieces.
 BATCH = 8 << 20
 
@@ -58,10 +62,55 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class _Known:
+    """Ids of the words met so far, by the words' hashes, in sorted arrays of about 30 bytes a word.
+
+    New words wait in a dictionary and join the arrays in lots. Beyond REMEMBER words the arrays
+    stay as they are.
+    """
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, "<u4")
+        self.waiting: dict[int, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def find(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes the arrays hold, and where."""
+        if not len(self.hashes):
+            return np.zeros(len(distinct), bool), np.zeros(len(distinct), np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+        return self.hashes[at] == distinct, at
+
+    def add(self, words: dict[int, bytes]) -> None:
+        self.waiting.update(words)
+        if len(self.waiting) < LOT:
+            return
+        if len(self.hashes) < REMEMBER:
+            hashes = np.fromiter(self.waiting, np.uint64, len(self.waiting))
+            sizes = np.fromiter(map(len, self.waiting.values()), np.int64, len(hashes)) // 4
+            begins = len(self.pool) + np.cumsum(sizes) - sizes
+            fresh = np.frombuffer(b"".join(self.waiting.values()), "<u4")
+            self.pool = np.concatenate([self.pool, fresh])
+            order = np.argsort(hashes)
+            at = np.searchsorted(self.hashes, hashes[order])
+            self.hashes = np.insert(self.hashes, at, hashes[order])
+            self.begins = np.insert(self.begins, at, begins[order])
+            self.sizes = np.insert(self.sizes, at, sizes[order])
+        self.waiting = {}
+
+
 @lru_cache(maxsize=2)
-def _remembered(path: str) -> tuple[dict[bytes, bytes], dict[str, bytes]]:
-    """Ids of words, and of the letters and the marks that words consist of."""
-    return {}, {}
+def _remembered(path: str) -> _Known:
+    return _Known()
+
+
+def _gathered(pool: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of `pool`, one after the other."""
+    upto = np.cumsum(sizes)
+    total = int(upto[-1]) if len(upto) else 0
+    return pool[np.repeat(begins - upto + sizes, sizes) + np.arange(total)]
 
 
 def _as_bytes(ids) -> bytes:
@@ -86,7 +135,7 @@ def _parts_ids(parts: set[str], tokenizer) -> dict[str, bytes]:
 
 def _new_words(words: set[bytes], path: str) -> dict[bytes, bytes]:
     """Ids of words not met before: letters and the marks behind them are tokens of their own."""
-    tokenizer, (_, parts) = _tokenizer(path), _remembered(path)
+    tokenizer, parts = _tokenizer(path), _remembered(path).parts
     cut, whole = {}, []
     for word in words:
         match = _CUT(word.decode())
@@ -97,7 +146,7 @@ def _new_words(words: set[bytes], path: str) -> dict[bytes, bytes]:
     fresh = _parts_ids({p for both in cut.values() for p in both if p not in parts}, tokenizer)
     parts.update(fresh)
     found = {word: parts[letters] + parts[marks] for word, (letters, marks) in cut.items()}
-    if len(parts) > REMEMBER:
+    if len(parts) > PARTS:
         for part in fresh:
             del parts[part]
     if whole:
@@ -106,22 +155,45 @@ def _new_words(words: set[bytes], path: str) -> dict[bytes, bytes]:
     return found
 
 
-def token_ids(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit numbers, without the end id.
+def token_ids(texts: pa.Array, path: str) -> Iterator[bytes]:
+    """Ids of each text as little-endian 32-bit numbers, without the end id; NULL has none.
 
-    No token of the tokenizer spans ASCII white space, so words are tokenized one by one and
-    remembered, up to a bound.
+    No token of the tokenizer spans ASCII white space, so each distinct word of a block of texts is
+    tokenized once, or remembered by its 64-bit hash, and the texts' ids are gathered from that.
     """
-    known, _ = _remembered(path)
-    split = [text.encode().split() if text else [] for text in texts]
-    fresh = _new_words({word for words in split for word in words if word not in known}, path)
-    known.update(fresh)
-    get = known.__getitem__
-    ids = [b"".join(map(get, words)) for words in split]
-    if len(known) > REMEMBER:
-        for word in fresh:
-            del known[word]
-    return ids
+    known = _remembered(path)
+    data, offsets = utf8(texts)
+    for _, part, at in blocks(data, offsets):
+        starts, ends, first = word_spans(part, at)
+        distinct, one, which = np.unique(
+            word_hashes(part, starts, ends), return_index=True, return_inverse=True
+        )
+        held, place = known.find(distinct)
+        others = np.flatnonzero(~held)
+        names = distinct[others].tolist()
+        ids = list(map(known.waiting.get, names))
+        new = [k for k, found in enumerate(ids) if found is None]
+        if new:
+            whole, at_new = part.tobytes(), one[others[new]]
+            words = [whole[a:b] for a, b in zip(starts[at_new].tolist(), ends[at_new].tolist())]
+            fresh = _new_words(set(words), path)
+            for k, word in zip(new, words):
+                ids[k] = fresh[word]
+        sizes = np.zeros(len(distinct), np.int64)
+        sizes[held] = known.sizes[place[held]]
+        sizes[others] = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        # The block's own pool: what is remembered, then the rest.
+        old = _gathered(known.pool, known.begins[place[held]], sizes[held])
+        pool = np.concatenate([old, np.frombuffer(b"".join(ids), "<u4")])
+        begins = np.zeros(len(distinct), np.int64)
+        begins[held] = np.cumsum(sizes[held]) - sizes[held]
+        begins[others] = len(old) + np.cumsum(sizes[others]) - sizes[others]
+        counts = sizes[which]
+        stream = _gathered(pool, begins[which], counts).tobytes()
+        known.add({names[k]: ids[k] for k in new})
+        cuts = (4 * np.concatenate([[0], np.cumsum(counts)])[first]).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield stream[a:b]
 
 
 class Packer:
@@ -228,14 +300,14 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, most: int = OPEN
         def placed():
             packer = None
             for batch in batches:
-                for k in range(0, batch.num_rows, 512):
-                    part = batch.slice(k, 512)
-                    if packer is None:
-                        packer = Packer(part.column(2)[0].as_py(), 0, length, most)
-                    texts = token_ids(part.column(1).to_pylist(), tokenizer)
-                    for doc_id, ids in zip(part.column(0).to_pylist(), texts):
-                        for piece in pieces_of(doc_id, ids + end, length):
-                            yield from packer.add(piece)
+                if packer is None:
+                    if not batch.num_rows:
+                        continue
+                    packer = Packer(batch.column(2)[0].as_py(), 0, length, most)
+                texts = token_ids(batch.column(1), tokenizer)
+                for doc_id, ids in zip(batch.column(0).to_pylist(), texts):
+                    for piece in pieces_of(doc_id, ids + end, length):
+                        yield from packer.add(piece)
             if packer is not None:
                 yield from packer.rest(True)
 
