@@ -20,6 +20,8 @@ BINARY_RECORD = np.dtype(
 BINARY_SIZE = 188
 # Shape of an accepted JSON text, and the device number inside a topic name.
 JSON_OBJECT = r"^\{.*\}"
+NOT_A_NUMBER = r"(:\s*)([+-]?(?:NaN|INF|Infinity))(?=\s*[,}])"
+ID_FIELD = r'"device_id"\s*:\s*(?:"(?:[^"\\]|\\.)*"|[^,}\s]*)'
 TOPIC_NUMBER = r"(\d+)/messages"
 
 JSON_PAYLOAD = T.StructType(
@@ -94,11 +96,22 @@ def parse_json_payload(text: Column) -> Column:
 
 
 def with_device_id(text: Column, json_id: Column, device: Column) -> Column:
-    """JSON text carrying the device id: added in front when the object has none."""
+    """Canonical JSON text: it carries the judged device id, once, and is valid JSON.
+
+    Another value of the field (null, a text, a different number) is replaced; an object without the
+    field gets it in front. NaN and infinities, which the fields accept, are put in quotes.
+    """
+    number = device.cast("string")
+    text = F.regexp_replace(text, NOT_A_NUMBER, '$1"$2"')
     rest = F.ltrim(F.substr(text, F.lit(2)))
     separator = F.when(rest.startswith("}"), F.lit("")).otherwise(F.lit(","))
-    added = F.concat(F.lit('{"device_id":'), device.cast("string"), separator, rest)
-    return F.when(json_id.isNull() & text.startswith("{"), added).otherwise(text)
+    added = F.concat(F.lit('{"device_id":'), number, separator, rest)
+    replaced = F.regexp_replace(text, F.lit(ID_FIELD), F.concat(F.lit('"device_id":'), number))
+    return (
+        F.when(~text.startswith("{") | (json_id == number), text)
+        .when(text.rlike(ID_FIELD), replaced)
+        .otherwise(added)
+    )
 
 
 def event_time(text: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from coldtrace.operators.hot import slice_in_order, split_hot, with_neighbours
+from coldtrace.session import materialise
 
 KEY = ["client", "msg_type", "msg_id"]
 ORDER = ["at", "is_response", "seq"]
@@ -37,6 +38,8 @@ def correlate(
     `messages`: client, msg_type, msg_id, at, is_response, seq. `hot` lists the oversized keys.
     """
     messages = messages.select(*KEY, *ORDER)
+    if hot is not None:  # read once for the split
+        messages = materialise(messages)
     ordinary, oversized = split_hot(messages, hot, KEY)
     paired = _neighbours(ordinary)
     if oversized is not None:

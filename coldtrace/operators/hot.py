@@ -9,23 +9,21 @@ from pyspark.sql import functions as F
 from coldtrace.session import materialise
 
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 100_000
+#: Rows that one task gets of a hot key, about.
+TASK_ROWS = 500_000
+#: Column of a list of hot keys that tells how many rows each one has.
+COUNT = "hot_rows"
 
 
 def hot_keys(rows: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than `limit` rows, or None when there is none.
+    """Keys with more than `limit` rows and their row counts, or None when there is none.
 
-    The count is combined on the map side and reads the key columns only. At most
-    (all rows / limit) keys can qualify. Should that exceed MAX_HOT_KEYS, the largest ones are
-    named; the others are then handled like ordinary keys, which is slower but equally exact.
+    The count is combined on the map side and reads the key columns only. The list, at most
+    (all rows / limit) keys, is a written table that Spark broadcasts while it is small.
     """
-    spark = rows.sparkSession
-    counted = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > limit)
-    largest = counted.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).select(*keys)
-    listed = largest.collect()
-    if not listed:
-        return None
-    return F.broadcast(spark.createDataFrame(listed, largest.schema))
+    counted = rows.groupBy(*keys).agg(F.count("*").alias(COUNT)).filter(F.col(COUNT) > limit)
+    listed = materialise(counted)
+    return None if listed.isEmpty() else listed
 
 
 def _same_key(keys: list[str]):
@@ -52,23 +50,22 @@ def spread_join(
     spread_by: list[str],
     how: str = "left",
     hot: DataFrame | None = None,
-    ways: int = 64,
+    ways: int | None = None,
 ) -> DataFrame:
-    """Equi-join whose hot keys are dealt over `ways` tasks.
+    """Equi-join whose hot keys are dealt over several tasks, `ways` or as many as they have rows for.
 
     Rows of a hot key get a salt from `spread_by`; the other side repeats its rows of that key once
     per salt. Other keys join as usual. Without hot keys this is a plain join.
     """
     if hot is None:
         return big.join(small, keys, how)
-    hot_on = list(hot.columns)
-    flagged = F.broadcast(hot.withColumn("is_hot", F.lit(True)))
-    salt = F.when(F.col("is_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(ways))).otherwise(0)
-    copies = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    left = big.join(flagged, hot_on, "left").withColumn("salt", salt.cast("int")).drop("is_hot")
-    right = small.join(flagged, hot_on, "left").withColumn("salt", F.explode(copies)).drop("is_hot")
+    hot_on = [c for c in hot.columns if c != COUNT]
+    counted = F.ceil(F.col(COUNT) / TASK_ROWS).cast("int") if COUNT in hot.columns else F.lit(64)
+    flagged = hot.select(*hot_on, (counted if ways is None else F.lit(ways)).alias("hot_ways"))
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("hot_ways")), F.lit(0))
+    copies = F.sequence(F.lit(0), F.coalesce("hot_ways", F.lit(1)) - 1)
+    left = big.join(flagged, hot_on, "left").withColumn("salt", salt.cast("int")).drop("hot_ways")
+    right = small.join(flagged, hot_on, "left").withColumn("salt", F.explode(copies)).drop("hot_ways")
     return left.join(right, [*keys, "salt"], how).drop("salt")
 
 
@@ -76,10 +73,13 @@ def slice_in_order(rows: DataFrame, order: list[str], slices: int | None = None)
     """Cut `rows` into contiguous pieces of near-equal size along `order`, numbered in `slice`.
 
     The cut points come from the whole order, not from a key, so one key may span many slices.
+    Without a given number there are as many slices as the counted rows need; `rows` should be
+    written already, as they are read for the count, the cut points and the cutting.
     The result is written once: every later step sees the same cuts, also after a lost executor.
     """
     spark = rows.sparkSession
-    count = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = slices or max(least, -(-rows.count() // TASK_ROWS))
     ranged = rows.repartitionByRange(count, *order)
     return materialise(ranged.withColumn("slice", F.spark_partition_id()))
 

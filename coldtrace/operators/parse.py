@@ -142,5 +142,6 @@ def funnel(decoded: DataFrame) -> DataFrame:
 
 
 def payload_sample(decoded: DataFrame, rows: int = 3) -> DataFrame:
-    """A few accepted payload texts for inspection."""
-    return decoded.filter(_passed_up_to(2)).select("topic", "message_key", "raw_json").limit(rows)
+    """The first accepted payload texts, by place in the topic, for inspection."""
+    accepted_texts = decoded.filter(_passed_up_to(2)).select("topic", "partition", "offset", "message_key", "raw_json")
+    return accepted_texts.orderBy("topic", "partition", "offset").limit(rows)

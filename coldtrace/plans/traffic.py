@@ -32,12 +32,16 @@ def rounded_time(ms: Column) -> Column:
     )
 
 
-def exact_sum(column: Column, places: int = 6) -> Column:
-    """Sum in decimals: the same whatever the order of the rows."""
-    return F.sum(column.cast(f"decimal(20,{places})"))
+#: Decimal places to which times and lengths are summed.
+PLACES = 6
 
 
-def histogram(requests: DataFrame) -> DataFrame:
+def decimal_sum(column: Column, places: int = PLACES) -> Column:
+    """Sum of values rounded to `places` decimals: the same whatever the order of the rows."""
+    return F.sum(column.cast(f"decimal(28,{places})"))
+
+
+def histogram(requests: DataFrame, places: int = PLACES) -> DataFrame:
     """Requests folded to one row per (type, name, rounded time): small however many there were."""
     return (
         requests.withColumn("rounded", rounded_time(F.col("response_time")))
@@ -45,8 +49,8 @@ def histogram(requests: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("n"),
             F.count("exception").alias("failed"),
-            exact_sum(F.col("response_time")).alias("total_time"),
-            exact_sum(F.col("response_length"), 0).alias("total_length"),
+            decimal_sum(F.col("response_time"), places).alias("total_time"),
+            decimal_sum(F.col("response_length"), places).alias("total_length"),
             F.min("response_time").alias("min_time"),
             F.max("response_time").alias("max_time"),
             F.min("at").alias("first_at"),
@@ -105,9 +109,9 @@ def request_stats(requests: DataFrame, with_total: bool = False) -> DataFrame:
             for name, limit in share.items()
         ],
     )
-    # The run is as long as from its first to its last request; by now there is one row per group.
-    run = W.partitionBy(F.lit(0))
-    span = F.unix_micros(F.max("last_at").over(run)) - F.unix_micros(F.min("first_at").over(run))
+    # The run is as long as from its first to its last request.
+    run = requests.agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    span = run.select(F.unix_micros("last") - F.unix_micros("first")).scalar()
     seconds = span / 1_000_000
     return stats.withColumn("run_seconds", seconds).select(
         "type",

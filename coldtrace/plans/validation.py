@@ -19,9 +19,9 @@ def _moment(value: Column | datetime | str) -> Column:
 
 
 def recent(rows: DataFrame, as_of, minutes: int) -> DataFrame:
-    """Rows of the last `minutes` before `as_of`."""
+    """Rows of the last `minutes` up to `as_of`; later ones do not exist yet at that time."""
     span = F.make_dt_interval(mins=F.lit(minutes))
-    return rows.filter(F.col(TIME) >= _moment(as_of) - span)
+    return rows.filter((F.col(TIME) >= _moment(as_of) - span) & (F.col(TIME) <= _moment(as_of)))
 
 
 def within(rows: DataFrame, start, end, inclusive_end: bool = True) -> DataFrame:
@@ -48,19 +48,6 @@ def per_minute(rows: DataFrame) -> DataFrame:
     )
 
 
-def per_minute_stream(rows: DataFrame, lateness: str = "10 minutes") -> DataFrame:
-    """The minute series as a streaming aggregate: tumbling windows under a watermark."""
-    return (
-        rows.withWatermark(TIME, lateness)
-        .groupBy(F.window(TIME, "1 minute"))
-        .agg(
-            F.count("*").alias("records"),
-            F.approx_count_distinct("device_id").alias("devices"),
-        )
-        .select(F.col("window.start").alias("minute"), "records", "devices")
-    )
-
-
 def distinct_devices(rows: DataFrame, approximate: bool = False) -> DataFrame:
     count = F.approx_count_distinct if approximate else F.count_distinct
     return rows.agg(count(F.col("device_id")).alias("devices"))

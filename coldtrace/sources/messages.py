@@ -51,7 +51,8 @@ def write_archive(
 ) -> None:
     """Append messages to the raw archive, by default laid out by partition, date and hour of arrival.
 
-    A sparse topic is better off with fewer levels; `date` must be one of them.
+    A sparse topic is better off with fewer levels; `date` must be one of them. Folders with many
+    messages are written by several tasks.
     """
     levels = {
         "source_partition": F.col("partition"),
@@ -59,7 +60,7 @@ def write_archive(
         "hour": F.hour("timestamp"),
     }
     rows = messages.select("*", *[levels[name].alias(name) for name in layout])
-    rows.repartition(*layout).write.mode("append").partitionBy(*layout).parquet(path)
+    rows.hint("rebalance", *layout).write.mode("append").partitionBy(*layout).parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:

@@ -21,10 +21,19 @@ def test_null_is_a_key(spark):
     assert (ordinary.count(), oversized.count()) == (1, 9)
 
 
-def test_largest_keys_are_named_first(spark, monkeypatch):
-    monkeypatch.setattr(hot, "MAX_HOT_KEYS", 1)
-    rows = spark.createDataFrame([(1,)] * 4 + [(2,)] * 9, "k int")
-    assert rows_of(hot.hot_keys(rows, ["k"], limit=2)) == [(2,)]
+def test_all_hot_keys_are_named_with_their_rows(spark):
+    rows = spark.createDataFrame([(1,)] * 4 + [(2,)] * 9 + [(3,)], "k int")
+    assert rows_of(hot.hot_keys(rows, ["k"], limit=2).select("k", hot.COUNT)) == [(4, 1), (9, 2)]
+
+
+def test_ways_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(hot, "TASK_ROWS", 100)
+    big = spark.range(1000).selectExpr("id AS seq", "if(id < 950, 0, id) AS k")
+    small = spark.range(1000).selectExpr("id AS k", "id AS v")
+    joined = hot.spread_join(big, small, ["k"], ["seq"], "inner", hot.hot_keys(big, ["k"], limit=500))
+    assert joined.count() == 1000
+    sliced = hot.slice_in_order(materialise(big), ["k", "seq"])
+    assert sliced.select("slice").distinct().count() >= 9
 
 
 def test_spread_join_is_a_join(spark):

@@ -8,6 +8,7 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as registered
+from coldtrace.plans import traffic, validation
 from coldtrace.plans.traffic import PERCENTILES
 from workload.views import Views
 
@@ -46,7 +47,7 @@ def test_payload_sample_shows_three(spark):
 
 def test_approximate_counts_are_near(spark):
     exact = QUERIES["q_per_device"](spark, SF_DIR).count()
-    about = QUERIES["q_distinct_devices_approx"](spark, SF_DIR).first()[0]
+    about = validation.distinct_devices(Views(spark, SF_DIR).telemetry, approximate=True).first()[0]
     assert abs(about - exact) <= max(1, 0.05 * exact)
 
 
@@ -55,7 +56,7 @@ def test_sketched_percentiles_are_exact_for_small_groups(spark):
     times = {}
     for r in Views(spark, SF_DIR).requests.collect():
         times.setdefault((r.type, r.name), []).append(r.response_time)
-    rows = QUERIES["q_percentiles_approx"](spark, SF_DIR).collect()
+    rows = traffic.approximate_percentiles(Views(spark, SF_DIR).requests).collect()
     assert len(rows) == len(times)
     for row in rows:
         ordered = sorted(times[row.type, row.name])

@@ -59,7 +59,7 @@ _PARSED = "SELECT event_id, device_id, event_timestamp, " + ", ".join(
     f"CASE WHEN framed THEN coalesce({name}, 0.0) ELSE {name} END AS {name}" for name in SENSORS
 ) + " FROM flagged WHERE NOT (bad OR plain OR no_device OR bad_time)"
 
-_WEEK = "CAST(floor((day(ts) - 1) / 7) AS INTEGER)"
+_WEEK = "CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 7) AS INTEGER)"
 
 _VIEWS = {
     "telemetry": _telemetry(),
@@ -151,7 +151,7 @@ _VIEWS = {
     "minutes": f"""SELECT {_WEEK} AS run,
         TIMESTAMP '2024-01-01' + to_minutes(
             (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 21600000000) AS minute,
-        count(*) AS records FROM events WHERE event_type <> 'signup' GROUP BY 1, 2""",
+        count(*) AS records FROM events GROUP BY 1, 2""",
     "phased": """SELECT m.run, m.minute, m.records,
             CASE WHEN b.steady_from IS NULL OR m.minute < b.steady_from THEN 'ramp-up'
                 WHEN m.minute <= b.steady_to THEN 'steady' ELSE 'end' END AS phase
@@ -166,13 +166,25 @@ _VIEWS = {
             {'metric': 'avg_lag_sec', 'value': avg(lag) / 4},
             {'metric': 'avg_lag_sec_oltp', 'value': avg(lag)},
             {'metric': 'records_per_minute', 'value': count(*) / 10},
-            {'metric': 'consumer_lag', 'value': 20000.0},
-            {'metric': 'throttled_ratio', 'value': 0.0},
+            {'metric': 'consumer_lag', 'value': (SELECT CAST(sum(sent - coalesce(got, 0)) AS DOUBLE)
+                FROM (SELECT user_id % 16 AS p, max(CASE WHEN user_id % 16 = 3
+                        AND hour(date_trunc('hour', ts)) = 0 THEN 0 ELSE event_id END) AS sent
+                    FROM events GROUP BY 1)
+                LEFT JOIN (SELECT user_id % 16 AS p, max(event_id) AS got FROM events
+                    WHERE event_id % 101 <> 0 GROUP BY 1) USING (p))},
+            {'metric': 'throttled_ratio', 'value': (SELECT count(*) FILTER (type = 'error')
+                / count(*) FROM requests)},
+            {'metric': 'rate_deviation_pct', 'value': (SELECT abs((n / 864000 - d / 38880)
+                / (d / 38880) * 100) FROM (SELECT count(*) FILTER (
+                    event_timestamp >= TIMESTAMP '2024-01-10'
+                    AND event_timestamp < TIMESTAMP '2024-01-20') AS n,
+                count(DISTINCT device_id) AS d FROM telemetry))},
             {'metric': 'device_coverage',
              'value': count(DISTINCT device_id) / (SELECT count(*) FROM device_master)},
             {'metric': 'batch_seconds', 'value': max(lag) / 4},
             {'metric': 'error_rate', 'value': count(*) FILTER (event_id % 97 = 0) / count(*)},
-            {'metric': 'failure_rate', 'value': 0.0}], recursive := true)
+            {'metric': 'failure_rate', 'value': (SELECT count(exception) / count(*) FROM requests)}],
+            recursive := true)
         FROM (SELECT *, epoch_us(create_time) // 1000000 - epoch_us(event_timestamp) // 1000000 AS lag
             FROM stored)""",
     "checks": "SELECT * FROM (VALUES "
@@ -194,11 +206,12 @@ _VIEWS = {
             epoch_us(TIMESTAMP '2024-01-01')
                 + (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 60 AS us FROM events""",
     "messages": """SELECT client, msg_type, msg_id, us, FALSE AS is_response, event_id AS seq
-        FROM squeezed WHERE event_type = 'click'
+        FROM squeezed WHERE event_type IN ('click', 'view', 'purchase')
         UNION ALL SELECT client, msg_type, msg_id, us + CAST(floor(value * 1000000 / 3) AS BIGINT),
-            TRUE, event_id FROM squeezed WHERE event_type = 'click' AND event_id % 7 <> 0
+            TRUE, event_id FROM squeezed
+            WHERE event_type IN ('click', 'view', 'purchase') AND event_id % 7 <> 0
         UNION ALL SELECT client, msg_type, msg_id, us, TRUE, event_id
-        FROM squeezed WHERE event_type = 'signup'""",
+        FROM squeezed WHERE event_type NOT IN ('click', 'view', 'purchase')""",
     # The request open at a response: the newest one before it, unless a response came in between.
     "matched": """SELECT * FROM (SELECT client, msg_type, msg_id, seq, is_response, us,
             lead(is_response) OVER w AS next_is_response, lead(us) OVER w AS next_us,
@@ -255,7 +268,7 @@ def _stats(view: str) -> str:
             CAST(sum(CAST(response_time AS DECIMAL(20, 6))) AS DOUBLE) / count(*)
                 AS average_response_time,
             min(response_time) AS min_response_time, max(response_time) AS max_response_time,
-            CAST(sum(CAST(response_length AS DECIMAL(20, 0))) AS DOUBLE) / count(*)
+            CAST(sum(CAST(response_length AS DECIMAL(20, 6))) AS DOUBLE) / count(*)
                 AS average_content_size,
             count(*) / any_value(run_seconds) AS requests_per_s,
             count(exception) / any_value(run_seconds) AS failures_per_s,
@@ -327,7 +340,16 @@ _QUERIES = {
             CASE WHEN no_device THEN 'no_device_id' WHEN plain THEN 'no_json_text'
                 WHEN bad THEN 'no_payload' ELSE 'no_event_time' END AS reason
         FROM flagged WHERE no_device OR plain OR bad OR bad_time""",
-    "q_variant": "SELECT event_id, device_id, external_temp, fan_motor_5 FROM parsed",
+    "q_payload_sample": """SELECT CASE WHEN no_device THEN 'devices/unknown/messages/events/'
+            ELSE concat('devices/loadtest-device-', lpad(CAST(device_id AS VARCHAR), 5, '0'),
+                '/messages/events/') END AS topic,
+            CAST(device_id AS VARCHAR) AS message_key, event_id
+        FROM flagged WHERE NOT (no_device OR plain)
+        ORDER BY topic, CAST(device_id % 16 AS INTEGER), event_id LIMIT 3""",
+    "q_canonical_json": """SELECT event_id, device_id, device_id AS text_id,
+            CAST(1 AS INTEGER) AS id_fields, device_id AS variant_id, event_id % 5 = 4 AS is_nan
+        FROM telemetry""",
+    "q_variant": f"SELECT event_id, device_id, {_SENSOR_LIST} FROM parsed",
     "q_binary_decode": f"""SELECT event_id, device_id, event_timestamp,
         {', '.join(f'coalesce({n}, 0.0) AS {n}' for n in SENSORS)} FROM flagged WHERE framed""",
     "q_bronze": """SELECT event_id, CAST(device_id % 16 AS INTEGER) AS partition,
@@ -419,13 +441,28 @@ _QUERIES = {
         FROM replay WHERE recovered_event_time IS NOT NULL""",
     "q_replay_sliced": "SELECT * FROM replay",
     "q_replay_incremental": "SELECT * FROM replay",
+    "q_replay_carried_sliced": f"""SELECT f.device_id, f.alert_id, f.started AS abnormal_start_time,
+            f.event_timestamp AS fired_event_time, f.current_sensor_value AS alert_value,
+            n.event_timestamp AS recovered_event_time
+        FROM (SELECT *, row_number() OVER (PARTITION BY device_id, alert_id, episode
+                ORDER BY event_timestamp, event_id) AS turn
+            FROM (SELECT *, CASE WHEN epoch_us(event_timestamp) >= (
+                    SELECT min(epoch_us(event_timestamp)) + (max(epoch_us(event_timestamp))
+                        - min(epoch_us(event_timestamp))) * 2 // 4 FROM telemetry)
+                    THEN judgment_time * 2 + 60 ELSE judgment_time END AS needed FROM running)
+            WHERE place > 1 AND
+                {_seconds('event_timestamp')} - {_seconds('started')} >= needed * 60) f
+        LEFT JOIN (SELECT * FROM numbered WHERE NOT threshold_exceeded) n
+            ON n.device_id = f.device_id AND n.alert_id = f.alert_id AND n.episode = f.episode + 1
+        WHERE f.turn = 1""",
     "q_total": "SELECT count(*) AS records FROM telemetry",
     "q_per_device": """SELECT device_id, count(*) AS cnt, max(event_timestamp) AS latest
         FROM telemetry GROUP BY device_id""",
     "q_minute_throughput": """SELECT date_trunc('minute', event_timestamp) AS minute,
         count(*) AS records, count(DISTINCT device_id) AS devices FROM telemetry GROUP BY 1""",
     "q_distinct_devices": f"""SELECT count(DISTINCT device_id) AS devices FROM telemetry
-        WHERE event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 1440 MINUTE""",
+        WHERE event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 1440 MINUTE
+            AND event_timestamp <= TIMESTAMP '{AS_OF}'""",
     "q_window_closed": """SELECT event_id, device_id, event_timestamp FROM telemetry
         WHERE event_timestamp BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'""",
     "q_ingest_lag": f"""SELECT avg(lag) AS avg_lag_sec, max(lag) AS max_lag_sec,
@@ -434,12 +471,17 @@ _QUERIES = {
     "q_staleness": f"""SELECT avg(lag) AS avg_lag_sec, max(lag) AS max_lag_sec,
             count(*) AS records_last_1min
         FROM (SELECT {_seconds(f"TIMESTAMP '{AS_OF}'")} - {_seconds('event_timestamp')} AS lag
-            FROM stored WHERE event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 600 MINUTE)""",
+            FROM stored WHERE event_timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 600 MINUTE
+                AND event_timestamp <= TIMESTAMP '{AS_OF}')""",
     "q_workers_per_minute": """SELECT date_trunc('minute', ts) AS minute,
         count(DISTINCT event_id % 7) AS worker_count FROM events GROUP BY 1""",
-    "q_latest_rows": """SELECT event_id, device_id, event_timestamp, external_temp FROM telemetry
+    "q_latest_rows": f"""SELECT event_id, device_id, event_timestamp, {_SENSOR_LIST} FROM telemetry
         ORDER BY event_timestamp DESC, event_id DESC LIMIT 50""",
-    "q_current_status": """SELECT device_id, event_timestamp, event_id, external_temp, fan_motor_1
+    "q_distinct_devices_approx": """SELECT count(DISTINCT device_id) AS devices, TRUE AS within_bound
+        FROM telemetry""",
+    "q_percentiles_approx": """SELECT type, name, count(*) AS requests, TRUE AS within_bound
+        FROM requests GROUP BY 1, 2""",
+    "q_current_status": f"""SELECT device_id, event_timestamp, event_id, {_SENSOR_LIST}
         FROM (SELECT *, row_number() OVER (PARTITION BY device_id
             ORDER BY event_timestamp DESC, event_id DESC) AS rn FROM telemetry) WHERE rn = 1""",
     "q_latest_per_key": """SELECT device_id, alert_id, max(event_timestamp) AS latest FROM judged
@@ -545,7 +587,7 @@ _QUERIES = {
             CAST(1024 AS INTEGER) AS min_bytes, CAST(1024 AS INTEGER) AS max_bytes
         FROM device_master""",
     "q_stream_minutes": """SELECT date_trunc('minute', event_timestamp) AS minute,
-        count(*) AS records FROM telemetry GROUP BY 1""",
+        count(*) AS records, count(DISTINCT device_id) AS devices FROM telemetry GROUP BY 1""",
     "q_stream_correlate": "SELECT * FROM correlated",
     "q_stream_silver": _SILVER
     + """ FROM parsed p JOIN device_master d ON p.device_id = d.device_id

@@ -40,7 +40,16 @@ def _pack(device: pa.Array, micros: pa.Array, *sensors: pa.Array) -> pa.Array:
     records["event_time"] = micros.to_numpy(zero_copy_only=False)
     for name, column in zip(SENSORS, sensors):
         records[name] = column.to_numpy(zero_copy_only=False)
-    return pa.array([r.tobytes() for r in records], pa.binary())
+    # All records lie in one buffer, one after the other.
+    offsets = np.arange(len(records) + 1, dtype=np.int32) * BINARY_RECORD.itemsize
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(records), [None, pa.py_buffer(offsets), pa.py_buffer(records)]
+    )
+
+
+def week_of(time: str):
+    """Weeks since the first day of the tables."""
+    return F.floor(F.datediff(F.col(time), F.lit("2024-01-01").cast("date")) / 7).cast("int")
 
 
 def plain_times(frame: DataFrame) -> DataFrame:
@@ -191,6 +200,31 @@ class Views:
             ).alias("timestamp"),
         )
 
+    @cached_property
+    def odd_messages(self) -> DataFrame:
+        """JSON messages whose device id is right, null, a text, missing, or beside a NaN."""
+        device = F.col("device_id").cast("string")
+        kind = F.col("event_id") % 5
+        field = (
+            F.when(kind == 1, '"device_id":null,')
+            .when(kind == 2, '"device_id" : "a\\"b,}",')
+            .when(kind == 3, "")
+            .otherwise(F.concat(F.lit('"device_id":'), device, F.lit(",")))
+        )
+        temperature = F.when(kind == 4, "NaN").otherwise(F.coalesce(F.col("external_temp").cast("string"), F.lit("null")))
+        text = F.concat(
+            F.lit("{"), field, F.lit('"event_timestamp":"'), iso_text(F.col("event_timestamp")),
+            F.lit('","external_temp":'), temperature, F.lit("}"),
+        )
+        return self.telemetry.select(
+            device.cast("binary").alias("key"),
+            text.cast("binary").alias("value"),
+            F.lit("devices/unknown/messages/events/").alias("topic"),
+            F.lit(0).alias("partition"),
+            F.col("event_id").alias("offset"),
+            F.col("event_timestamp").alias("timestamp"),
+        )
+
     @cached_property
     def stored(self) -> DataFrame:
         """Telemetry with the time it was stored: the message's arrival."""
@@ -243,14 +277,13 @@ class Views:
     @cached_property
     def minutes(self) -> DataFrame:
         """Records per run (week) and minute slot of it, a slot being six hours of the tables."""
-        week = F.floor((F.dayofmonth("ts") - 1) / 7).cast("int")
+        week = week_of("ts")
         slot = F.floor(
             (F.unix_seconds("ts") - F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))) / 21600
         ).cast("int")
         minute = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("slot"))
         return (
             self.events.select(week.alias("run"), slot.alias("slot"), "event_type")
-            .filter(F.col("event_type") != "signup")
             .groupBy("run", "slot")
             .agg(F.count("*").alias("records"))
             .select("run", minute.alias("minute"), "records")
@@ -259,7 +292,7 @@ class Views:
     @cached_property
     def runs(self) -> DataFrame:
         """A few figures per run (week)."""
-        week = F.floor((F.dayofmonth("ts") - 1) / 7).cast("int")
+        week = week_of("ts")
         return self.events.groupBy(week.alias("run")).agg(
             F.count("*").cast("double").alias("sent"),
             F.countDistinct("user_id").cast("double").alias("devices"),
@@ -295,9 +328,9 @@ class Views:
 
     @cached_property
     def messages(self) -> DataFrame:
-        """Requests (clicks) and their responses `value / 3` seconds later; every seventh is missing.
+        """Requests and their responses `value / 3` seconds later; every seventh is missing.
 
-        Signups are stray responses. Message ids repeat often, so that requests overtake each other.
+        Clicks, views and purchases are requests, all other events stray responses. Message ids repeat often, so that requests overtake each other.
         """
         value, event = F.col("value"), F.col("event_id")
         key = [
@@ -310,14 +343,14 @@ class Views:
         micros = F.floor((F.unix_micros("ts") - F.unix_micros(start)) / 60)
         at = F.timestamp_micros(F.unix_micros(start) + micros)
         later = F.timestamp_micros(F.unix_micros(start) + micros + F.floor(value * 1_000_000 / 3))
-        click = F.col("event_type") == "click"
+        click = F.col("event_type").isin("click", "view", "purchase")
         requests = self.events.filter(click).select(
             *key, at.alias("at"), F.lit(False).alias("is_response"), event.alias("seq")
         )
         responses = self.events.filter(click & (event % 7 != 0)).select(
             *key, later.alias("at"), F.lit(True).alias("is_response"), event.alias("seq")
         )
-        stray = self.events.filter(F.col("event_type") == "signup").select(
+        stray = self.events.filter(~click).select(
             *key, at.alias("at"), F.lit(True).alias("is_response"), event.alias("seq")
         )
         return requests.unionAll(responses).unionAll(stray)
