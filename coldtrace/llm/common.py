@@ -48,6 +48,11 @@ def uniform(key: Column, seed: str) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(16**13))
 
 
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Has Arrow batches end at `size` bytes: several copies of one exist in a worker at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df` written once and counted: broadcast if it has at most `rows` rows, else left to Spark."""
     kept = materialise(df)

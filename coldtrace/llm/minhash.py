@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldtrace.llm.arrays import blocks, hash_pairs, lower_ascii, mix, utf8, word_hashes, word_spans
-from coldtrace.llm.common import dealt, grouped, salted_join, small_side
+from coldtrace.llm.common import bound_batches, dealt, grouped, salted_join, small_side
 from coldtrace.llm.components import components
 from coldtrace.session import materialise
 
@@ -277,6 +277,7 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     Texts without words are linked with nothing, as are rows without an id, whose component is NULL.
     Rows that share an id share its component.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     made = materialise(sketches(docs, words))
     classes = materialise(

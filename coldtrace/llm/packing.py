@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldtrace.llm.arrays import blocks, utf8, word_hashes, word_spans
+from coldtrace.llm.common import bound_batches
 from coldtrace.session import materialise
 
 LENGTH = 4096
@@ -291,6 +292,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, most: int = OPEN
     that id alone. Rows that repeat, with or without an id, are documents of their own. Other
     columns are ignored; an empty table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long"), "text", F.spark_partition_id().cast("long").alias("part")
     )

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from coldtrace.llm import recompress
 from coldtrace.llm.arrays import blocks, mix, utf8, word_hashes, word_spans
-from coldtrace.llm.common import dealt
+from coldtrace.llm.common import bound_batches, dealt
 from coldtrace.session import materialise, scratch_root
 
 WINDOW = 20
@@ -341,6 +341,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     is xxhash64 of the text. NULL texts have no words. Rows without an id have no place in the order:
     they stay whole and nothing is judged by them. Equal rows of one id judge each other not.
     """
+    bound_batches(docs.sparkSession)
     texts = _bucketed(docs)
     symbols = materialise(_long_symbols(texts, max(LONG, window), window))
     spans = materialise(_listed(_later(symbols), "spans"))
