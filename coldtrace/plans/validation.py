@@ -9,6 +9,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 TIME = "event_timestamp"
@@ -85,6 +86,19 @@ def latest_rows(rows: DataFrame, count: int, seq: str = "event_id") -> DataFrame
     return rows.orderBy(F.desc(TIME), F.desc(seq)).limit(count)
 
 
+def busiest_devices(rows: DataFrame, count: int) -> DataFrame:
+    """Devices with the most records, in order; of equal ones the smaller id comes first."""
+    return per_device(rows).orderBy(F.desc("cnt"), "device_id").limit(count)
+
+
+def largest_gap_minutes(times: DataFrame) -> DataFrame:
+    """Longest pause between minutes with arrivals (`timestamp`) of the same day, in minutes."""
+    minutes = times.select(F.date_trunc("minute", "timestamp").alias("minute")).distinct()
+    in_day = W.partitionBy(F.to_date("minute")).orderBy("minute")
+    pause = F.unix_seconds("minute") - F.unix_seconds(F.lag("minute").over(in_day))
+    return minutes.select((pause / 60).alias("pause")).agg(F.max("pause").alias("gap_minutes"))
+
+
 def current_per_device(rows: DataFrame, columns: list[str], seq: str = "event_id") -> DataFrame:
     """Newest row of each device, as an aggregate with map-side combine."""
     newest = F.max(F.struct(TIME, seq, *columns)).alias("newest")

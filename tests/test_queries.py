@@ -14,7 +14,7 @@ from workload.views import Views
 
 QUERIES = registered.queries()
 ORACLES = registered.oracle_sql()
-STREAMED = {name for name in QUERIES if name.startswith("q_stream_")}
+STREAMED = {n for n in QUERIES if n.startswith(("q_stream_", "q_sink_", "q_monitor", "q_restart"))}
 
 
 def _sorted_rows(table):

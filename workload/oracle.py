@@ -182,6 +182,32 @@ _VIEWS = {
             {'metric': 'device_coverage',
              'value': count(DISTINCT device_id) / (SELECT count(*) FROM device_master)},
             {'metric': 'batch_seconds', 'value': max(lag) / 4},
+            {'metric': 'archive_delay_minutes', 'value': max(lag) / 60},
+            {'metric': 'freshness_sec', 'value': CAST(epoch_us(max(create_time)) // 1000000
+                - epoch_us(max(event_timestamp)) // 1000000 AS DOUBLE)},
+            {'metric': 'stored_rows', 'value': CAST(count(*) AS DOUBLE)},
+            {'metric': 'stored_rows_oltp', 'value': (SELECT CAST(count(*) AS DOUBLE) FROM mirror)},
+            {'metric': 'in_out_deviation_pct',
+             'value': abs((SELECT count(*) FROM mirror) / count(*) - 1) * 100},
+            {'metric': 'send_median_ms', 'value': (SELECT median_response_time FROM sending)},
+            {'metric': 'send_p95_ms', 'value': (SELECT p95 FROM sending)},
+            {'metric': 'devices_started', 'value': (SELECT count(DISTINCT device_id) FROM telemetry
+                WHERE device_id IN (SELECT device_id FROM device_master))
+                / (SELECT count(*) FROM device_master)},
+            {'metric': 'poll_failure_rate', 'value': 0 / count(*)},
+            {'metric': 'failure_rows', 'value': (SELECT CAST(count(*) AS DOUBLE) FROM (
+                SELECT DISTINCT type, name, exception FROM requests WHERE exception IS NOT NULL))},
+            {'metric': 'new_messages', 'value': (SELECT CAST(sum(grown) AS DOUBLE) FROM (
+                SELECT greatest(0, coalesce(last_sequence - lag(last_sequence) OVER (
+                    PARTITION BY partition ORDER BY poll_time), 0)) AS grown
+                FROM (SELECT user_id % 16 AS partition, date_trunc('hour', ts) AS poll_time,
+                        CASE WHEN user_id % 16 = 3 AND hour(date_trunc('hour', ts)) = 0 THEN 0
+                            ELSE max(event_id) END AS last_sequence
+                    FROM events GROUP BY user_id % 16, date_trunc('hour', ts))))},
+            {'metric': 'archive_gap_minutes', 'value': (SELECT max(gap) FROM (
+                SELECT (epoch_us(m) - epoch_us(lag(m) OVER (PARTITION BY CAST(m AS DATE) ORDER BY m)))
+                    / 60000000 AS gap
+                FROM (SELECT DISTINCT date_trunc('minute', create_time) AS m FROM stored)))},
             {'metric': 'error_rate', 'value': count(*) FILTER (event_id % 97 = 0) / count(*)},
             {'metric': 'failure_rate', 'value': (SELECT count(exception) / count(*) FROM requests)}],
             recursive := true)
@@ -308,6 +334,10 @@ def _generated() -> str:
             FROM (SELECT device_id, CAST(unnest(range(0, 4)) AS INTEGER) AS tick FROM device_master)))"""
 
 
+_VIEWS["sending"] = (
+    f"SELECT median_response_time, p95 FROM ({_stats('timed_total')}) WHERE name = 'Aggregated'"
+)
+
 _MAIL_BODY = (
     f"concat('{notices.BODY_HEAD}', '{notices.BODY_DEVICE}', CAST(device_id AS VARCHAR), '\n', "
     f"'{notices.BODY_ALERT}', alert_name, '\n', '{notices.BODY_ITEM}', "
@@ -481,6 +511,8 @@ _QUERIES = {
         FROM telemetry""",
     "q_percentiles_approx": """SELECT type, name, count(*) AS requests, TRUE AS within_bound
         FROM requests GROUP BY 1, 2""",
+    "q_busiest_devices": """SELECT device_id, count(*) AS cnt, max(event_timestamp) AS latest
+        FROM telemetry GROUP BY device_id ORDER BY cnt DESC, device_id LIMIT 20""",
     "q_current_status": f"""SELECT device_id, event_timestamp, event_id, {_SENSOR_LIST}
         FROM (SELECT *, row_number() OVER (PARTITION BY device_id
             ORDER BY event_timestamp DESC, event_id DESC) AS rn FROM telemetry) WHERE rn = 1""",
@@ -508,6 +540,12 @@ _QUERIES = {
                 concat('line-', CAST(event_id % 3 AS VARCHAR)) AS traceback,
                 concat('node-', CAST(user_id % 4 AS VARCHAR)) AS node
             FROM events WHERE event_type = 'error') GROUP BY 1, 2""",
+    "q_exception_files": """SELECT message, traceback, count(*) AS count,
+            string_agg(DISTINCT node, ', ' ORDER BY node) AS nodes
+        FROM (SELECT concat('message-', CAST(event_id % 5 AS VARCHAR)) AS message,
+                concat('line-', CAST(event_id % 3 AS VARCHAR)) AS traceback,
+                concat('node-', CAST(user_id % 4 AS VARCHAR)) AS node
+            FROM events WHERE event_type = 'error') GROUP BY 1, 2""",
     "q_seq_delta": """SELECT poll_time, CAST(sum(grown) AS BIGINT) AS new_messages FROM (
             SELECT poll_time, greatest(0, coalesce(last_sequence - lag(last_sequence) OVER (
                 PARTITION BY partition ORDER BY poll_time), 0)) AS grown
@@ -518,6 +556,16 @@ _QUERIES = {
         GROUP BY poll_time""",
     "q_stats_file": "SELECT type, name, request_count, failure_count, median_response_time, p99_9 "
     f"FROM ({_stats('timed')})",
+    "q_failure_files": """SELECT type AS method, name, exception AS error, count(*) AS occurrences
+        FROM requests WHERE exception IS NOT NULL GROUP BY 1, 2, 3""",
+    "q_sink_audit": """SELECT sink, CAST(3 AS BIGINT) AS finished, CAST(0 AS BIGINT) AS failed
+        FROM (VALUES ('silver'), ('alert_state'), ('alert_history'), ('email_queue'),
+            ('device_status'), ('alert_evaluation'), ('quarantine'), ('late_rows')) AS t(sink)""",
+    "q_monitor": """SELECT count(*) AS input_rows, CAST(3 AS BIGINT) AS batches, TRUE AS timed
+        FROM events""",
+    "q_restart": """SELECT p.device_id, count(*) AS rows FROM parsed p
+        JOIN device_master d ON p.device_id = d.device_id
+        WHERE organization_id IN (SELECT organization_id FROM organization_master) GROUP BY 1""",
     "q_device_list": """SELECT device_name, device_id FROM device_master
         WHERE device_id >= 100 AND device_id < 800""",
     "q_steady": """SELECT records, rate, expected_rate,

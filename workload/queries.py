@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from coldtrace.functions import frames, payload
 from coldtrace.operators import alerts, changes, correlate, enrich, numbering, parse, replay
@@ -15,6 +16,7 @@ from coldtrace.plans import runs, traffic, validation, verdicts
 from coldtrace.schemas import SENSORS
 from coldtrace.session import materialise, scratch_root
 from coldtrace.sources import generator, loadtest, messages
+from coldtrace.streaming import monitor
 from coldtrace.streaming.pipeline import Masters, Pipeline
 from coldtrace.streaming.correlation import CorrelationStream
 from coldtrace.streaming.minutes import MinuteStream
@@ -434,6 +436,11 @@ def q_latest_rows(v: Views) -> DataFrame:
     )
 
 
+@query
+def q_busiest_devices(v: Views) -> DataFrame:
+    return validation.busiest_devices(v.telemetry, 20)
+
+
 @query
 def q_current_status(v: Views) -> DataFrame:
     return validation.current_per_device(v.telemetry, list(SENSORS))
@@ -513,13 +520,31 @@ def q_seq_delta(v: Views) -> DataFrame:
 @query
 def q_stats_file(v: Views) -> DataFrame:
     """Statistics saved as a load-test file and read back with their file time."""
-    path = f"{scratch_root(v.spark)}/files-{uuid.uuid4().hex}"
     stats = traffic.request_stats(v.requests).drop("failure_rate")
-    stats.coalesce(1).write.option("header", True).csv(path)
-    rows = loadtest.request_files(v.spark, path)
+    rows = loadtest.request_files(v.spark, _saved(v, stats))
     return rows.select("type", "name", "request_count", "failure_count", "median_response_time", "p99_9")
 
 
+def _saved(v: Views, rows: DataFrame) -> str:
+    path = f"{scratch_root(v.spark)}/files-{uuid.uuid4().hex}"
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+@query
+def q_failure_files(v: Views) -> DataFrame:
+    """Failures saved as load-test files and read back."""
+    found = loadtest.failure_files(v.spark, _saved(v, traffic.failures(v.requests)))
+    return found.select("method", "name", "error", "occurrences")
+
+
+@query
+def q_exception_files(v: Views) -> DataFrame:
+    columns = ("count", "message", "traceback", "nodes")
+    found = loadtest.exception_files(v.spark, _saved(v, traffic.exceptions(v.raised).select(*columns)))
+    return found.select(*columns)
+
+
 @query
 def q_device_list(v: Views) -> DataFrame:
     path = f"{scratch_root(v.spark)}/devices-{uuid.uuid4().hex}"
@@ -609,7 +634,32 @@ def _measured(v: Views) -> DataFrame:
     steady = runs.steady_rate(validation.per_minute(v.telemetry), start, end, fleet, F.lit(38880)).select(
         F.abs("deviation_pct").alias("rate_deviation_pct")
     )
-    parts = [part.unpivot([], part.columns, "metric", "value") for part in (stored, behind, requests, steady)]
+    total = traffic.request_stats(v.requests, with_total=True).filter("name = 'Aggregated'")
+    sending = total.select(
+        F.col("median_response_time").alias("send_median_ms"), F.col("p95").alias("send_p95_ms")
+    )
+    known = v.telemetry.join(v.device_master, "device_id", "left_semi").agg(
+        (F.countDistinct("device_id") / F.lit(v.device_master.agg(F.count("*")).scalar())).alias("devices_started")
+    )
+    polled = v.polls.agg(share(F.col("last_sequence").isNull()).alias("poll_failure_rate"))
+    failed = traffic.failures(v.requests).agg(F.count("*").cast("double").alias("failure_rows"))
+    arrived = traffic.new_arrivals(v.polls).agg(F.sum("new_messages").cast("double").alias("new_messages"))
+    sent, kept = (t.agg(F.count("*")).scalar() for t in (v.telemetry, v.mirror))
+    both = v.spark.range(1).select(
+        (F.abs(kept / sent - 1) * 100).alias("in_out_deviation_pct"),
+        sent.cast("double").alias("stored_rows"),
+        kept.cast("double").alias("stored_rows_oltp"),
+    )
+    archive = v.stored.select(F.col("create_time").alias("timestamp"))
+    gap = validation.largest_gap_minutes(archive).select(F.col("gap_minutes").alias("archive_gap_minutes"))
+    fresh = v.stored.agg(
+        (F.max(lag) / 60).alias("archive_delay_minutes"),
+        (F.unix_seconds(F.max("create_time")) - F.unix_seconds(F.max("event_timestamp")))
+        .cast("double")
+        .alias("freshness_sec"),
+    )
+    frames_ = (stored, behind, requests, steady, sending, known, polled, failed, arrived, both, gap, fresh)
+    parts = [part.unpivot([], part.columns, "metric", "value") for part in frames_]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
@@ -769,25 +819,29 @@ def land_in_order(
     return reader.parquet(path)
 
 
-def run_stream(v: Views, mode: str, files: int = 3) -> Pipeline:
-    """Telemetry messages landed file by file in order and streamed through the pipeline."""
-    root = f"{scratch_root(v.spark)}/stream-{uuid.uuid4().hex}"
-    stream = land_in_order(v.raw_messages, "offset", f"{root}/landing", files)
-    pipeline = Pipeline(
+def new_pipeline(v: Views, mode: str) -> Pipeline:
+    return Pipeline(
         v.spark,
-        f"{root}/tables",
+        f"{scratch_root(v.spark)}/stream-{uuid.uuid4().hex}",
         masters_of(v),
         mode=mode,
         time_unit="us",  # of the test messages' binary times
         hot_devices=lambda rows: hot_keys(rows, ["device_id"]),
     )
-    pipeline.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
-    return pipeline
+
+
+def run_stream(v: Views, mode: str, parts: int = 3) -> tuple[Pipeline, StreamingQuery]:
+    """Telemetry messages landed part by part in order and streamed through the pipeline."""
+    pipeline = new_pipeline(v, mode)
+    stream = land_in_order(v.raw_messages, "offset", f"{pipeline.root}/landing", parts)
+    running = pipeline.start(stream, f"{pipeline.root}/checkpoint", interval=None)
+    running.awaitTermination()
+    return pipeline, running
 
 
 @query
 def q_stream_silver(v: Views) -> DataFrame:
-    pipeline = run_stream(v, "batch")
+    pipeline, _ = run_stream(v, "batch")
     return pipeline.silver.read(v.spark).select(
         "device_id", "organization_id", "event_timestamp", "event_date", *SENSORS
     )
@@ -795,7 +849,7 @@ def q_stream_silver(v: Views) -> DataFrame:
 
 @query
 def q_stream_alerts(v: Views) -> DataFrame:
-    pipeline = run_stream(v, "replay")
+    pipeline, _ = run_stream(v, "replay")
     history = current_history(pipeline.history.read(v.spark))
     return history.select(
         "alert_id",
@@ -828,3 +882,36 @@ def q_stream_correlate(v: Views) -> DataFrame:
     query.awaitTermination()
     correlation.finish(query.lastProgress.batchId)
     return correlation.results.read(v.spark).drop("epoch", "batch_id")
+
+
+@query
+def q_sink_audit(v: Views) -> DataFrame:
+    """Per sink the batches that it finished and that it failed."""
+    pipeline, _ = run_stream(v, "batch")
+    return pipeline.audit.read(v.spark).groupBy("sink").agg(
+        F.count_if("ok").alias("finished"), F.count_if(~F.col("ok")).alias("failed")
+    )
+
+
+@query
+def q_monitor(v: Views) -> DataFrame:
+    """Progress reports of a stream: rows handled, batches with rows, and whether times are told."""
+    _, running = run_stream(v, "batch")
+    progress = monitor.recent_progress(running)
+    timed = monitor.measures(progress).filter("metric IN ('batch_seconds', 'rows_per_second')")
+    return progress.filter("input_rows > 0").agg(
+        F.sum("input_rows").alias("input_rows"), F.count("*").alias("batches")
+    ).withColumn("timed", timed.agg(F.min(F.col("value") > 0)).scalar())
+
+
+@query
+def q_restart(v: Views) -> DataFrame:
+    """A stream that stops after a third of its messages and goes on: every row is stored once."""
+    pipeline = new_pipeline(v, "batch")
+    third = F.col("offset") % 3 == 0
+    for part in (v.raw_messages.filter(third), v.raw_messages.filter(~third)):
+        part.write.mode("append").parquet(f"{pipeline.root}/landing")
+        for _ in range(2):  # the second start finds nothing new
+            stream = v.spark.readStream.schema(v.raw_messages.schema).parquet(f"{pipeline.root}/landing")
+            pipeline.start(stream, f"{pipeline.root}/checkpoint", interval=None).awaitTermination()
+    return pipeline.silver.read(v.spark).groupBy("device_id").agg(F.count("*").alias("rows"))
