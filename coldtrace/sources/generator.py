@@ -120,6 +120,7 @@ def telemetry(
     first = Draws(seed, F.col("device_id"), F.lit("start"))
     seconds = F.floor(first.unit(0) * spread_seconds) + F.col("tick") * interval_seconds
     rows = sent.withColumn("event_timestamp", F.timestamp_seconds(F.unix_seconds(start) + seconds))
+    rows = draws.attach(rows, 2 * len(SENSORS))
     drawn = _readings(draws)
     return rows.select("device_id", "tick", "event_timestamp", *[drawn[n].alias(n) for n in SENSORS])
 
@@ -154,6 +155,7 @@ def rate_messages(spark: SparkSession, device_count: int, rows_per_second: int,
     """An endless stream of generated messages, one device after the other."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
     draws = Draws(seed, F.col("value"))
+    ticks = draws.attach(ticks, 2 * len(SENSORS))
     drawn = _readings(draws)
     readings = ticks.select(
         (F.col("value") % device_count).cast("int").alias("device_id"),
