@@ -8,8 +8,10 @@ of sets with a Jaccard similarity of 0.8 or more differ in 9.6 places on average
 DISTANCE with a probability below 0.0004.
 
 Equal sets are one class from the start. Among classes that share a key, links are sought where
-they still matter: twice, each class is compared with one hub of its buckets; then every pair of a
-bucket that is not yet connected is compared. All links are confirmed on the full sets.
+they still matter: twice, each class is compared with one hub of its buckets. Then signatures alone
+join classes within DISTANCE to families, and in each family whatever is not yet connected is
+compared. All links are confirmed on the full sets; of a crowd of copies, or of texts that are nearly
+similar enough, pairs are compared inside tasks and never written out.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ SIMILARITY = (80, 100)
 STAR_ROUNDS = 2
 #: Members of a bucket that are compared at a time.
 BLOCK = 512
+#: Members of a family that are compared, with their sets, at a time.
+FAMILY_BLOCK = 128
 
 _MASKS = mix(np.arange(PLACES, dtype=np.uint64), 21)
 _FACTORS = mix(np.arange(PLACES, dtype=np.uint64), 22) | np.uint64(1)
@@ -160,21 +164,29 @@ def _apart(left: np.ndarray, right: np.ndarray) -> bool:
     return SIMILARITY[1] * shared < SIMILARITY[0] * (len(left) + len(right) - shared)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) of document ids whose full sets are similar enough."""
+def _sets_of(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(id, set) of the documents in `ids`: sorted shingle hashes as bytes, written once."""
 
     def of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sets, size = [], [], 0
+            names, sets, size = [], [], 0
             for k, found in enumerate(shingle_sets(batch.column(1), words)):
-                ids.append(batch.column(0)[k].as_py())
+                names.append(batch.column(0)[k].as_py())
                 sets.append(found.tobytes())
                 size += len(sets[-1])
                 if size > 8 << 20 or k == batch.num_rows - 1:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], names=["id", "set"]
+                        [pa.array(names, pa.int64()), pa.array(sets, pa.binary())], names=["id", "set"]
                     )
-                    ids, sets, size = [], [], 0
+                    names, sets, size = [], [], 0
+
+    asked = small_side(ids.distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(asked, "id", "left_semi")
+    return materialise(texts.mapInArrow(of_sets, "id long, set binary"))
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) of document ids whose full sets are similar enough."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,9 +194,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
             close = pa.array([not _apart(x, y) for x, y in zip(left, right)], pa.bool_())
             yield batch.select(["a", "b"]).filter(close)
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(small_side(ends), "id", "left_semi")
-    sets = materialise(texts.mapInArrow(of_sets, "id long, set binary"))
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, words)
     for end in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("set").alias(f"set_{end}")), end)
     rows = pairs.select("a", "b", "set_a", "set_b")
@@ -222,10 +232,29 @@ def _star_pairs(rows: DataFrame, sizes: DataFrame, round_: int) -> DataFrame:
     return best.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
-def _near_in_block(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of the left and right rows of a block with different labels that may be similar."""
-    ids, labels, sizes = (group[c].to_numpy() for c in ("id", "label", "n"))
-    marks = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(len(ids), -1)
+def _in_blocks(rows: DataFrame, by: str, size: int) -> DataFrame:
+    """Rows of each group cut into blocks of about `size`, every block brought together with every.
+
+    A pair (i, j) of blocks, i <= j, holds the rows of both; `is_left` and `is_right` tell the sides.
+    """
+    counts = rows.groupBy(by).agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
+    placed = salted_join(rows, counts, [by], [F.col("id")], "inner").withColumn(
+        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    return placed.select("*", other).select(
+        *rows.columns,
+        F.least("part", "other").alias("i"),
+        F.greatest("part", "other").alias("j"),
+        (F.col("part") <= F.col("other")).alias("is_left"),
+        (F.col("part") >= F.col("other")).alias("is_right"),
+    )
+
+
+def _near_in_block(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of left and right rows with different labels that may be similar; their distances."""
+    labels, sizes = group["label"].to_numpy(), group["n"].to_numpy()
+    marks = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(len(labels), -1)
     left, right = (
         np.flatnonzero(group[c].to_numpy(zero_copy_only=False)) for c in ("is_left", "is_right")
     )
@@ -236,38 +265,122 @@ def _near_in_block(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     high = np.maximum(sizes[left][:, None], sizes[right])
     fits = (far <= DISTANCE) & (low * SIMILARITY[1] >= high * SIMILARITY[0])
     rows, columns = np.nonzero(fits & (labels[left][:, None] != labels[right]))
-    return ids[left[rows]], ids[right[columns]]
+    return left[rows], right[columns], far[rows, columns]
 
 
-def _all_pairs_left(rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _near_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of a bucket with different labels, within DISTANCE and of fitting sizes.
 
     Buckets are compared block against block inside tasks; only such pairs leave them.
     """
-    counts = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     known = rows.join(classes.select("id", "n", "signature"), "id")
-    placed = salted_join(known, counts, ["key"], [F.col("id")], "inner").withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ["key", "i", "j"]):
+            ids = group["id"].to_numpy()
+            x, y, _ = _near_in_block(group)
+            ends = np.unique(np.sort(np.stack([ids[x], ids[y]], axis=1), axis=1), axis=0)
+            if len(ends):
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:, k]) for k in (0, 1)], names=["a", "b"])
+
+    met = dealt(_in_blocks(known, "key", BLOCK), ["key", "i", "j"])
+    return met.mapInArrow(compared, "a long, b long").distinct()
+
+
+def _near_stars(rows: DataFrame, classes: DataFrame, round_: int) -> DataFrame:
+    """Pairs of a class and a hub of one of its buckets, within DISTANCE and of fitting sizes."""
+    order = F.struct(F.xxhash64(F.lit(round_), "id").alias("o"), "id", "label")
+    hubs = rows.groupBy("key").agg(F.min(order).alias("hub")).select(
+        "key", F.col("hub.id").alias("hub"), F.col("hub.label").alias("hub_label")
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    fields = ["id", "label", "n", "signature"]
-    met = placed.select("key", "part", *fields, other).select(
-        "key",
-        F.least("part", "other").alias("i"),
-        F.greatest("part", "other").alias("j"),
-        *fields,
-        (F.col("part") <= F.col("other")).alias("is_left"),
-        (F.col("part") >= F.col("other")).alias("is_right"),
+    met = rows.join(hubs, "key").filter("label != hub_label")
+    pairs = met.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    for end in ("a", "b"):
+        known = classes.select(
+            F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("signature").alias(f"s_{end}")
+        )
+        pairs = pairs.join(known, end)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s, t = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16) for k in (2, 3))
+            far = (s.reshape(-1, PLACES) != t.reshape(-1, PLACES)).sum(axis=1)
+            yield batch.select(["a", "b"]).filter(pa.array(far <= DISTANCE))
+
+    fitting = pairs.filter(_size_fits("n_a", "n_b")).select("a", "b", "s_a", "s_b")
+    return fitting.mapInArrow(near, "a long, b long")
+
+
+def _families(buckets: DataFrame, classes: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, component): classes joined by links and by signatures within DISTANCE.
+
+    Hubs first join what they can; then all pairs of different families are compared. So any two
+    classes within DISTANCE that share a key, which all such do, are in one family in the end.
+    """
+    for round_ in range(STAR_ROUNDS + 1):
+        rows = materialise(_labelled(buckets, found))
+        if round_ < STAR_ROUNDS:
+            near = _near_stars(rows, classes, 10 + round_)
+        else:
+            near = _near_pairs(rows, classes)
+        links = materialise(links.unionByName(near))
+        found = components(links)
+    return found
+
+
+def _forest(count: int, pairs: Iterator[tuple[int, int]], linked) -> Iterator[tuple[int, int]]:
+    """The linked ones of `pairs` that connect what was not connected before."""
+    parent = list(range(count))
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    for x, y in pairs:
+        p, q = root(x), root(y)
+        if p != q and linked(x, y):
+            parent[q] = p
+            yield x, y
+
+
+def _links_left(
+    families: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame, words: int
+) -> DataFrame:
+    """Links between members of a family that are not connected yet, confirmed on full sets.
+
+    Members are compared block against block with their sets at hand; of the links of a pair of
+    blocks those go out that connect its members.
+    """
+    label = found.withColumnRenamed("node", "id").withColumnRenamed("component", "label")
+    members = (
+        classes.select("id", "n", "signature")
+        .join(families.withColumnRenamed("node", "id").withColumnRenamed("component", "family"), "id")
+        .join(label, "id", "left")
+        .withColumn("label", F.coalesce("label", "id"))
     )
+    open_ = members.groupBy("family").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+    members = materialise(members.join(open_.filter("x != y").select("family"), "family", "left_semi"))
+    rows = _in_blocks(members, "family", FAMILY_BLOCK).join(_sets_of(members.select("id"), docs, words), "id")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ["key", "i", "j"]):
-            x, y = _near_in_block(group)
-            if len(x):
-                ends = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
-                yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+        for group in grouped(batches, ["family", "i", "j"]):
+            x, y, far = _near_in_block(group)
+            if not len(x):
+                continue
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group["set"]]
+            nearest = np.argsort(far, kind="stable")
+            pairs = zip(x[nearest].tolist(), y[nearest].tolist())
+            tree = list(_forest(len(sets), pairs, lambda p, q: not _apart(sets[p], sets[q])))  # noqa: B023
+            if tree:
+                ids, ends = group["id"].to_numpy(), np.array(tree)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[ends[:, k]]) for k in (0, 1)], names=["a", "b"]
+                )
 
-    return dealt(met, ["key", "i", "j"]).mapInArrow(compared, "a long, b long").filter("a < b").distinct()
+    fields = ["family", "i", "j", "id", "label", "n", "signature", "is_left", "is_right", "set"]
+    return dealt(rows.select(*fields), ["family", "i", "j"]).mapInArrow(compared, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
@@ -290,15 +403,14 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     shared = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     buckets = materialise(keys.join(shared, "key", "left_semi"))
     links, found = None, None
-    for round_ in range(STAR_ROUNDS + 1):
+    for round_ in range(STAR_ROUNDS):
         rows = materialise(_labelled(buckets, found))
-        if round_ < STAR_ROUNDS:
-            pairs = _star_pairs(rows, sizes, round_)
-        else:
-            pairs = _all_pairs_left(rows, classes)
-        new = confirm(materialise(pairs), docs, words)
+        new = confirm(materialise(_star_pairs(rows, sizes, round_)), docs, words)
         links = materialise(new if links is None else links.unionByName(new))
         found = components(links)
+    families = _families(buckets, classes, links, found)
+    links = materialise(links.unionByName(_links_left(families, found, classes, docs, words)))
+    found = components(links)
     # Classes of copies lead to their smallest id, and from there to the component.
     copied = classes.filter("copies > 1").select("low", "high", F.col("n").alias("n_shingles"), "id")
     copied = copied.join(found.withColumnRenamed("node", "id"), "id", "left").select(

@@ -192,3 +192,19 @@ def test_saturated_lists_are_enlarged(spark, monkeypatch):
 def test_no_vectors(spark):
     found, recall = embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert found.count() == 0 and recall == 1.0
+
+
+def test_crowds_of_almost_similar_texts(spark, monkeypatch):
+    """Many variants of a text around the threshold, over several blocks."""
+    monkeypatch.setattr(minhash, "FAMILY_BLOCK", 16)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    draw = random.Random(11)
+    base = sentence(draw, 150, 100000).split()
+    rows = []
+    for k in range(120):
+        ws = list(base)
+        for _ in range(draw.choice([2, 4, 5, 6, 7])):
+            ws[draw.randrange(len(ws))] = f"n{draw.random()}"
+        rows.append((k, " ".join(ws)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in minhash.near_duplicates(docs, 5).collect()) == brute_near(docs.collect(), 5)
