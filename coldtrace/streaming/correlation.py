@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from coldtrace.operators import correlate
+from coldtrace.operators.hot import hot_keys
 from coldtrace.streaming.tables import BatchTable, epoch_of, read_if_exists
 
 OPEN_SCHEMA = (
@@ -35,7 +36,7 @@ class CorrelationStream:
     root: str
     wait_seconds: int = correlate.WAIT_SECONDS
     lateness_seconds: int = 30
-    hot_keys: Callable[[DataFrame], DataFrame | None] | None = None
+    hot_keys: Callable[[DataFrame], DataFrame | None] = lambda rows: hot_keys(rows, correlate.KEY)
 
     def __post_init__(self) -> None:
         root = self.root.rstrip("/")
@@ -55,7 +56,7 @@ class CorrelationStream:
 
     def _settle(self, known: DataFrame, after: datetime, upto: datetime | None) -> DataFrame:
         """Results of the messages in (after, upto]."""
-        hot = self.hot_keys(known) if self.hot_keys else None
+        hot = self.hot_keys(known)
         own_time = F.coalesce("request_at", "response_at")
         found = correlate.correlate(known, self.wait_seconds, hot).filter(own_time > F.lit(after))
         return found if upto is None else found.filter(own_time <= F.lit(upto))
