@@ -319,6 +319,8 @@ def _families(buckets: DataFrame, classes: DataFrame, links: DataFrame, found: D
     """
     for round_ in range(STAR_ROUNDS + 1):
         rows = materialise(_labelled(buckets, found))
+        if rows.isEmpty():
+            break
         if round_ < STAR_ROUNDS:
             near = _near_stars(rows, classes, 10 + round_)
         else:
@@ -405,6 +407,8 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     links, found = None, None
     for round_ in range(STAR_ROUNDS):
         rows = materialise(_labelled(buckets, found))
+        if links is not None and rows.isEmpty():
+            break
         new = confirm(materialise(_star_pairs(rows, sizes, round_)), docs, words)
         links = materialise(new if links is None else links.unionByName(new))
         found = components(links)

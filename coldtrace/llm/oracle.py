@@ -40,6 +40,22 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_r
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+#: All pairs, then the least id reachable.
+OP5 = """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+n AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS l FROM e WHERE len(v) > 0),
+p AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM n x JOIN n y
+    ON x.vec_id <> y.vec_id AND list_inner_product(x.v, y.v) >= 0.95 * (x.l * y.l) AND x.l > 0 AND y.l > 0
+), reach(v, r) AS (
+    SELECT vec_id, vec_id FROM e UNION SELECT reach.v, p.b FROM reach JOIN p ON reach.r = p.a
+), c AS (SELECT v AS vec_id, min(r) AS component_id FROM reach GROUP BY v),
+d AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept,
+    1.0::DOUBLE AS audited_recall
+FROM c LEFT JOIN d USING (vec_id)
+"""
+
 OP6 = rf"""
 WITH w AS (
     SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, {WORDS} AS ws FROM documents
@@ -140,6 +156,7 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op1_warc_chunks": OP1,
         "op4_recompression": OP4,
+        "op5_nn_descent": OP5,
         "op6_rule_ledger": OP6,
         "op9_multi_index_minhash": OP9,
         "op10_repetition_mix": OP10,
