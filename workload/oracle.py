@@ -5,14 +5,51 @@ from __future__ import annotations
 import re
 
 from coldtrace.functions import notices
-from coldtrace.plans.traffic import PERCENTILES
-from coldtrace.plans.verdicts import CHECKS
 from coldtrace.schemas import SENSORS
 from coldtrace.sources.generator import HEATER_ON, RANGES
 from workload.views import AS_OF, BATCH_TIME, STATE_FIRED, STATE_START
 
 _SENSOR_LIST = ", ".join(SENSORS)
 
+# Fixed values, stated here once more so that a slip in the code under test shows.
+PERCENTILES = {
+    "p50": 0.5,
+    "p66": 0.66,
+    "p75": 0.75,
+    "p80": 0.8,
+    "p90": 0.9,
+    "p95": 0.95,
+    "p98": 0.98,
+    "p99": 0.99,
+    "p99_9": 0.999,
+    "p99_99": 0.9999,
+    "p100": 1.0,
+}
+CHECKS = [
+    (6, "sending", "failure_rate", "<=", 0.0, 0.01),
+    (7, "sending", "send_median_ms", "<", 5000.0, 10000.0),
+    (8, "sending", "send_p95_ms", "<", 5000.0, 10000.0),
+    (9, "sending", "rate_deviation_pct", "<=", 1.0, 5.0),
+    (10, "sending", "devices_started", ">=", 1.0, 1.0),
+    (12, "broker", "poll_failure_rate", "<=", 0.0, 0.0),
+    (14, "sending", "failure_rows", "<=", 0.0, 0.0),
+    (15, "broker", "new_messages", ">", 0.0, 0.0),
+    (16, "broker", "consumer_lag", "<=", 10000.0, 100000.0),
+    (17, "broker", "throttled_ratio", "<=", 0.0, 0.0),
+    (18, "broker", "in_out_deviation_pct", "<=", 1.0, 5.0),
+    (20, "archive", "archive_gap_minutes", "<=", 5.0, 10.0),
+    (21, "archive", "archive_delay_minutes", "<=", 10.0, 30.0),
+    (22, "lakehouse", "stored_rows", ">", 0.0, 0.0),
+    (23, "lakehouse", "freshness_sec", "<=", 60.0, 600.0),
+    (24, "lakehouse", "avg_lag_sec", "<", 5.0, 10.0),
+    (25, "lakehouse", "records_per_minute", ">=", 7200.0, 3600.0),
+    (26, "lakehouse", "device_coverage", ">=", 1.0, 1.0),
+    (27, "oltp", "stored_rows_oltp", ">", 0.0, 0.0),
+    (28, "oltp", "avg_lag_sec_oltp", "<", 5.0, 10.0),
+    (32, "pipeline", "batch_seconds", "<", 10.0, 60.0),
+    (33, "pipeline", "error_rate", "<=", 0.01, 0.01),
+]
+
 
 def _seconds(column: str) -> str:
     return f"(epoch_us({column}) // 1000000)"
