@@ -131,7 +131,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
-    """(key, id) for every chunk and every place of it that may be wrong."""
+    """(key, id, n) for every chunk and every place of it that may be wrong."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,11 +151,12 @@ def index_keys(classes: DataFrame) -> DataFrame:
                     [
                         pa.array(np.concatenate(keys).view(np.int64)),
                         pa.array(np.tile(ids, len(keys))),
+                        pa.array(np.tile(part.column(2).to_numpy(), len(keys))),
                     ],
-                    names=["key", "id"],
+                    names=["key", "id", "n"],
                 )
 
-    return classes.select("id", "signature").mapInArrow(keyed, "key long, id long")
+    return classes.select("id", "signature", "n").mapInArrow(keyed, "key long, id long, n long")
 
 
 def _apart(left: np.ndarray, right: np.ndarray) -> bool:
@@ -202,12 +203,12 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
 
 
 def _labelled(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Bucket rows (key, id) with the label of what is connected so far, of undecided buckets only."""
+    """Bucket rows (key, id, n) with the label of what is connected so far, of undecided buckets only."""
     if found is None:
         return buckets.withColumn("label", F.col("id"))
     named = found.select(F.col("node").alias("id"), F.col("component"))
     rows = buckets.join(named, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("label")
+        "key", "id", "n", F.coalesce("component", "id").alias("label")
     )
     open_keys = rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
     return rows.join(open_keys.filter("x != y").select("key"), "key", "left_semi")
@@ -217,18 +218,18 @@ def _size_fits(a: str, b: str):
     return F.least(a, b) * SIMILARITY[1] >= F.greatest(a, b) * SIMILARITY[0]
 
 
-def _star_pairs(rows: DataFrame, sizes: DataFrame, round_: int) -> DataFrame:
-    """One pair a class at most: with the hub that it shares the most keys with."""
-    first = F.min(
-        F.struct(F.xxhash64(F.lit(round_), "id").alias("o"), "id", "label")
-    ).alias("hub")
+def _star_pairs(rows: DataFrame, round_: int) -> DataFrame:
+    """One pair a class at most: with the hub of fitting size that it shares the most keys with."""
+    first = F.min(F.struct(F.xxhash64(F.lit(round_), "id").alias("o"), "id", "label", "n")).alias("hub")
     hubs = rows.groupBy("key").agg(first).select(
-        "key", F.col("hub.id").alias("hub"), F.col("hub.label").alias("hub_label")
+        "key",
+        F.col("hub.id").alias("hub"),
+        F.col("hub.label").alias("hub_label"),
+        F.col("hub.n").alias("hub_n"),
     )
-    met = rows.join(hubs, "key").filter("label != hub_label").groupBy("id", "hub").count()
-    ids, hubs_of = (sizes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}")) for c in ("id", "hub"))
-    fitting = met.join(ids, "id").join(hubs_of, "hub").filter(_size_fits("n_id", "n_hub"))
-    best = fitting.groupBy("id").agg(F.max_by("hub", F.struct("count", F.xxhash64("hub"))).alias("hub"))
+    met = rows.join(hubs, "key").filter(F.col("label") != F.col("hub_label"))
+    shared = met.filter(_size_fits("n", "hub_n")).groupBy("id", "hub").count()
+    best = shared.groupBy("id").agg(F.max_by("hub", F.struct("count", F.xxhash64("hub"))).alias("hub"))
     return best.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
@@ -273,7 +274,7 @@ def _near_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
     Buckets are compared block against block inside tasks; only such pairs leave them.
     """
-    known = rows.join(classes.select("id", "n", "signature"), "id")
+    known = rows.drop("n").join(classes.select("id", "n", "signature"), "id")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, ["key", "i", "j"]):
@@ -400,7 +401,6 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
         .groupBy("low", "high", F.col("n_shingles").alias("n"))
         .agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature"), F.count("*").alias("copies"))
     )
-    sizes = classes.groupBy("id").agg(F.max("n").alias("n"))
     keys = materialise(index_keys(classes))
     shared = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     buckets = materialise(keys.join(shared, "key", "left_semi"))
@@ -409,7 +409,7 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
         rows = materialise(_labelled(buckets, found))
         if links is not None and rows.isEmpty():
             break
-        new = confirm(materialise(_star_pairs(rows, sizes, round_)), docs, words)
+        new = confirm(materialise(_star_pairs(rows, round_)), docs, words)
         links = materialise(new if links is None else links.unionByName(new))
         found = components(links)
     families = _families(buckets, classes, links, found)
