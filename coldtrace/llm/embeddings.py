@@ -3,8 +3,8 @@
 Every vector has a list of its nearest vectors found so far. Lists begin with what random
 hyperplanes bring together and are refined by joins of neighbours with neighbours of neighbours: at
 each vector, the ones listed by it or listing it are compared with each other. A list whose last
-entry still reaches the threshold is saturated; such lists are enlarged, around leaders, until all
-links among a leader's neighbours are known. Recall is audited against brute force on a bounded
+entry still reaches the threshold is saturated; the saturated vectors are dealt to leaders, and the
+members of all leaders within reach of each other are compared. Recall is audited against brute force on a bounded
 sample of queries; while it is too low, descent goes on with longer lists.
 
 Equal vectors are one class. Vectors travel with the rows that need them, in groups of bounded size.
@@ -190,7 +190,7 @@ def _both(links: DataFrame) -> DataFrame:
 
 
 def _leaders_lists(open_: DataFrame, links: DataFrame, units: DataFrame) -> DataFrame:
-    """(leader, id): whole neighbourhoods of leaders of the saturated vectors `open_`.
+    """(leader, id): neighbourhoods of leaders of the saturated vectors `open_`.
 
     A leader comes first, in a drawn order, among its open neighbours. Its list takes in its
     neighbours' neighbours until nothing new comes near enough.
@@ -216,30 +216,116 @@ def _leaders_lists(open_: DataFrame, links: DataFrame, units: DataFrame) -> Data
     return lists.select(F.col("a").alias("leader"), F.col("b").alias("id")).unionByName(itself)
 
 
-def _links_among(lists: DataFrame, units: DataFrame) -> DataFrame:
-    """Links (a, b) within each leader's list, compared block against block."""
-    counts = lists.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    placed = lists.join(counts, "leader").withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+def _homes(around: DataFrame, units: DataFrame) -> DataFrame:
+    """(leader, id, sim): each listed vector with the nearest of the leaders that list it."""
+    rows = around.distinct()
+    for end in ("leader", "id"):
+        rows = rows.join(units.select(F.col("id").alias(end), F.col("unit").alias(f"u_{end}")), end)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (
+                [np.frombuffer(x.as_buffer(), np.float64) for x in batch.column(k)] for k in (2, 3)
+            )
+            sims = np.array([x @ y for x, y in zip(left, right)], np.float64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sims)], names=["leader", "id", "sim"]
+            )
+
+    met = rows.select("leader", "id", "u_leader", "u_id").mapInArrow(measured, "leader long, id long, sim double")
+    nearest = met.groupBy("id").agg(F.max(F.struct("sim", "leader")).alias("home"))
+    return nearest.select("home.leader", "id", "home.sim")
+
+
+def _blocks(members: DataFrame, key: str) -> DataFrame:
+    """Adds `part` and `parts`: the members of a key are dealt over blocks of about BLOCK."""
+    counts = members.groupBy(key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    return members.join(counts, key).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+
+
+def _met(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows (l, m, i, j, id, is_left, is_right) in which block i of key l meets block j of key m, once.
+
+    `members` are (key, id, part), `pairs` (l, m, parts_l, parts_m). Where a key meets itself, i <= j.
+    """
+    itself = F.col("l") == F.col("m")
+    upto = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1)).alias("other")
+    left = members.withColumnRenamed("key", "l").join(pairs, "l").select("l", "m", "id", "part", upto("parts_m"))
+    right = members.withColumnRenamed("key", "m").join(pairs, "m").select("l", "m", "id", "part", upto("parts_l"))
+    left = left.filter(~itself | (F.col("part") <= F.col("other"))).select(
+        "l",
+        "m",
+        F.col("part").alias("i"),
+        F.col("other").alias("j"),
+        "id",
+        F.lit(True).alias("is_left"),
+        (itself & (F.col("part") == F.col("other"))).alias("is_right"),
     )
-    # A block meets every block of its list once: pair (i, j) with i <= j holds both.
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    met = placed.select("leader", "id", "part", other).select(
-        "leader",
-        F.least("part", "other").alias("i"),
-        F.greatest("part", "other").alias("j"),
+    right = right.filter(~itself | (F.col("other") < F.col("part"))).select(
+        "l",
+        "m",
+        F.col("other").alias("i"),
+        F.col("part").alias("j"),
         "id",
-        (F.col("part") <= F.col("other")).alias("is_left"),
-        (F.col("part") >= F.col("other")).alias("is_right"),
+        F.lit(False).alias("is_left"),
+        F.lit(True).alias("is_right"),
     )
+    return left.unionByName(right)
+
+
+def _sides(group: pa.Table) -> list[np.ndarray]:
+    return [np.flatnonzero(group[c].to_numpy()) for c in ("is_left", "is_right")]
+
+
+def _leader_pairs(homes: DataFrame, units: DataFrame) -> DataFrame:
+    """(l, m), l <= m, of leaders so near that members of theirs may be linked.
+
+    Members lie within the angle `radius` of their leader; beyond both radii and the angle of
+    THRESHOLD nothing can be linked, by the triangle inequality. All leaders are compared, block
+    against block.
+    """
+    radius = F.acos(F.least(F.greatest(F.min("sim"), F.lit(-1.0)), F.lit(1.0)))
+    leaders = homes.groupBy("leader").agg(radius.alias("radius")).withColumnRenamed("leader", "id")
+    leaders = leaders.join(units.select("id", F.octet_length("unit").alias("key")), "id")
+    placed = materialise(_blocks(leaders, "key"))
+    itself = placed.select(F.col("key").alias("l"), F.col("key").alias("m"), "parts").distinct()
+    itself = itself.select("l", "m", F.col("parts").alias("parts_l"), F.col("parts").alias("parts_m"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ["leader", "i", "j"]):
-            ids = group["id"].to_numpy()
+        for group in grouped(batches, ["l", "i", "j"]):
+            ids, radii = group["id"].to_numpy(), group["radius"].to_numpy()
             matrix = _matrix(group["unit"], np.float64)
-            left, right = (
-                np.flatnonzero(group[c].to_numpy(zero_copy_only=False)) for c in ("is_left", "is_right")
+            left, right = _sides(group)
+            apart = np.arccos(np.clip(matrix[left] @ matrix[right].T, -1, 1))
+            # The slack is above the error of an arc cosine near 1.
+            reach = radii[left][:, None] + radii[right] + np.arccos(THRESHOLD) + 1e-6
+            rows, columns = np.nonzero(apart <= reach)
+            a, b = ids[left[rows]], ids[right[columns]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["l", "m"]
             )
+
+    rows = _met(placed.select("key", "id", "part"), itself).join(placed.select("id", "radius"), "id")
+    rows = rows.join(units, "id").select("l", "i", "j", "id", "is_left", "is_right", "radius", "unit")
+    return dealt(rows, ["l", "i", "j"]).mapInArrow(compared, "l long, m long").distinct()
+
+
+def _links_near(homes: DataFrame, units: DataFrame) -> DataFrame:
+    """All links (a, b) among the vectors of `homes`: leaders' members against those of near leaders."""
+    placed = materialise(_blocks(homes, "leader"))
+    parts = placed.select("leader", "parts").distinct()
+    pairs = _leader_pairs(homes, units)
+    for end in ("l", "m"):
+        pairs = pairs.join(
+            parts.select(F.col("leader").alias(end), F.col("parts").alias(f"parts_{end}")), end
+        )
+    pairs = materialise(pairs)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, ["l", "m", "i", "j"]):
+            ids = group["id"].to_numpy()
+            matrix = _matrix(group["unit"], np.float64)
+            left, right = _sides(group)
             rows, columns = np.nonzero(matrix[left] @ matrix[right].T >= THRESHOLD)
             a, b = ids[left[rows]], ids[right[columns]]
             for k in range(0, len(a), 100_000):
@@ -249,21 +335,31 @@ def _links_among(lists: DataFrame, units: DataFrame) -> DataFrame:
                     [pa.array(a[keep][apart]), pa.array(b[keep][apart])], names=["a", "b"]
                 )
 
-    rows = met.join(units, "id").select("leader", "i", "j", "id", "is_left", "is_right", "unit")
-    return dealt(rows, ["leader", "i", "j"]).mapInArrow(compared, "a long, b long")
+    members = placed.select(F.col("leader").alias("key"), "id", "part")
+    rows = _met(members, pairs).join(units, "id")
+    rows = rows.select("l", "m", "i", "j", "id", "is_left", "is_right", "unit")
+    return dealt(rows, ["l", "m", "i", "j"]).mapInArrow(compared, "a long, b long")
 
 
 def enlarge(lists: DataFrame, links: DataFrame, units: DataFrame, most: int) -> DataFrame:
-    """Links after the saturated lists have been enlarged; both directions."""
+    """Links after all links among the saturated vectors have been added; both directions.
+
+    Leaders are taken until their lists hold every saturated vector. A link of a saturated vector
+    with one that is not stands on the latter's list.
+    """
     reach = lists.groupBy("a").agg(F.count("*").alias("n"), F.min("sim").alias("last"))
     open_ = materialise(
         reach.filter((F.col("n") >= most) & (F.col("last") >= THRESHOLD - 1e-4)).select(F.col("a").alias("id"))
     )
+    around = None
     while not open_.isEmpty():
-        around = materialise(_leaders_lists(open_, links, units))
-        links = materialise(_both(links.unionByName(_links_among(around, units))))
-        open_ = materialise(open_.join(around.select("id").distinct(), "id", "left_anti"))
-    return links
+        more = materialise(_leaders_lists(open_, links, units))
+        around = more if around is None else around.unionByName(more)
+        open_ = materialise(open_.join(more.select("id").distinct(), "id", "left_anti"))
+    if around is None:
+        return links
+    homes = materialise(_homes(around, units))
+    return materialise(_both(links.unionByName(_links_near(homes, units))))
 
 
 def audit(links: DataFrame, units: DataFrame, queries: int = AUDIT) -> float:

@@ -189,6 +189,20 @@ def test_saturated_lists_are_enlarged(spark, monkeypatch):
     assert Counter(tuple(r) for r in found.collect()) == brute_links(rows)
 
 
+def test_dense_clusters_wider_than_the_threshold(spark, monkeypatch):
+    """Saturated vectors whose neighbours reach beyond their leader's list."""
+    monkeypatch.setattr(embeddings, "LIST", 4)
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    draw = np.random.default_rng(4)
+    spread = draw.normal(size=(2, 1, 8)) + 0.45 * np.pad(draw.normal(size=(2, 200, 3)), ((0, 0), (0, 0), (0, 5)))
+    rows = [(2 * k + 1, list(map(float, v))) for k, v in enumerate(spread.reshape(-1, 8))]
+    links = brute_links(rows)
+    assert max(n for _, n, _ in links) > 40
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found, _ = embeddings.near_vectors(table)
+    assert Counter(tuple(r) for r in found.collect()) == links
+
+
 def test_no_vectors(spark):
     found, recall = embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert found.count() == 0 and recall == 1.0
