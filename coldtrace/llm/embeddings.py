@@ -5,7 +5,7 @@ hyperplanes bring together and are refined by joins of neighbours with neighbour
 each vector, the ones listed by it or listing it are compared with each other. A list whose last
 entry still reaches the threshold is saturated; the saturated vectors are dealt to leaders, and the
 members of all leaders within reach of each other are compared. Recall is audited against brute force on a bounded
-sample of queries; while it is too low, descent goes on with longer lists.
+sample of queries; while it is too low, descent goes on with further hyperplanes and longer lists.
 
 Equal vectors are one class. Vectors travel with the rows that need them, in groups of bounded size.
 """
@@ -34,6 +34,8 @@ ROUNDS = 3
 AUDIT = 1000
 RECALL = 0.99
 DOUBLINGS = 3
+#: Starts with hyperplanes of their own, after which a recall that is still too low is an error.
+STARTS = 12
 
 
 def _unit(values: np.ndarray) -> np.ndarray:
@@ -363,13 +365,15 @@ def enlarge(lists: DataFrame, links: DataFrame, units: DataFrame, most: int) ->
 
 
 def audit(links: DataFrame, units: DataFrame, queries: int = AUDIT) -> float:
-    """Share of the links of about `queries` vectors, compared with all others, that are known."""
-    asked = units.filter(F.pmod(F.col("id"), F.lit(100)) == 0)
-    n = asked.count()
-    if n > queries:
-        draw = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1_000_000)) / 1_000_000
-        asked = asked.filter(draw < queries / n)
-    rows = asked.collect()  # a bounded number of vectors
+    """Known share of a query's links, from about `queries` vectors compared with all others.
+
+    The mean over the queries with links, or that over those with fewer than LIST alone if it is
+    lower: each query counts once, so a crowd does not hide what is lost elsewhere.
+    """
+    n = units.count()
+    draw = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1_000_000)) / 1_000_000
+    asked = units if n <= queries else units.filter(draw < queries / n)
+    rows = asked.select("id", "unit").collect()  # a bounded number of vectors
     if not rows:
         return 1.0
     spark = units.sparkSession
@@ -397,14 +401,17 @@ def audit(links: DataFrame, units: DataFrame, queries: int = AUDIT) -> float:
                         )
 
     true = materialise(units.select("id", "unit").mapInArrow(compared, "a long, b long"))
-    total = true.count()
-    return true.join(links, ["a", "b"], "left_semi").count() / total if total else 1.0
+    known = true.join(links.select("a", "b", F.lit(1).alias("known")), ["a", "b"], "left")
+    share = (F.count("known") / F.count("*")).alias("share")
+    asked = known.groupBy("a").agg(F.count("*").alias("n"), share)
+    means = asked.agg(F.avg("share"), F.avg(F.when(F.col("n") < LIST, F.col("share")))).first()
+    return min((m for m in means if m is not None), default=1.0)
 
 
 def near_vectors(rows: DataFrame) -> tuple[DataFrame, float]:
     """((vec_id, n_links, component_id) of every row of `rows` (vec_id, embedding), audited recall).
 
-    Vectors are linked from a cosine of THRESHOLD on. Unusable vectors (NULL, empty, zero, with NULL
+    Vectors are linked from a cosine of THRESHOLD on; a recall below RECALL is an error. Unusable vectors (NULL, empty, zero, with NULL
     or non-finite components) and rows without an id have no links; vectors of different length are
     not compared. Rows that share an id share its links.
     """
@@ -423,8 +430,8 @@ def near_vectors(rows: DataFrame) -> tuple[DataFrame, float]:
     exact = classes.select("id", "unit")
     vectors = materialise(exact.mapInArrow(narrow, "id long, v binary"))
     most, lists = LIST, None
-    for doubling in range(DOUBLINGS + 1):
-        start = first_lists(vectors, most, doubling)
+    for attempt in range(STARTS):
+        start = first_lists(vectors, most, attempt)
         lists = materialise(_top(start if lists is None else start.unionByName(lists), most))
         for _ in range(ROUNDS):
             lists = materialise(descend(lists, vectors, most))
@@ -435,7 +442,10 @@ def near_vectors(rows: DataFrame) -> tuple[DataFrame, float]:
         recall = audit(links, exact)
         if recall >= RECALL:
             break
-        most *= 2
+        if attempt < DOUBLINGS:
+            most *= 2
+    else:
+        raise RuntimeError(f"audited recall {recall:.4f} is below {RECALL} after {STARTS} starts")
     found = components(links.filter("a < b"))
     sizes = classes.select("id", F.col("n").alias("copies"))
     linked = (

@@ -203,6 +203,36 @@ def test_dense_clusters_wider_than_the_threshold(spark, monkeypatch):
     assert Counter(tuple(r) for r in found.collect()) == links
 
 
+def test_audit_sees_lost_pairs_beside_a_crowd(spark):
+    """Odd ids, a crowd with nearly all links and isolated pairs, of which half are lost."""
+    draw = np.random.default_rng(6)
+    crowd = draw.normal(size=(1, 16)) + 0.01 * draw.normal(size=(60, 16))
+    ends = draw.normal(size=(40, 16))
+    every = np.concatenate([crowd, ends, ends + 1e-3])
+    every /= np.linalg.norm(every, axis=1, keepdims=True)
+    ids = [2 * k + 1 for k in range(len(every))]
+    units = spark.createDataFrame([(i, v.tobytes()) for i, v in zip(ids, every)], "id long, unit binary")
+    near = every @ every.T >= 0.95
+    np.fill_diagonal(near, False)
+    links = [(ids[a], ids[b]) for a, b in zip(*np.nonzero(near))]
+    lost = {i for k in range(20) for i in (ids[60 + k], ids[100 + k])}
+    known = [e for e in links if e[0] not in lost]
+    schema = "a long, b long"
+    assert embeddings.audit(spark.createDataFrame(links, schema), units) == 1.0
+    assert len(known) > 0.98 * len(links)
+    assert embeddings.audit(spark.createDataFrame(known, schema), units) == pytest.approx(0.5)
+    assert embeddings.audit(spark.createDataFrame(known, schema), units, 70) < 0.99
+
+
+def test_low_recall_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "STARTS", 2, raising=False)
+    monkeypatch.setattr(embeddings, "DOUBLINGS", 1)
+    monkeypatch.setattr(embeddings, "audit", lambda *_: 0.5)
+    table = spark.createDataFrame(list(enumerate(vectors(5)))[:40], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="0.5"):
+        embeddings.near_vectors(table)
+
+
 def test_no_vectors(spark):
     found, recall = embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert found.count() == 0 and recall == 1.0
