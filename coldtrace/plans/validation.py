@@ -92,11 +92,18 @@ def busiest_devices(rows: DataFrame, count: int) -> DataFrame:
 
 
 def largest_gap_minutes(times: DataFrame) -> DataFrame:
-    """Longest pause between minutes with arrivals (`timestamp`) of the same day, in minutes."""
-    minutes = times.select(F.date_trunc("minute", "timestamp").alias("minute")).distinct()
-    in_day = W.partitionBy(F.to_date("minute")).orderBy("minute")
-    pause = F.unix_seconds("minute") - F.unix_seconds(F.lag("minute").over(in_day))
-    return minutes.select((pause / 60).alias("pause")).agg(F.max("pause").alias("gap_minutes"))
+    """Longest pause between minutes with arrivals (`timestamp`), in minutes.
+
+    Minutes are ordered inside their day; pauses across days come from one row per day.
+    """
+    minutes = times.select(F.date_trunc("minute", "timestamp").alias("minute")).filter("minute IS NOT NULL").distinct()
+    minutes = minutes.withColumn("day", F.to_date("minute"))
+    pause = lambda start, before: (F.unix_seconds(start) - F.unix_seconds(before)) / 60
+    in_day = W.partitionBy("day").orderBy("minute")
+    inside = minutes.select(pause(F.col("minute"), F.lag("minute").over(in_day)).alias("pause"))
+    days = minutes.groupBy("day").agg(F.min("minute").alias("first"), F.max("minute").alias("last"))
+    across = days.select(pause(F.col("first"), F.lag("last").over(W.orderBy("day"))).alias("pause"))
+    return inside.unionByName(across).agg(F.max("pause").alias("gap_minutes"))
 
 
 def current_per_device(rows: DataFrame, columns: list[str], seq: str = "event_id") -> DataFrame:

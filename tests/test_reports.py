@@ -136,3 +136,14 @@ def test_missing_measure_is_a_caution(spark):
 def test_catch_up():
     assert catch_up_minutes(700 * 3600, 700, 2100) == 30
     assert catch_up_minutes(1, 5, 5) is None
+
+
+def test_largest_gap_reaches_across_days(spark):
+    def gap(*texts):
+        rows = spark.createDataFrame([(at(t) if t else None,) for t in texts], "timestamp timestamp")
+        return validation.largest_gap_minutes(rows).first()[0]
+
+    assert gap("2024-01-01T23:48:10", "2024-01-01T23:50:00", "2024-01-02T08:00:59", "2024-01-02T08:03:00") == 490
+    assert gap("2024-01-01T12:00:00", "2024-01-04T12:00:00", None) == 3 * 24 * 60
+    assert gap("2024-01-01T10:00:00", "2024-01-01T23:59:00", "2024-01-02T00:00:00") == 839
+    assert gap("2024-01-01T10:00:00") is None
