@@ -4,8 +4,8 @@ A signature holds PLACES minimum hashes of 16 bits. Its places are split into CH
 pigeonhole principle two signatures that differ in at most DISTANCE places agree on some chunk but
 for DISTANCE // CHUNKS places, here one. Each chunk is therefore indexed once for every place that
 may be wrong, with that place left out: any two signatures within DISTANCE share a key. Signatures
-of sets with a Jaccard similarity of 0.8 or more differ in 9.6 places on average, and in more than
-DISTANCE with a probability below 0.0004.
+of sets with a Jaccard similarity of 0.8 differ in 9.6 places on average, and in more than DISTANCE
+with a probability of 0.0005; such a link is lost unless other links join its ends.
 
 Equal sets are one class from the start. Among classes that share a key, links are sought where
 they still matter: twice, each class is compared with one hub of its buckets. Then signatures alone
