@@ -1,8 +1,9 @@
-"""WARC archives over a chunked record table.
+"""WARC archives in chunks.
 
-A payload travels as rows (record, chunk number, bytes) of bounded size that carry the digest of
-everything up to them. Each chunk becomes one WARC record: a payload of several chunks is written as
-a first segment and its continuations, so neither writer nor reader holds more than a chunk of it.
+Chunks have a bounded size and carry the digest of everything up to them. Each becomes one WARC
+record: a payload of several chunks is written as a first segment and its continuations. Up to the
+writer a payload travels whole, as one row, and the writer holds whole copies of it; the reader holds
+a chunk. `chunk_table` gives the chunks as rows; the writer does not go through it.
 Archives are written and read by Spark's text source, whose line separators are the marks between
 WARC records; they are compressed as whole files and so read by one task each, in order.
 """
