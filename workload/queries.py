@@ -603,7 +603,12 @@ def q_run_summary(v: Views) -> DataFrame:
 
 
 def _measured(v: Views) -> DataFrame:
-    """Metrics of the checks, all taken from the tables."""
+    """Metrics of the checks over the tables; some are fixture data and not measures.
+
+    Fixture data: `avg_lag_sec` and `batch_seconds` (event-to-store lag over 4), `records_per_minute`
+    (a tenth of all rows, whatever their time span), `error_rate` (a share of ids, not of messages that
+    fail to parse) and the backlog of `consumer_lag` (ids left out of what was read).
+    """
     lag = F.unix_seconds("create_time") - F.unix_seconds("event_timestamp")
     stored = v.stored.agg(
         (F.avg(lag) / 4).alias("avg_lag_sec"),
