@@ -151,6 +151,55 @@ SELECT doc_id, size, source_size, target,
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
 
+OP11 = r"""
+WITH t AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(turn_key)) AS pos,
+        turn_key, words
+    FROM (
+        SELECT conv_id, turn, concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')) AS turn_key,
+            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+        FROM conversations WHERE conv_id IS NOT NULL
+    )
+), c AS (
+    SELECT c, list_reduce(
+        list_concat([4294967295], list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+        lambda acc, byte: list_reduce(
+            list_concat([xor(acc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda r, unused: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END
+        )
+    ) AS crc FROM (SELECT DISTINCT c FROM t)
+), h AS (
+    SELECT c, xor(crc, 4294967295) % 4 AS h FROM c
+), parts AS (
+    SELECT h.c, 0 AS own, t.pos, turn_key, words FROM h JOIN t ON t.c = h.c - h.c % 20 AND t.pos <= h.h
+    UNION ALL
+    SELECT h.c, 1, t.pos, turn_key, words FROM h JOIN t ON t.c = h.c AND t.pos > h.h
+), rebuilt AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS d, turn_key, words FROM parts
+), member AS (
+    SELECT c, d, words, md5(string_agg(md5(turn_key), '') OVER (PARTITION BY c ORDER BY d)) AS node FROM rebuilt
+    UNION ALL SELECT c, 0, 0, '' FROM h
+), sized AS (
+    SELECT *, max(d) OVER (PARTITION BY c) AS size FROM member
+), nodes AS (
+    SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words, max(size) = d AS leaf,
+        sha256(coalesce(string_agg(CASE WHEN size = d THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+    FROM sized GROUP BY node, d
+), edges AS (
+    SELECT DISTINCT a.node AS child, b.node AS parent FROM sized a JOIN sized b ON a.c = b.c AND a.d = b.d + 1
+), below AS (
+    SELECT DISTINCT a.node AS top, b.node AS node FROM sized a JOIN sized b ON a.c = b.c AND b.d >= a.d
+), fans AS (
+    SELECT parent, count(*) AS n_children FROM edges GROUP BY parent
+), sums AS (
+    SELECT top, count(*) FILTER (leaf) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+    FROM below JOIN nodes USING (node) GROUP BY top
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+    coalesce(f.n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums ON top = n.node LEFT JOIN fans f ON f.parent = n.node LEFT JOIN edges e ON e.child = n.node LEFT JOIN nodes p ON p.node = e.parent
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return {
@@ -160,4 +209,5 @@ def llm_oracles() -> dict[str, str]:
         "op6_rule_ledger": OP6,
         "op9_multi_index_minhash": OP9,
         "op10_repetition_mix": OP10,
+        "op11_prefix_table": OP11,
     }

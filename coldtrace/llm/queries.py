@@ -14,6 +14,7 @@ from coldtrace.llm import (
     minhash,
     mixing,
     packing,
+    prefix_trie,
     quality_model,
     quality_rules,
     sharding,
@@ -134,6 +135,14 @@ def op10_repetition_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def heads(conv):
+        turns = F.pmod(F.crc32(conv.cast("string").cast("binary")), F.lit(4))
+        return conv - conv % 20, turns
+
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), heads)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -148,5 +157,6 @@ def llm_queries() -> dict[str, Query]:
             op8_subword_quality,
             op9_multi_index_minhash,
             op10_repetition_mix,
+            op11_prefix_table,
         )
     }
