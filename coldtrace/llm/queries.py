@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldtrace.llm import (
+    alignment,
     embeddings,
     language,
     minhash,
@@ -19,6 +20,7 @@ from coldtrace.llm import (
     quality_rules,
     sharding,
     substring,
+    toxicity,
     warc,
 )
 from coldtrace.llm.common import table
@@ -143,6 +145,26 @@ def op11_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), heads)
 
 
+def op12_anchored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)[0]
+
+
+def op13_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("passages").cast("long").alias("n_passages"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -158,5 +180,7 @@ def llm_queries() -> dict[str, Query]:
             op9_multi_index_minhash,
             op10_repetition_mix,
             op11_prefix_table,
+            op12_anchored_windows,
+            op13_toxic_segments,
         )
     }
