@@ -17,6 +17,7 @@ than `doc_id` and `text` are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 from coldtrace.llm.common import bound_batches
 from coldtrace.session import materialise
 
+# Fixed value: how byte-level vocabularies of this kind split a text before merging.
+PARTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Windows that a task remembers before it begins anew with the next block.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 18
 #: Bytes of a block of documents, about.
 BLOCK = "4m"
 #: An id pair as one number: ids of the second tokenizer have so many bits.
@@ -51,29 +54,40 @@ def byte_of_symbol() -> dict[str, int]:
 
 
 class Tokenizer:
-    """Ids of a text, and per id its bytes, their number, and whether they begin with a blank."""
+    """Ids of a text, and per id its bytes, their number, whether they begin with a blank, its digits."""
 
     def _spelled(self, spelling: list[bytes]) -> None:
         self.spelling = spelling
         self.size = np.array([len(s) for s in spelling], np.int64)
         self.blank = np.array([s[:1] == b" " for s in spelling])
+        self.name = [str(number) for number in range(len(spelling))]
 
 
 class ByteLevel(Tokenizer):
+    """A byte-level vocabulary, read from its file and applied by ranks.
+
+    Ids of such a vocabulary are in the order of its merges, so joining the pair of least rank gives the
+    same tokens as its list of merges, several times as fast.
+    """
+
     def __init__(self, path: str):
-        import tokenizers
-
-        self._of = tokenizers.Tokenizer.from_file(path)
-        self._of.encode_special_tokens = True  # their strings inside texts are plain text
-        symbols, special = byte_of_symbol(), self._of.get_added_tokens_decoder()
-        spelling = [b""] * (max(self._of.get_vocab().values()) + 1)
-        for token, number in self._of.get_vocab().items():
-            if number not in special:
-                spelling[number] = bytes(symbols[c] for c in token)
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        symbols, special = byte_of_symbol(), {token["id"] for token in described["added_tokens"]}
+        vocabulary = described["model"]["vocab"]
+        ranks = {
+            bytes(symbols[c] for c in token): number for token, number in vocabulary.items() if number not in special
+        }
+        self._of = tiktoken.Encoding("byte level", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
+        spelling = [b""] * (max(vocabulary.values()) + 1)
+        for token, number in ranks.items():
+            spelling[number] = token
         self._spelled(spelling)
 
     def ids(self, text: str) -> list[int]:
-        return self._of.encode(" " + text, add_special_tokens=False).ids
+        return self._of.encode_ordinary(" " + text)
 
 
 class Pieces(Tokenizer):
@@ -98,36 +112,48 @@ def _tokenizers(path_a: str, path_b: str) -> tuple[Tokenizer, Tokenizer]:
     return ByteLevel(path_a), Pieces(path_b)
 
 
-def align_window(a: list[int], b: list[int], size_a: np.ndarray, size_b: np.ndarray) -> list[tuple[list[int], list[int]]]:
-    """Groups of a window: ids up to each place where tokens of both end."""
-    groups, i, j, x, y = [], 0, 0, 0, 0
-    begin_a = begin_b = 0
-    while i < len(a):
-        x += size_a[a[i]]
+def align_window(
+    a: list[int], b: list[int], size_a: list[int], size_b: list[int]
+) -> tuple[list[tuple[int, int]], list[tuple[list[int], list[int]]]]:
+    """Where the groups of a window end on either side, and the groups that are no single pair.
+
+    A group ends at each place where tokens of both end.
+    """
+    ends, wide = [], []
+    i = j = x = y = begin_a = begin_b = 0
+    for token in a:
+        x += size_a[token]
         i += 1
         while y < x:
             y += size_b[b[j]]
             j += 1
         if x == y:
-            groups.append((a[begin_a:i], b[begin_b:j]))
+            ends.append((i, j))
+            if i - begin_a > 1 or j - begin_b > 1:
+                wide.append((a[begin_a:i], b[begin_b:j]))
             begin_a, begin_b = i, j
-    return groups
+    return ends, wide
+
 
+def linked_pairs(groups: list[tuple[list[int], list[int]]], found: dict[int, int]) -> int:
+    """Adds to `found` how often each id pair is linked; returns the number of links.
 
-def linked_pairs(groups: list[tuple[list[int], list[int]]]) -> Counter:
-    """How often each id pair is linked, as numbers of BITS bits below the first id."""
-    found: Counter = Counter()
+    A pair is one number, the second id in its lowest BITS bits.
+    """
+    links = 0
     for ga, gb in groups:
+        links += len(ga) * len(gb)
         if len(ga) * len(gb) <= WIDE:
             for p in ga:
+                p <<= BITS
                 for q in gb:
-                    found[p << BITS | q] += 1
+                    found[p | q] = found.get(p | q, 0) + 1
         else:
             counted = Counter(gb)
             for p, n in Counter(ga).items():
                 for q, m in counted.items():
-                    found[p << BITS | q] += n * m
-    return found
+                    found[p << BITS | q] = found.get(p << BITS | q, 0) + n * m
+    return links
 
 
 class Windows:
@@ -138,24 +164,42 @@ class Windows:
         self.size_a, self.size_b = first.size.tolist(), second.size.tolist()
         self.clear()
 
+    def forget(self) -> None:
+        """Between two blocks: begins anew if too much is remembered."""
+        if len(self.known) > REMEMBERED:
+            self.clear()
+
     def clear(self) -> None:
         self.known: dict[tuple[bytes, bytes], int] = {}
         self.text: list[str] = []
         self.groups, self.links = array("q"), array("q")
         self.edges, self.pairs, self.times = array("q", [0]), array("q"), array("q")
 
-    def _add(self, key: tuple[bytes, bytes]) -> int:
-        a, b = (np.frombuffer(k, np.int32).tolist() for k in key)
-        groups = align_window(a, b, self.size_a, self.size_b)
-        found = linked_pairs(groups)
-        join = lambda ids: ",".join(map(str, ids))
-        self.text.append(";".join(f"{join(x)}|{join(y)}" for x, y in groups))
-        self.groups.append(len(groups))
-        self.links.append(sum(len(x) * len(y) for x, y in groups))
-        self.pairs.extend(found.keys())
+    def _add(self, key: tuple[bytes, bytes], a: list[int], b: list[int]) -> int:
+        ends, wide = align_window(a, b, self.size_a, self.size_b)
+        name_a, name_b = self.first.name, self.second.name
+        found: dict[int, int] = {}
+        text, i, j = [], 0, 0
+        for k, m in ends:
+            if k - i == 1 and m - j == 1:
+                p, q = a[i], b[j]
+                text.append(f"{name_a[p]}|{name_b[q]}")
+                pair = p << BITS | q
+                found[pair] = found.get(pair, 0) + 1
+            else:
+                text.append(f"{','.join([name_a[p] for p in a[i:k]])}|{','.join([name_b[q] for q in b[j:m]])}")
+            i, j = k, m
+        links = len(ends) - len(wide)
+        if wide:
+            links += linked_pairs(wide, found)
+        self.text.append(";".join(text))
+        self.groups.append(len(ends))
+        self.links.append(links)
+        self.pairs.extend(found)
         self.times.extend(found.values())
         self.edges.append(len(self.pairs))
-        return self.known.setdefault(key, len(self.known))
+        number = self.known[key] = len(self.known)
+        return number
 
     def of(self, text: str | None) -> tuple[int, int, list[int]] | None:
         """Tokens of either side and the numbers of the windows of a text; None without tokens."""
@@ -167,6 +211,7 @@ class Windows:
         for ids, side in ((a, first), (b, second)):
             if b"".join([side.spelling[i] for i in ids]) != spelled:
                 return None
+        list_a, list_b = a, b
         a, b = np.array(a, np.int32), np.array(b, np.int32)
         starts_a = np.cumsum(first.size[a]) - first.size[a]
         starts_b = np.cumsum(second.size[b]) - second.size[b]
@@ -175,14 +220,16 @@ class Windows:
             starts_a[marked_a], starts_b[marked_b], assume_unique=True, return_indices=True
         )
         # Both sides begin with the blank in front, so the first anchor is the beginning.
-        cuts_a = [*(4 * marked_a[at_a]).tolist(), 4 * len(a)]
-        cuts_b = [*(4 * marked_b[at_b]).tolist(), 4 * len(b)]
+        cuts_a = [*marked_a[at_a].tolist(), len(a)]
+        cuts_b = [*marked_b[at_b].tolist(), len(b)]
         ids_a, ids_b, known = a.tobytes(), b.tobytes(), self.known
         found = []
-        for i, j, k, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:]):
-            key = (ids_a[i:j], ids_b[k:m])
+        i = k = 0
+        for j, m in zip(cuts_a[1:], cuts_b[1:]):
+            key = (ids_a[4 * i : 4 * j], ids_b[4 * k : 4 * m])
             number = known.get(key)
-            found.append(self._add(key) if number is None else number)
+            found.append(self._add(key, list_a[i:j], list_b[k:m]) if number is None else number)
+            i, k = j, m
         return len(a), len(b), found
 
 
@@ -205,8 +252,7 @@ ALIGNED = (
 
 def align_block(memory: Windows, block: int, doc_ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
     """One row per document of a block: its figures, and its windows by their number in the block."""
-    if len(memory.known) > REMEMBERED:
-        memory.clear()
+    memory.forget()
     found = [memory.of(text) for text in texts]
     edges, pairs = np.array(memory.edges), np.array(memory.pairs)
     times, groups, links = np.array(memory.times), np.array(memory.groups), np.array(memory.links)

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import public_tokenizers
 import pytest
 import sentencepiece
-import tiktoken
+import tokenizers
 from cases import messy_documents, messy_texts, no_documents, sentence
 
 from coldtrace.llm import alignment
@@ -19,10 +19,11 @@ NAMES = "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256".split()
 
 
 def other_tokens():
-    """The same vocabularies through another library and by the pieces' own texts."""
+    """Tokens by the vocabularies' own libraries, and their bytes by the pieces' texts."""
+    first = tokenizers.Tokenizer.from_file(A)
+    first.encode_special_tokens = True
     lines = open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb")
-    ranks = {base64.b64decode(x): int(n) for x, n in map(bytes.split, lines)}
-    first = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    spelled = {int(n): base64.b64decode(x) for x, n in map(bytes.split, lines)}
     second = sentencepiece.SentencePieceProcessor(model_file=B)
 
     def piece(token):
@@ -30,7 +31,7 @@ def other_tokens():
         return bytes.fromhex(text[3:5]) if second.is_byte(token) else text.replace("▁", " ").encode()
 
     def tokens(text):
-        a = [(t, first.decode_single_token_bytes(t)) for t in first.encode_ordinary(" " + text)]
+        a = [(t, spelled[t]) for t in first.encode(" " + text, add_special_tokens=False).ids]
         return a, [(t, piece(t)) for t in second.encode(text)]
 
     return tokens
@@ -116,4 +117,19 @@ def test_windows_are_remembered_and_forgotten(monkeypatch):
 
 def test_wide_groups_are_counted():
     groups = [([1, 2, 1] * 5, [7] * 9)]
-    assert alignment.linked_pairs(groups) == {1 << alignment.BITS | 7: 90, 2 << alignment.BITS | 7: 45}
+    found = {}
+    assert alignment.linked_pairs(groups, found) == 135
+    assert found == {1 << alignment.BITS | 7: 90, 2 << alignment.BITS | 7: 45}
+
+
+def test_ranks_give_the_merged_tokens():
+    from conftest import SF_DIR
+    import duckdb
+
+    rows = duckdb.sql(f"SELECT text FROM '{SF_DIR.replace('0.001', '0.01')}/documents.parquet' WHERE text IS NOT NULL").fetchall()
+    own = tokenizers.Tokenizer.from_file(A)
+    own.encode_special_tokens = True
+    ranked = alignment.ByteLevel(A)
+    texts = [t for (t,) in rows] + [t for t in messy_texts() if t] + ["   a\t \n b'll don't '' x1y2 \u00a0\x85 \x1c z", "<|endoftext|>"]
+    for text in texts:
+        assert ranked.ids(text) == own.encode(" " + text, add_special_tokens=False).ids
