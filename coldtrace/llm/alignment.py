@@ -21,6 +21,7 @@ import json
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coldtrace.llm.arrays import mix
 from coldtrace.llm.common import bound_batches
 from coldtrace.session import materialise
 
@@ -54,14 +56,21 @@ def byte_of_symbol() -> dict[str, int]:
 
 
 class Tokenizer:
-    """Ids of a text, and per id its bytes, their number, whether they begin with a blank, its digits."""
+    """Ids of a text, and per id the number of its bytes, whether they begin with a blank, its digits."""
 
     def _spelled(self, spelling: list[bytes]) -> None:
-        self.spelling = spelling
         self.size = np.array([len(s) for s in spelling], np.int64)
+        self._bytes = np.frombuffer(b"".join(spelling), np.uint8)
+        self._at = np.cumsum(self.size) - self.size
         self.blank = np.array([s[:1] == b" " for s in spelling])
         self.name = [str(number) for number in range(len(spelling))]
 
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.size[ids]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0)
+        return self._bytes[places + np.repeat(self._at[ids] - (ends - sizes), sizes)]
+
 
 class ByteLevel(Tokenizer):
     """A byte-level vocabulary, read from its file and applied by ranks.
@@ -86,8 +95,8 @@ class ByteLevel(Tokenizer):
             spelling[number] = token
         self._spelled(spelling)
 
-    def ids(self, text: str) -> list[int]:
-        return self._of.encode_ordinary(" " + text)
+    def ids(self, text: str) -> np.ndarray:
+        return self._of.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int32)
 
 
 class Pieces(Tokenizer):
@@ -102,8 +111,8 @@ class Pieces(Tokenizer):
             spelling.append(bytes([int(piece[3:5], 16)]) if is_byte else piece.replace("▁", " ").encode())
         self._spelled(spelling)
 
-    def ids(self, text: str) -> list[int]:
-        return self._of.encode(text)
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self._of.encode(text), np.int32)
 
 
 @lru_cache(maxsize=2)
@@ -112,48 +121,21 @@ def _tokenizers(path_a: str, path_b: str) -> tuple[Tokenizer, Tokenizer]:
     return ByteLevel(path_a), Pieces(path_b)
 
 
-def align_window(
-    a: list[int], b: list[int], size_a: list[int], size_b: list[int]
-) -> tuple[list[tuple[int, int]], list[tuple[list[int], list[int]]]]:
-    """Where the groups of a window end on either side, and the groups that are no single pair.
-
-    A group ends at each place where tokens of both end.
-    """
-    ends, wide = [], []
-    i = j = x = y = begin_a = begin_b = 0
-    for token in a:
-        x += size_a[token]
-        i += 1
-        while y < x:
-            y += size_b[b[j]]
-            j += 1
-        if x == y:
-            ends.append((i, j))
-            if i - begin_a > 1 or j - begin_b > 1:
-                wide.append((a[begin_a:i], b[begin_b:j]))
-            begin_a, begin_b = i, j
-    return ends, wide
-
-
-def linked_pairs(groups: list[tuple[list[int], list[int]]], found: dict[int, int]) -> int:
-    """Adds to `found` how often each id pair is linked; returns the number of links.
+def linked_pairs(ga: list[int], gb: list[int], found: dict[int, int]) -> None:
+    """Adds to `found` how often each id pair of a group is linked.
 
     A pair is one number, the second id in its lowest BITS bits.
     """
-    links = 0
-    for ga, gb in groups:
-        links += len(ga) * len(gb)
-        if len(ga) * len(gb) <= WIDE:
-            for p in ga:
-                p <<= BITS
-                for q in gb:
-                    found[p | q] = found.get(p | q, 0) + 1
-        else:
-            counted = Counter(gb)
-            for p, n in Counter(ga).items():
-                for q, m in counted.items():
-                    found[p << BITS | q] = found.get(p << BITS | q, 0) + n * m
-    return links
+    if len(ga) * len(gb) <= WIDE:
+        for p in ga:
+            p <<= BITS
+            for q in gb:
+                found[p | q] = found.get(p | q, 0) + 1
+    else:
+        counted = Counter(gb)
+        for p, n in Counter(ga).items():
+            for q, m in counted.items():
+                found[p << BITS | q] = found.get(p << BITS | q, 0) + n * m
 
 
 class Windows:
@@ -169,6 +151,12 @@ class Windows:
         if len(self.known) > REMEMBERED:
             self.clear()
 
+    def number(self, a: np.ndarray, b: np.ndarray) -> int:
+        """Number of the window of these ids."""
+        key = (a.tobytes(), b.tobytes())
+        found = self.known.get(key)
+        return self._add(key, a.tolist(), b.tolist()) if found is None else found
+
     def clear(self) -> None:
         self.known: dict[tuple[bytes, bytes], int] = {}
         self.text: list[str] = []
@@ -176,24 +164,33 @@ class Windows:
         self.edges, self.pairs, self.times = array("q", [0]), array("q"), array("q")
 
     def _add(self, key: tuple[bytes, bytes], a: list[int], b: list[int]) -> int:
-        ends, wide = align_window(a, b, self.size_a, self.size_b)
-        name_a, name_b = self.first.name, self.second.name
+        """Aligns a window: a group ends at each place where tokens of both sides end."""
+        size_a, size_b, name_a, name_b = self.size_a, self.size_b, self.first.name, self.second.name
         found: dict[int, int] = {}
-        text, i, j = [], 0, 0
-        for k, m in ends:
-            if k - i == 1 and m - j == 1:
-                p, q = a[i], b[j]
-                text.append(f"{name_a[p]}|{name_b[q]}")
+        text, links = [], 0
+        i = j = x = y = begin_a = begin_b = 0
+        for p in a:
+            x += size_a[p]
+            i += 1
+            while y < x:
+                y += size_b[b[j]]
+                j += 1
+            if x != y:
+                continue
+            if i - begin_a == 1 == j - begin_b:
+                q = b[begin_b]
+                text.append(name_a[p] + "|" + name_b[q])
                 pair = p << BITS | q
                 found[pair] = found.get(pair, 0) + 1
+                links += 1
             else:
-                text.append(f"{','.join([name_a[p] for p in a[i:k]])}|{','.join([name_b[q] for q in b[j:m]])}")
-            i, j = k, m
-        links = len(ends) - len(wide)
-        if wide:
-            links += linked_pairs(wide, found)
+                ga, gb = a[begin_a:i], b[begin_b:j]
+                text.append(",".join([name_a[p] for p in ga]) + "|" + ",".join([name_b[q] for q in gb]))
+                linked_pairs(ga, gb, found)
+                links += len(ga) * len(gb)
+            begin_a, begin_b = i, j
         self.text.append(";".join(text))
-        self.groups.append(len(ends))
+        self.groups.append(len(text))
         self.links.append(links)
         self.pairs.extend(found)
         self.times.extend(found.values())
@@ -201,36 +198,90 @@ class Windows:
         number = self.known[key] = len(self.known)
         return number
 
-    def of(self, text: str | None) -> tuple[int, int, list[int]] | None:
-        """Tokens of either side and the numbers of the windows of a text; None without tokens."""
-        if not text:
-            return None
-        first, second = self.first, self.second
-        a, b = first.ids(text), second.ids(text)
-        spelled = b" " + text.encode()
-        for ids, side in ((a, first), (b, second)):
-            if b"".join([side.spelling[i] for i in ids]) != spelled:
-                return None
-        list_a, list_b = a, b
-        a, b = np.array(a, np.int32), np.array(b, np.int32)
-        starts_a = np.cumsum(first.size[a]) - first.size[a]
-        starts_b = np.cumsum(second.size[b]) - second.size[b]
-        marked_a, marked_b = np.flatnonzero(first.blank[a]), np.flatnonzero(second.blank[b])
-        _, at_a, at_b = np.intersect1d(
-            starts_a[marked_a], starts_b[marked_b], assume_unique=True, return_indices=True
-        )
-        # Both sides begin with the blank in front, so the first anchor is the beginning.
-        cuts_a = [*marked_a[at_a].tolist(), len(a)]
-        cuts_b = [*marked_b[at_b].tolist(), len(b)]
-        ids_a, ids_b, known = a.tobytes(), b.tobytes(), self.known
-        found = []
-        i = k = 0
-        for j, m in zip(cuts_a[1:], cuts_b[1:]):
-            key = (ids_a[4 * i : 4 * j], ids_b[4 * k : 4 * m])
-            number = known.get(key)
-            found.append(self._add(key, list_a[i:j], list_b[k:m]) if number is None else number)
-            i, k = j, m
-        return len(a), len(b), found
+
+@dataclass
+class Spelled:
+    """The texts of a block whose tokens spell them, one after the other: ids and where texts begin."""
+
+    rows: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    edges_a: np.ndarray
+    edges_b: np.ndarray
+
+
+def spelled_texts(first: Tokenizer, second: Tokenizer, texts: list[str | None]) -> Spelled:
+    """Tokenizes whole texts and keeps those that the tokens of both sides spell byte by byte."""
+    rows, spellings, ids = [], [], []
+    for row, text in enumerate(texts):
+        if text:
+            spelling = b" " + text.encode()
+            a, b = first.ids(text), second.ids(text)
+            if first.size[a].sum() == len(spelling) == second.size[b].sum():
+                rows.append(row)
+                spellings.append(spelling)
+                ids.append((a, b))
+    wanted = np.frombuffer(b"".join(spellings), np.uint8)
+    begins = np.r_[0, np.cumsum([len(x) for x in spellings])].astype(np.int64)
+    wrong = np.zeros(len(rows), bool)
+    for side, tokenizer in enumerate((first, second)):
+        made = tokenizer.bytes_of(_joined([x[side] for x in ids]))
+        bad = np.flatnonzero(made != wanted)
+        wrong[np.searchsorted(begins, bad, "right") - 1] = True
+    kept = [x for x, no in zip(ids, wrong) if not no]
+    edges = [np.r_[0, np.cumsum([len(x[side]) for x in kept])].astype(np.int64) for side in (0, 1)]
+    return Spelled(
+        np.array(rows, np.int64)[~wrong], _joined([x[0] for x in kept]), _joined([x[1] for x in kept]), *edges
+    )
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+
+
+def _hashes(ids: np.ndarray, cuts: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hash of the ids from every cut to the next one."""
+    with np.errstate(over="ignore"):
+        base = np.uint64(0x9E3779B97F4A7C15 + 2 * seed)
+        back = np.uint64(pow(int(base), -1, 1 << 64))
+        steps = np.ones((2, len(ids) + 1), np.uint64)
+        steps[0, 1:], steps[1, 1:] = base, back
+        up, down = np.cumprod(steps, axis=1, dtype=np.uint64)
+        sums = np.r_[np.uint64(0), np.cumsum(mix(ids.astype(np.uint64), seed) * up[1:], dtype=np.uint64)]
+        lengths = np.diff(cuts).astype(np.uint64)
+        return mix((sums[cuts[1:]] - sums[cuts[:-1]]) * down[cuts[:-1]] + lengths, seed + 1)
+
+
+def windows_of(first: Tokenizer, second: Tokenizer, found: Spelled) -> tuple[np.ndarray, np.ndarray]:
+    """Where windows begin, and at last end, in the ids of either side.
+
+    A window begins where a token of both sides does and both begin with a blank; each text begins one,
+    with the blank in front of it.
+    """
+    starts = [np.cumsum(side.size[ids]) - side.size[ids] for side, ids in ((first, found.a), (second, found.b))]
+    marked = [np.flatnonzero(side.blank[ids]) for side, ids in ((first, found.a), (second, found.b))]
+    _, at_a, at_b = np.intersect1d(
+        starts[0][marked[0]], starts[1][marked[1]], assume_unique=True, return_indices=True
+    )
+    return np.r_[marked[0][at_a], len(found.a)], np.r_[marked[1][at_b], len(found.b)]
+
+
+def numbered_windows(memory: Windows, found: Spelled, cuts_a: np.ndarray, cuts_b: np.ndarray) -> np.ndarray:
+    """Number of every window of a block; equal ones, told by 128 bits of their ids, are looked up once."""
+    if len(cuts_a) < 2:
+        return np.zeros(0, np.int64)
+    hash_a, hash_b = _hashes(found.a, cuts_a, 41), _hashes(found.b, cuts_b, 43)
+    seed = 0
+    while True:
+        with np.errstate(over="ignore"):
+            both = mix(hash_a + mix(hash_b, seed), seed)
+        _, at, back = np.unique(both, return_index=True, return_inverse=True)
+        if (hash_a == hash_a[at][back]).all() and (hash_b == hash_b[at][back]).all():
+            break
+        seed += 1
+    ends = zip(cuts_a[at].tolist(), cuts_a[at + 1].tolist(), cuts_b[at].tolist(), cuts_b[at + 1].tolist())
+    numbers = [memory.number(found.a[i:j], found.b[k:m]) for i, j, k, m in ends]
+    return np.array(numbers, np.int64)[back]
 
 
 def _spread(edges: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,45 +304,59 @@ ALIGNED = (
 def align_block(memory: Windows, block: int, doc_ids: pa.Array, texts: list[str | None]) -> pa.RecordBatch:
     """One row per document of a block: its figures, and its windows by their number in the block."""
     memory.forget()
-    found = [memory.of(text) for text in texts]
-    edges, pairs = np.array(memory.edges), np.array(memory.pairs)
-    times, groups, links = np.array(memory.times), np.array(memory.groups), np.array(memory.links)
-    everything = [np.array(f[2], np.int64) for f in found if f is not None]
-    used = np.unique(np.concatenate(everything)) if everything else np.zeros(0, np.int64)
-    n = len(texts)
-    figures = {name: np.zeros(n, np.int64) for name in ("n_a", "n_b", "n_groups", "n_links")}
-    digests, windows, repeats, held = [], [], [], []
-    for row, item in enumerate(found):
-        if item is None:
-            digests.append("")
-            windows.append([])
-            repeats.append([])
-            continue
-        numbers = np.array(item[2], np.int64)
-        figures["n_a"][row], figures["n_b"][row] = item[:2]
-        figures["n_groups"][row] = groups[numbers].sum()
-        figures["n_links"][row] = links[numbers].sum()
-        digests.append(hashlib.sha256(";".join([memory.text[k] for k in item[2]]).encode()).hexdigest())
-        own, often = np.unique(numbers, return_counts=True)
-        windows.append(np.searchsorted(used, own).astype(np.int32))
-        repeats.append(often.astype(np.int32))
-        held.append(np.unique(pairs[_spread(edges, own)[0]]))
-    distinct, holders = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64),) * 2
+    found = spelled_texts(memory.first, memory.second, texts)
+    cuts_a, cuts_b = windows_of(memory.first, memory.second, found)
+    numbers = numbered_windows(memory, found, cuts_a, cuts_b)
+    edges, pairs, times, groups, links = (
+        np.array(x) for x in (memory.edges, memory.pairs, memory.times, memory.groups, memory.links)
+    )
+    n, count = len(texts), len(found.rows)
+    # Windows of a text stand together; a text begins where one of them does.
+    begins = np.searchsorted(cuts_a[:-1], found.edges_a)
+    figures = {"n_a": np.diff(found.edges_a), "n_b": np.diff(found.edges_b)}
+    for name, values in (("n_groups", groups), ("n_links", links)):
+        running = np.r_[0, np.cumsum(values[numbers])] if len(numbers) else np.zeros(1, np.int64)
+        figures[name] = running[begins[1:]] - running[begins[:-1]]
+    digests = [""] * n
+    listed = numbers.tolist()
+    for row, i, j in zip(found.rows.tolist(), begins[:-1].tolist(), begins[1:].tolist()):
+        whole = ";".join([memory.text[k] for k in listed[i:j]])
+        digests[row] = hashlib.sha256(whole.encode()).hexdigest()
+    used, local = np.unique(numbers, return_inverse=True)
+    of_text = np.repeat(np.arange(count), np.diff(begins))
+    once, often = np.unique(of_text * max(1, len(used)) + local, return_counts=True)
+    text_of, window = np.divmod(once, max(1, len(used)))
+    # Distinct pairs of each text, and in how many texts of the block each pair stands.
     places, sizes = _spread(edges, used)
-    once = lambda values, kind: pa.array([values] + [None] * (n - 1), pa.list_(kind))
+    distinct, rank = np.unique(pairs[places], return_inverse=True)
+    of_window = np.r_[0, np.cumsum(sizes)]
+    spread, repeated = _spread(of_window, window)
+    held = np.unique(np.repeat(text_of, repeated) * max(1, len(distinct)) + rank[spread])
+    holders = np.bincount(held % max(1, len(distinct)), minlength=len(distinct))
+
+    def in_rows(values: np.ndarray) -> pa.Array:
+        out = np.zeros(n, np.int64)
+        out[found.rows] = values
+        return pa.array(out)
+
+    per_row = np.zeros(n, np.int64)
+    per_row[found.rows] = np.bincount(text_of, minlength=count)
+    offsets = pa.array(np.r_[0, np.cumsum(per_row)].astype(np.int32))
+    lists = lambda values: pa.ListArray.from_arrays(offsets, pa.array(values.astype(np.int32)))
+    once_a_block = lambda values, kind: pa.array([values] + [None] * (n - 1), pa.list_(kind))
     columns = {
         "block": pa.array(np.full(n, block)),
         "row": pa.array(np.arange(n, dtype=np.int32)),
         "doc_id": doc_ids,
-        **{name: pa.array(values) for name, values in figures.items()},
+        **{name: in_rows(values) for name, values in figures.items()},
         "groups_sha256": pa.array(digests, pa.string()),
-        "windows": pa.array(windows, pa.list_(pa.int32())),
-        "repeats": pa.array(repeats, pa.list_(pa.int32())),
-        "edges": once(np.r_[0, np.cumsum(sizes)].astype(np.int32), pa.int32()),
-        "window_pairs": once(pairs[places], pa.int64()),
-        "window_times": once(times[places], pa.int64()),
-        "pairs": once(distinct, pa.int64()),
-        "holders": once(holders, pa.int64()),
+        "windows": lists(window),
+        "repeats": lists(often),
+        "edges": once_a_block(of_window.astype(np.int32), pa.int32()),
+        "window_pairs": once_a_block(pairs[places], pa.int64()),
+        "window_times": once_a_block(times[places], pa.int64()),
+        "pairs": once_a_block(distinct, pa.int64()),
+        "holders": once_a_block(holders, pa.int64()),
     }
     return pa.RecordBatch.from_pydict(columns)
 
