@@ -5,13 +5,15 @@ pigeonhole principle two signatures that differ in at most DISTANCE places agree
 for DISTANCE // CHUNKS places, here one. Each chunk is therefore indexed once for every place that
 may be wrong, with that place left out: any two signatures within DISTANCE share a key. Signatures
 of sets with a Jaccard similarity of 0.8 differ in 9.6 places on average, and in more than DISTANCE
-with a probability of 0.0005; such a link is lost unless other links join its ends.
+with a probability of 0.00005; such a link is lost unless other links join its ends.
 
 Equal sets are one class from the start. Among classes that share a key, links are sought where
 they still matter: twice, each class is compared with one hub of its buckets. Then signatures alone
-join classes within DISTANCE to families, and in each family whatever is not yet connected is
-compared. All links are confirmed on the full sets; of a crowd of copies, or of texts that are nearly
-similar enough, pairs are compared inside tasks and never written out.
+join classes within DISTANCE to families, and in each family the members outside its largest
+component are compared with all others: a link between two components has such an end. A member
+travels once for every block of those it meets, and blocks are filled by bytes, so families below a
+block cost their size. All links are confirmed on the full sets; of a crowd of copies, or of texts
+that are nearly similar enough, pairs are compared inside tasks and never written out.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coldtrace.llm.arrays import blocks, hash_pairs, lower_ascii, mix, utf8, word_hashes, word_spans
@@ -29,14 +31,15 @@ from coldtrace.llm.components import components
 from coldtrace.session import materialise
 
 PLACES = 48
-CHUNKS = 10
-DISTANCE = 19
+CHUNKS = 11
+DISTANCE = 21
 SIMILARITY = (80, 100)
 STAR_ROUNDS = 2
-#: Members of a bucket that are compared at a time.
+#: Members that are compared with as many others at a time.
 BLOCK = 512
-#: Members of a family that are compared, with their sets, at a time.
-FAMILY_BLOCK = 128
+#: Bytes of signatures of a bucket, and of sets of a family, that a task holds of either side.
+BUCKET_BYTES = 1 << 18
+FAMILY_BYTES = 8 << 20
 
 _MASKS = mix(np.arange(PLACES, dtype=np.uint64), 21)
 _FACTORS = mix(np.arange(PLACES, dtype=np.uint64), 22) | np.uint64(1)
@@ -94,11 +97,16 @@ def _sketch(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return sizes, low.view(np.int64), high.view(np.int64), marks
 
 
+def version(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("version")
+
+
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, low, high, signature) of every whole text."""
+    """(doc_id, version, n_shingles, low, high, signature) of every whole text."""
     fields = pa.schema(
         [
             ("doc_id", pa.int64()),
+            ("version", pa.int64()),
             ("n_shingles", pa.int64()),
             ("low", pa.int64()),
             ("high", pa.int64()),
@@ -123,10 +131,11 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
             flush()
             columns = [pa.array(np.concatenate([p[k] for p in parts])) for k in range(3)]
             marks = pa.array([m for p in parts for m in p[3]], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, marks], schema=fields)
+            named = [batch.column(0), batch.column(2), *columns, marks]
+            yield pa.RecordBatch.from_arrays(named, schema=fields)
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    schema = "doc_id long, n_shingles long, low long, high long, signature binary"
+    rows = docs.select(F.col("doc_id").cast("long"), "text", version(F.col("text")))
+    schema = "doc_id long, version long, n_shingles long, low long, high long, signature binary"
     return rows.mapInArrow(sketched, schema)
 
 
@@ -233,58 +242,68 @@ def _star_pairs(rows: DataFrame, round_: int) -> DataFrame:
     return best.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
-def _in_blocks(rows: DataFrame, by: str, size: int) -> DataFrame:
-    """Rows of each group cut into blocks of about `size`, every block brought together with every.
+def _sides(rows: DataFrame, by: str, weight: Column, size: int) -> DataFrame:
+    """Rows of each group dealt to tasks that compare those outside its largest component with all.
 
-    A pair (i, j) of blocks, i <= j, holds the rows of both; `is_left` and `is_right` tell the sides.
+    Both sides are cut into blocks of about `size` of `weight`; task (i, j) gets block i of the rows
+    outside, with `is_left`, and block j of all rows.
     """
-    counts = rows.groupBy(by).agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
-    placed = salted_join(rows, counts, [by], [F.col("id")], "inner").withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    return placed.select("*", other).select(
-        *rows.columns,
-        F.least("part", "other").alias("i"),
-        F.greatest("part", "other").alias("j"),
-        (F.col("part") <= F.col("other")).alias("is_left"),
-        (F.col("part") >= F.col("other")).alias("is_right"),
+    counted = rows.groupBy(by, "label").agg(F.sum(weight).alias("w"))
+    tops = counted.groupBy(by).agg(
+        F.max_by("label", F.struct("w", "label")).alias("top"),
+        F.ceil(F.sum("w") / size).cast("int").alias("rights"),
+        F.greatest(F.lit(1), F.ceil((F.sum("w") - F.max("w")) / size)).cast("int").alias("lefts"),
     )
+    placed = salted_join(rows, tops, [by], [F.col("id")], "inner")
+    place = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
+    task = lambda i, j, left: F.struct(i.alias("i"), j.alias("j"), F.lit(left).alias("is_left"))
+    each = lambda parts: F.sequence(F.lit(0), F.col(parts) - 1)
+    as_right = F.transform(each("lefts"), lambda i: task(i, place("rights"), False))
+    as_left = F.transform(each("rights"), lambda j: task(place("lefts"), j, True))
+    both = F.when(F.col("label") != F.col("top"), F.concat(as_right, as_left)).otherwise(as_right)
+    return placed.select(*rows.columns, F.inline(both))
 
 
-def _near_in_block(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of left and right rows with different labels that may be similar; their distances."""
+def _near_in_task(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of left and other rows with different labels that may be similar; their distances.
+
+    Some BLOCK rows of either side at a time.
+    """
     labels, sizes = group["label"].to_numpy(), group["n"].to_numpy()
     marks = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint16).reshape(len(labels), -1)
-    left, right = (
-        np.flatnonzero(group[c].to_numpy(zero_copy_only=False)) for c in ("is_left", "is_right")
-    )
-    far = np.zeros((len(left), len(right)), np.uint8)
-    for place in range(PLACES):
-        far += marks[left, place][:, None] != marks[right, place]
-    low = np.minimum(sizes[left][:, None], sizes[right])
-    high = np.maximum(sizes[left][:, None], sizes[right])
-    fits = (far <= DISTANCE) & (low * SIMILARITY[1] >= high * SIMILARITY[0])
-    rows, columns = np.nonzero(fits & (labels[left][:, None] != labels[right]))
-    return left[rows], right[columns], far[rows, columns]
+    is_left = group["is_left"].to_numpy(zero_copy_only=False)
+    lefts, rights = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+    for a in range(0, len(lefts), BLOCK):
+        left = lefts[a : a + BLOCK]
+        for b in range(0, len(rights), BLOCK):
+            right = rights[b : b + BLOCK]
+            far = np.zeros((len(left), len(right)), np.uint8)
+            for place in range(PLACES):
+                far += marks[left, place][:, None] != marks[right, place]
+            low = np.minimum(sizes[left][:, None], sizes[right])
+            high = np.maximum(sizes[left][:, None], sizes[right])
+            fits = (far <= DISTANCE) & (low * SIMILARITY[1] >= high * SIMILARITY[0])
+            rows, columns = np.nonzero(fits & (labels[left][:, None] != labels[right]))
+            if len(rows):
+                yield left[rows], right[columns], far[rows, columns]
 
 
 def _near_pairs(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of a bucket with different labels, within DISTANCE and of fitting sizes.
+    """Pairs that join rows of a bucket with different labels, within DISTANCE and of fitting sizes.
 
-    Buckets are compared block against block inside tasks; only such pairs leave them.
+    Buckets are compared inside tasks; of the pairs of a task those leave it that join its labels.
     """
     known = rows.drop("n").join(classes.select("id", "n", "signature"), "id")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, ["key", "i", "j"]):
-            ids = group["id"].to_numpy()
-            x, y, _ = _near_in_block(group)
-            ends = np.unique(np.sort(np.stack([ids[x], ids[y]], axis=1), axis=1), axis=0)
-            if len(ends):
-                yield pa.RecordBatch.from_arrays([pa.array(ends[:, k]) for k in (0, 1)], names=["a", "b"])
+            ids, joined = group["id"].to_numpy(), _Joined(group["label"].to_numpy())
+            for x, y, _ in _near_in_task(group):
+                ends = [(p, q) for p, q in zip(x.tolist(), y.tolist()) if joined.join(p, q)]
+                if ends:
+                    yield _pairs(ids, ends)
 
-    met = dealt(_in_blocks(known, "key", BLOCK), ["key", "i", "j"])
+    met = dealt(_sides(known, "key", F.lit(2 * PLACES), BUCKET_BYTES), ["key", "i", "j"])
     return met.mapInArrow(compared, "a long, b long").distinct()
 
 
@@ -331,21 +350,34 @@ def _families(buckets: DataFrame, classes: DataFrame, links: DataFrame, found: D
     return found
 
 
-def _forest(count: int, pairs: Iterator[tuple[int, int]], linked) -> Iterator[tuple[int, int]]:
-    """The linked ones of `pairs` that connect what was not connected before."""
-    parent = list(range(count))
+class _Joined:
+    """Which labels of some rows are connected."""
 
-    def root(k: int) -> int:
+    def __init__(self, labels: np.ndarray):
+        names, of = np.unique(labels, return_inverse=True)
+        self._of, self._parent = of.tolist(), list(range(len(names)))
+
+    def _root(self, row: int) -> int:
+        parent, k = self._parent, self._of[row]
         while parent[k] != k:
             parent[k] = parent[parent[k]]
             k = parent[k]
         return k
 
-    for x, y in pairs:
-        p, q = root(x), root(y)
-        if p != q and linked(x, y):
-            parent[q] = p
-            yield x, y
+    def apart(self, x: int, y: int) -> bool:
+        return self._root(x) != self._root(y)
+
+    def join(self, x: int, y: int) -> bool:
+        """Connects the labels of two rows; whether they were apart."""
+        p, q = self._root(x), self._root(y)
+        self._parent[q] = p
+        return p != q
+
+
+def _pairs(ids: np.ndarray, ends: list[tuple[int, int]]) -> pa.RecordBatch:
+    """Pairs of ids, the smaller one first."""
+    pairs = np.sort(ids[np.array(ends)], axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, k]) for k in (0, 1)], names=["a", "b"])
 
 
 def _links_left(
@@ -353,8 +385,8 @@ def _links_left(
 ) -> DataFrame:
     """Links between members of a family that are not connected yet, confirmed on full sets.
 
-    Members are compared block against block with their sets at hand; of the links of a pair of
-    blocks those go out that connect its members.
+    Members are compared inside tasks with their sets at hand, the nearest signatures first; of the
+    links those go out that connect components.
     """
     label = found.withColumnRenamed("node", "id").withColumnRenamed("component", "label")
     members = (
@@ -365,37 +397,78 @@ def _links_left(
     )
     open_ = members.groupBy("family").agg(F.min("label").alias("x"), F.max("label").alias("y"))
     members = materialise(members.join(open_.filter("x != y").select("family"), "family", "left_semi"))
-    rows = _in_blocks(members, "family", FAMILY_BLOCK).join(_sets_of(members.select("id"), docs, words), "id")
+    rows = _sides(members, "family", 8 * F.col("n"), FAMILY_BYTES).join(
+        _sets_of(members.select("id"), docs, words), "id"
+    )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, ["family", "i", "j"]):
-            x, y, far = _near_in_block(group)
-            if not len(x):
-                continue
+            ids, joined = group["id"].to_numpy(), _Joined(group["label"].to_numpy())
             sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group["set"]]
-            nearest = np.argsort(far, kind="stable")
-            pairs = zip(x[nearest].tolist(), y[nearest].tolist())
-            tree = list(_forest(len(sets), pairs, lambda p, q: not _apart(sets[p], sets[q])))  # noqa: B023
-            if tree:
-                ids, ends = group["id"].to_numpy(), np.array(tree)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[ends[:, k]]) for k in (0, 1)], names=["a", "b"]
-                )
-
-    fields = ["family", "i", "j", "id", "label", "n", "signature", "is_left", "is_right", "set"]
+            for x, y, far in _near_in_task(group):
+                nearest = np.argsort(far, kind="stable")
+                ends = []
+                for p, q in zip(x[nearest].tolist(), y[nearest].tolist()):
+                    if joined.apart(p, q) and not _apart(sets[p], sets[q]):
+                        joined.join(p, q)
+                        ends.append((p, q))
+                if ends:
+                    yield _pairs(ids, ends)
+
+    fields = ["family", "i", "j", "id", "label", "n", "signature", "is_left", "set"]
     return dealt(rows.select(*fields), ["family", "i", "j"]).mapInArrow(compared, "a long, b long")
 
 
+def _told_apart(docs: DataFrame, made: DataFrame) -> DataFrame | None:
+    """(id, doc_id, text) of the rows whose id stands on texts with different sets, or None.
+
+    Each of them gets an id of its own below all others.
+    """
+    differ = [F.min(c) != F.max(c) for c in ("low", "high", "n_shingles")]
+    several = made.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        (differ[0] | differ[1] | differ[2]).alias("differ"), F.min("doc_id").alias("least")
+    )
+    clashing = materialise(several.filter("differ").select("doc_id"))
+    if clashing.isEmpty():
+        return None
+    least = made.agg(F.min("doc_id")).first()[0]
+    rows = docs.join(clashing, "doc_id", "left_semi")
+    own = F.lit(least - 1) - F.monotonically_increasing_id()
+    return materialise(rows.select(own.alias("id"), "doc_id", "text"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of `docs` (doc_id, text).
+    """(doc_id, n_shingles, component_id) of every row of `docs`, as `judged_rows` finds them."""
+    return judged_rows(docs, words).drop("version")
+
+
+def judged_rows(docs: DataFrame, words: int = 5) -> DataFrame:
+    """(doc_id, version, n_shingles, component_id) of every row of `docs` (doc_id, text).
 
     Documents are linked from a Jaccard similarity of 0.8 on; a component goes by its smallest id.
     Texts without words are linked with nothing, as are rows without an id, whose component is NULL.
-    Rows that share an id share its component.
+    Rows that share an id are documents of their own where their sets differ: each has the component
+    of its text. `version` is the hash of the text, which tells such rows apart.
     """
     bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     made = materialise(sketches(docs, words))
+    clashing = _told_apart(docs, made)
+    if clashing is None:
+        return _near_duplicates(docs, made, words)
+    rest = docs.join(clashing.select("doc_id").distinct(), "doc_id", "left_anti")
+    unique = materialise(rest.unionByName(clashing.select(F.col("id").alias("doc_id"), "text")))
+    found = _near_duplicates(unique, materialise(sketches(unique, words)), words)
+    real = clashing.select(F.col("id").alias("doc_id"), F.col("doc_id").alias("real"))
+    named = materialise(found.join(real, "doc_id", "left").withColumn("doc_id", F.coalesce("real", "doc_id")))
+    smallest = named.groupBy("component_id").agg(F.min("doc_id").alias("smallest"))
+    return named.join(smallest, "component_id", "left").select(
+        "doc_id", "version", "n_shingles", F.col("smallest").alias("component_id")
+    )
+
+
+def _near_duplicates(docs: DataFrame, made: DataFrame, words: int) -> DataFrame:
+    """The same where every id stands on one text only."""
     classes = materialise(
         made.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("low", "high", F.col("n_shingles").alias("n"))
@@ -424,6 +497,7 @@ def near_duplicates(docs: DataFrame, words: int = 5) -> DataFrame:
     single = found.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "of_doc")
     return rows.join(single, "doc_id", "left").select(
         "doc_id",
+        "version",
         "n_shingles",
         F.when(
             F.col("n_shingles") > 0, F.coalesce("of_class", "of_doc", "doc_id")

@@ -30,10 +30,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-duplicates."""
-    found = minhash.near_duplicates(docs, words=SHINGLE)
-    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(small_side(dropped), "doc_id", "left_anti").select(*docs.columns)
+    """One document, that of the smallest id, of each group of near-duplicates.
+
+    Of rows with one id and different texts each is judged by its own text.
+    """
+    found = minhash.judged_rows(docs, words=SHINGLE)
+    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(
+        F.col("doc_id").alias("__doc_id"), F.col("version").alias("__version")
+    )
+    same = (F.col("doc_id") == F.col("__doc_id")) & (minhash.version(F.col("text")) == F.col("__version"))
+    return docs.join(small_side(dropped.distinct()), same, "left_anti").select(*docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

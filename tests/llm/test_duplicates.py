@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 from cases import WORD, components, messy_documents, no_documents, sentence
 
+from pyspark.sql import functions as F
+
 from coldtrace.llm import embeddings, minhash, recompress, substring
 from coldtrace.llm.components import components as spark_components
 
@@ -240,7 +242,8 @@ def test_no_vectors(spark):
 
 def test_crowds_of_almost_similar_texts(spark, monkeypatch):
     """Many variants of a text around the threshold, over several blocks."""
-    monkeypatch.setattr(minhash, "FAMILY_BLOCK", 16)
+    monkeypatch.setattr(minhash, "FAMILY_BYTES", 16 * 8 * 146)
+    monkeypatch.setattr(minhash, "BUCKET_BYTES", 16 * 96)
     monkeypatch.setattr(minhash, "BLOCK", 16)
     draw = random.Random(11)
     base = sentence(draw, 150, 100000).split()
@@ -252,3 +255,40 @@ def test_crowds_of_almost_similar_texts(spark, monkeypatch):
         rows.append((k, " ".join(ws)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert Counter(tuple(r) for r in minhash.near_duplicates(docs, 5).collect()) == brute_near(docs.collect(), 5)
+
+
+def test_a_family_makes_rows_in_proportion(spark):
+    """Rows that meet in tasks: one a member and one more for those outside the largest component."""
+    schema = "family long, id long, label long, n long"
+
+    def met(members, outside):
+        rows = [(1, k, k if k < outside else -1, 200) for k in range(members)]
+        frame = spark.createDataFrame(rows, schema)
+        return minhash._sides(frame, "family", 8 * F.col("n"), minhash.FAMILY_BYTES)
+
+    for members in (400, 1600):
+        assert met(members, members // 4).count() == members + members // 4
+    # Every pair with an end outside meets, also over several blocks.
+    rows = [(1, k, k if k < 30 else -1, 200) for k in range(100)]
+    cut = minhash._sides(spark.createDataFrame(rows, schema), "family", 8 * F.col("n"), 16 * 1600).collect()
+    tasks = {}
+    for r in cut:
+        tasks.setdefault((r.i, r.j), ([], []))[r.is_left].append(r.id)
+    pairs = {frozenset((x, y)) for others, left in tasks.values() for x in left for y in others if x != y}
+    assert len(tasks) > 4 and pairs == {frozenset((x, y)) for x in range(30) for y in range(100) if x != y}
+
+
+def test_ids_on_different_texts(spark):
+    draw = random.Random(4)
+    a, b = sentence(draw, 60, 10000), sentence(draw, 60, 10000)
+    near = lambda t: t + " tail"
+    rows = [(3, a), (5, a), (5, b), (7, None), (7, "x y"), (7, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter((r.doc_id, r.component_id) for r in minhash.near_duplicates(docs, 2).collect())
+    assert found == Counter([(3, 3), (5, 3), (5, 5), (7, 7), (7, 7), (7, 7)])
+    crossed = spark.createDataFrame([(5, a), (5, b), (8, near(b)), (9, near(a)), (2, near(a))], docs.schema)
+    rows = {(r.doc_id, r.version): r.component_id for r in minhash.judged_rows(crossed, 2).collect()}
+    known = {(r.doc_id, r.v): r.text for r in crossed.select("*", minhash.version(F.col("text")).alias("v")).collect()}
+    assert {(i, known[i, v][:9]): c for (i, v), c in rows.items()} == {
+        (5, a[:9]): 2, (9, a[:9]): 2, (2, a[:9]): 2, (5, b[:9]): 5, (8, b[:9]): 5,
+    }

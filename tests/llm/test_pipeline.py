@@ -74,3 +74,10 @@ def test_awkward_rows_pass_all_stages(spark):
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
             made = stage(spark, docs, SF_DIR)
             assert made.columns == docs.columns and made.count() <= 3 * docs.count(), k
+
+
+def test_ids_on_different_texts_are_judged_by_text(spark):
+    a, b = ("one two three four five six seven eight", "other words that stand nowhere else in here")
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (5, None), (None, a)], "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, [docs.collect()[k] for k in (0, 2, 3, 4)]))
