@@ -20,8 +20,6 @@ BINARY_RECORD = np.dtype(
 BINARY_SIZE = 188
 # Shape of an accepted JSON text, and the device number inside a topic name.
 JSON_OBJECT = r"^\{.*\}"
-NOT_A_NUMBER = r"(:\s*)([+-]?(?:NaN|INF|Infinity))(?=\s*[,}])"
-ID_FIELD = r'"device_id"\s*:\s*(?:"(?:[^"\\]|\\.)*"|[^,}\s]*)'
 TOPIC_NUMBER = r"(\d+)/messages"
 
 JSON_PAYLOAD = T.StructType(
@@ -95,23 +93,29 @@ def parse_json_payload(text: Column) -> Column:
     return F.from_json(text, JSON_PAYLOAD)
 
 
-def with_device_id(text: Column, json_id: Column, device: Column) -> Column:
-    """Canonical JSON text: it carries the judged device id, once, and is valid JSON.
+def with_device_id(text: Column, parsed: Column, variant: Column, device: Column) -> Column:
+    """Canonical JSON text: it carries the judged device id, once, in front, and is valid JSON.
 
-    Another value of the field (null, a text, a different number) is replaced; an object without the
-    field gets it in front. NaN and infinities, which the fields accept, are put in quotes.
+    `parsed` holds the declared fields and `variant` the whole text, NULL where it is no valid JSON.
+    A valid text with the right id stays as it is. Any other object is written anew from its fields:
+    of repeated ones the last one stays, NaN and infinities, which the fields accept, come in quotes.
+    If fields inside of it repeat, the declared ones are all that can be told. Texts that are no
+    object, or end too early, stay.
     """
-    number = device.cast("string")
-    text = F.regexp_replace(text, NOT_A_NUMBER, '$1"$2"')
-    rest = F.ltrim(F.substr(text, F.lit(2)))
-    separator = F.when(rest.startswith("}"), F.lit("")).otherwise(F.lit(","))
-    added = F.concat(F.lit('{"device_id":'), number, separator, rest)
-    replaced = F.regexp_replace(text, F.lit(ID_FIELD), F.concat(F.lit('"device_id":'), number))
-    return (
-        F.when(~text.startswith("{") | (json_id == number), text)
-        .when(text.rlike(ID_FIELD), replaced)
-        .otherwise(added)
+    right = variant.isNotNull() & (parsed["device_id"] == device.cast("string"))
+    fields = F.from_json(text, "map<string,variant>")
+    names = F.map_keys(fields)
+    later = lambda entry, at: F.array_position(F.slice(names, at + 2, F.size(names)), entry["key"])
+    others = F.filter(
+        F.map_entries(fields), lambda entry, at: (entry["key"] != "device_id") & (later(entry, at) == 0)
     )
+    own = F.array(F.struct(F.lit("device_id").alias("key"), device.cast("variant").alias("value")))
+    anew = F.to_json(F.map_from_entries(F.concat(own, others)))
+    declared = F.when(
+        parsed["event_timestamp"].isNotNull(),
+        F.to_json(F.struct(device.alias("device_id"), *[parsed[f].alias(f) for f in JSON_PAYLOAD.names[1:]])),
+    )
+    return F.when(~text.startswith("{") | right, text).otherwise(F.coalesce(anew, declared, text))
 
 
 def event_time(text: Column) -> Column:

@@ -36,8 +36,9 @@ def decode(
 ) -> DataFrame:
     """Every message with its device id, canonical JSON and parsed fields, nothing dropped yet.
 
-    The text is parsed once, and that pass yields the device id as well. With `binary=False`
-    (a JSON-only topic) the plan holds no Python step.
+    One pass over a text yields the declared fields and the device id, a second one the variant
+    (`document`) that goes to storage. With `binary=False` (a JSON-only topic) the plan holds no
+    Python step.
     """
     text, device = F.col("text"), F.col("extracted_device_id")
     json_id, json_time = F.col("parsed.device_id"), F.col("parsed.event_timestamp")
@@ -46,13 +47,16 @@ def decode(
         rows = rows.withColumn("record", payload.decode_binary(F.col("value")))
         framed = F.col("record").isNotNull()
         parsed = F.when(~framed, payload.parse_json_payload(text))
+        variant = F.when(~framed, payload.to_variant(text))
     else:
-        parsed = payload.parse_json_payload(text)
-    rows = rows.withColumn("parsed", parsed).withColumn(
+        parsed, variant = payload.parse_json_payload(text), payload.to_variant(text)
+    rows = rows.withColumns({"parsed": parsed, "variant": variant}).withColumn(
         "extracted_device_id",
         payload.device_id(F.col("topic"), F.col("message_key"), json_id, precedence),
     )
-    json_text = F.when(device.isNotNull(), payload.with_device_id(text, json_id, device))
+    json_text = F.when(
+        device.isNotNull(), payload.with_device_id(text, F.col("parsed"), F.col("variant"), device)
+    )
     if binary:
         record_time = payload.epoch_to_timestamp(F.col("record.event_time"), time_unit)
         record_json = F.to_json(
@@ -73,9 +77,12 @@ def decode(
         raw_json = json_text
         sensors = [F.expr(f"parsed.{name} AS {name}") for name in SENSORS]
         event_text, event = json_time, payload.event_time(json_time)
+    rows = rows.withColumn("raw_json", raw_json)
+    unchanged = F.col("variant").isNotNull() & (F.col("raw_json") == text)
     fields = F.struct(
         device.alias("device_id"),
-        raw_json.alias("raw_json"),
+        "raw_json",
+        F.when(unchanged, F.col("variant")).otherwise(payload.to_variant(F.col("raw_json"))).alias("document"),
         event_text.alias("event_text"),
         event.alias("event_timestamp"),
         *sensors,
@@ -105,7 +112,7 @@ def _passed_up_to(count: int):
 def accepted(decoded: DataFrame) -> DataFrame:
     """Sensor rows of the accepted messages."""
     return decoded.filter(_passed_up_to(len(_stages()))).select(
-        "device_id", "event_timestamp", *SENSORS, "raw_json", *LINEAGE
+        "device_id", "event_timestamp", *SENSORS, "raw_json", "document", *LINEAGE
     )
 
 
@@ -126,19 +133,24 @@ def quarantine(decoded: DataFrame) -> DataFrame:
     )
 
 
+def stage_names() -> list[str]:
+    return ["raw", *[name for name, _ in _stages()]]
+
+
+def stage_counts() -> list:
+    """Rows left after each stage, as aggregates by the stages' names."""
+    return [F.count_if(_passed_up_to(i)).alias(name) for i, name in enumerate(stage_names())]
+
+
 def funnel(decoded: DataFrame) -> DataFrame:
     """Rows left after each stage, counted in a single pass and laid out one row per stage."""
-    names = ["raw", *[name for name, _ in _stages()]]
-    counts = decoded.agg(
-        *[F.count_if(_passed_up_to(i)).alias(name) for i, name in enumerate(names)]
-    )
     layout = F.array(
         *[
             F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.col(name).alias("rows"))
-            for i, name in enumerate(names)
+            for i, name in enumerate(stage_names())
         ]
     )
-    return counts.select(F.inline(layout))
+    return decoded.agg(*stage_counts()).select(F.inline(layout))
 
 
 def payload_sample(decoded: DataFrame, rows: int = 3) -> DataFrame:

@@ -157,11 +157,25 @@ def exceptions(raised: DataFrame) -> DataFrame:
 
 
 def new_arrivals(polls: DataFrame) -> DataFrame:
-    """New messages per poll: growth of every partition's last sequence number, never negative."""
-    order = W.partitionBy("partition").orderBy("poll_time")
-    grown = F.greatest(F.lit(0), F.col("last_sequence") - F.lag("last_sequence").over(order))
-    return (
-        polls.withColumn("grown", F.coalesce(grown, F.lit(0)))
-        .groupBy("poll_time")
-        .agg(F.sum("grown").alias("new_messages"))
+    """New messages per poll: growth of every partition's last sequence number, never negative.
+
+    Polls are ordered inside their day; a day's first poll looks back at one row per day.
+    """
+    dated = polls.withColumn("day", F.to_date(F.col("poll_time").try_cast("timestamp")))
+    last = dated.groupBy("partition", "day").agg(F.max_by("last_sequence", "poll_time").alias("last"))
+    over_days = W.partitionBy("partition").orderBy("day")
+    before = last.select("partition", "day", F.lag("last").over(over_days).alias("day_before"))
+    inside = W.partitionBy("partition", "day").orderBy("poll_time")
+    own = dated.withColumns(
+        {"place": F.row_number().over(inside), "poll_before": F.lag("last_sequence").over(inside)}
+    )
+    joined = own.alias("o").join(
+        before.alias("b"),
+        F.col("o.partition").eqNullSafe(F.col("b.partition")) & F.col("o.day").eqNullSafe(F.col("b.day")),
+    )
+    previous = F.when(F.col("place") == 1, F.col("day_before")).otherwise(F.col("poll_before"))
+    grown = F.coalesce(F.greatest(F.lit(0), F.col("last_sequence") - previous), F.lit(0))
+    grown = F.when(previous.isNotNull() & F.col("last_sequence").isNotNull(), grown).otherwise(0)
+    return joined.select("poll_time", grown.alias("grown")).groupBy("poll_time").agg(
+        F.sum("grown").alias("new_messages")
     )

@@ -141,6 +141,49 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return seen.select(*keys, side.alias("side"))
 
 
+def bucket_digests(rows: DataFrame, keys: list[str], values: list[str], buckets: int) -> DataFrame:
+    """Per hash bucket of the keys: rows, and sum and exclusive or of their hashes, in any order."""
+    row = F.xxhash64(*keys, *values)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    return rows.groupBy(bucket.alias("bucket")).agg(
+        F.count("*").alias("rows"), F.sum(row.cast("decimal(38,0)")).alias("total"), F.bit_xor(row).alias("mixed")
+    )
+
+
+def reconcile_buckets(
+    left: DataFrame, right: DataFrame, keys: list[str], values: list[str], buckets: int = 4096
+) -> DataFrame:
+    """Rows of two stores that differ: `only_left`, `only_right`, or `differs` in a value.
+
+    Equal buckets are told by their digests, which are combined on the map side; only rows of unequal
+    buckets are shuffled. Repeated keys are compared by the digest of all their rows.
+    """
+    sides = [bucket_digests(side, keys, values, buckets) for side in (left, right)]
+    named = [s.select("bucket", F.struct("rows", "total", "mixed").alias(n)) for s, n in zip(sides, ("l", "r"))]
+    unequal = named[0].join(named[1], "bucket", "full").filter(~F.col("l").eqNullSafe(F.col("r")))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    # At most `buckets` numbers.
+    wanted = F.broadcast(unequal.select("bucket"))
+
+    def of(side: DataFrame, name: str) -> DataFrame:
+        rows = side.select(*keys, *values, bucket.alias("bucket")).join(wanted, "bucket", "left_semi")
+        values_of = F.xxhash64(*values).cast("decimal(38,0)") if values else F.lit(0).cast("decimal(38,0)")
+        return rows.select(*keys, F.lit(name).alias("store"), values_of.alias("values"))
+
+    held = lambda name: F.col("store") == name
+    grouped = of(left, "left").unionByName(of(right, "right")).groupBy(*keys).agg(
+        *[F.count_if(held(n)).alias(f"{n}_rows") for n in ("left", "right")],
+        *[F.sum(F.when(held(n), F.col("values"))).alias(n) for n in ("left", "right")],
+    )
+    same = (F.col("left_rows") == F.col("right_rows")) & F.col("left").eqNullSafe(F.col("right"))
+    side = (
+        F.when(F.col("right_rows") == 0, "only_left")
+        .when(F.col("left_rows") == 0, "only_right")
+        .otherwise("differs")
+    )
+    return grouped.filter(~same).select(*keys, side.alias("side"))
+
+
 def reconcile_counts(left: DataFrame, right: DataFrame) -> DataFrame:
     """Record and device counts of two stores side by side."""
     sides = left.select("device_id", F.lit("left").alias("store")).unionAll(

@@ -32,6 +32,14 @@ def build_session(app: str = "coldtrace", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def use_state_store(spark: SparkSession) -> None:
+    """Streaming state in RocksDB, of which a batch writes the changes only."""
+    store = "spark.sql.streaming.stateStore"
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set(f"{store}.providerClass", provider)
+    spark.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder of this application for intermediate tables, under `spark.checkpoint.dir`.
 

@@ -1,92 +1,87 @@
-"""Requests matched with responses on a stream.
+"""Requests matched with responses on a stream, by a join of the stream with itself.
 
-Each micro-batch runs the batch operator over the new messages and the few before them that can
-still matter. A result is given out once no message that is still accepted could change it.
+A request looks for the messages of its key within the wait after it, a response for those before it:
+a left outer join of two watermarked streams on the key and a range of time. Spark drops what can no
+longer be met from its state, and gives out messages that met none once the watermark has passed
+them. Of the messages met the nearest decides, as in the batch operator: an aggregate per message,
+given out once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from coldtrace.operators import correlate
-from coldtrace.operators.hot import hot_keys
-from coldtrace.streaming.tables import BatchTable, epoch_of, read_if_exists
+from coldtrace.session import use_state_store
+from coldtrace.streaming.tables import BatchTable, epoch_of
 
-OPEN_SCHEMA = (
-    "client string, msg_type int, msg_id int, at timestamp, is_response boolean, seq long"
-)
-PROGRESS_SCHEMA = "settled_to timestamp"
-_NEVER = datetime(1970, 1, 1)
+
+def nearest_messages(messages: DataFrame, again: DataFrame, wait_seconds: int, lateness: str) -> DataFrame:
+    """Every message with the nearest of its key on the side it looks to, NULL without one.
+
+    `again` is a second reading of `messages`.
+    """
+    columns = [*correlate.KEY, *correlate.ORDER]
+    left = messages.select(*columns).withWatermark("at", lateness).alias("x")
+    right = again.select(*columns).withWatermark("at", lateness).alias("y")
+    x, y = (lambda name: F.col(f"x.{name}")), (lambda name: F.col(f"y.{name}"))
+    same = x(correlate.KEY[0]).eqNullSafe(y(correlate.KEY[0]))
+    for name in correlate.KEY[1:]:
+        same = same & x(name).eqNullSafe(y(name))
+    place = lambda of: F.struct(*[of(name) for name in correlate.ORDER])
+    # A literal interval: from it Spark tells how long a message must be kept.
+    wait = F.expr(f"INTERVAL {int(wait_seconds)} SECONDS")
+    near = (y("at") >= x("at") - wait) & (y("at") <= x("at") + wait)
+    ahead = F.when(x("is_response"), place(y) < place(x)).otherwise(place(y) > place(x))
+    met = left.join(right, same & near & ahead, "left_outer").select(
+        *[x(name).alias(name) for name in columns],
+        F.when(y("at").isNotNull(), F.struct(y("at").alias("at"), y("is_response").alias("is_response"), y("seq").alias("seq"))).alias("other"),
+    )
+    return met.groupBy(*columns).agg(F.min("other").alias("following"), F.max("other").alias("previous"))
+
+
+def results(nearest: DataFrame) -> DataFrame:
+    """One row per request (Success or Timeout) and per stray response (Failure)."""
+    response = F.col("is_response")
+    answers = response & ~F.coalesce(F.col("previous.is_response"), F.lit(True))
+    answered = ~response & F.coalesce(F.col("following.is_response"), F.lit(False))
+    waited = F.unix_micros("following.at") - F.unix_micros("at")
+    return nearest.filter(~answers).select(
+        *correlate.KEY,
+        "seq",
+        F.when(~response, F.col("at")).alias("request_at"),
+        F.when(response, F.col("at")).when(answered, F.col("following.at")).alias("response_at"),
+        F.when(response, "Failure").when(answered, "Success").otherwise("Timeout").alias("result"),
+        F.when(answered, F.ceil(waited / F.lit(1000))).alias("latency_ms"),
+    )
 
 
 @dataclass
 class CorrelationStream:
-    """Tables: `results`, one row per settled message; `open`, the messages kept for the next batch.
+    """Table `results`: one row per message that is settled.
 
-    Messages may come up to `lateness_seconds` behind the newest one seen; later ones are left out.
+    Messages may come up to `lateness` behind the newest one. What is open stays in the checkpoint's
+    state; a new checkpoint should start at the messages of the last wait.
     """
 
     spark: SparkSession
     root: str
     wait_seconds: int = correlate.WAIT_SECONDS
-    lateness_seconds: int = 30
-    hot_keys: Callable[[DataFrame], DataFrame | None] = lambda rows: hot_keys(rows, correlate.KEY)
+    lateness: str = "30 seconds"
 
     def __post_init__(self) -> None:
-        root = self.root.rstrip("/")
-        self.results = BatchTable(f"{root}/results")
-        self.open = BatchTable(f"{root}/open")
-        self.progress = BatchTable(f"{root}/progress")
-        self.late = BatchTable(f"{root}/late")
-
-    def _before(self, epoch: int, batch: int) -> tuple[DataFrame, datetime]:
-        """Open messages and settled time as left by the batch before."""
-        folder = f"epoch={epoch}/batch_id={batch - 1}"
-        kept = read_if_exists(self.spark, f"{self.open.path}/{folder}", OPEN_SCHEMA)
-        settled = read_if_exists(self.spark, f"{self.progress.path}/{folder}", PROGRESS_SCHEMA)
-        if kept is None or settled is None:
-            return self.spark.createDataFrame([], OPEN_SCHEMA), _NEVER
-        return kept, settled.first().settled_to
-
-    def _settle(self, known: DataFrame, after: datetime, upto: datetime | None) -> DataFrame:
-        """Results of the messages in (after, upto]."""
-        hot = self.hot_keys(known)
-        own_time = F.coalesce("request_at", "response_at")
-        found = correlate.correlate(known, self.wait_seconds, hot).filter(own_time > F.lit(after))
-        return found if upto is None else found.filter(own_time <= F.lit(upto))
-
-    def process(self, messages: DataFrame, batch: int, epoch: int = 0) -> None:
-        kept, settled = self._before(epoch, batch)
-        fresh = messages.select(*correlate.KEY, *correlate.ORDER)
-        on_time = F.col("at") > F.lit(settled)
-        known = kept.unionByName(fresh.filter(on_time)).persist()
-        try:
-            newest = known.agg(F.max("at")).first()[0] or settled
-            wait, lateness = timedelta(seconds=self.wait_seconds), timedelta(seconds=self.lateness_seconds)
-            upto = max(settled, newest - lateness - wait)
-            self.results.write(self._settle(known, settled, upto), epoch, batch)
-            self.late.write(fresh.filter(~on_time), epoch, batch)
-            # A later response looks back no further than the wait.
-            self.open.write(known.filter(F.col("at") > F.lit(upto - wait)), epoch, batch)
-            self.progress.write(self.spark.createDataFrame([(upto,)], PROGRESS_SCHEMA), epoch, batch)
-        finally:
-            known.unpersist()
-
-    def finish(self, batch: int, epoch: int = 0) -> None:
-        """Settle what is still open when no more messages will come after `batch`."""
-        kept, settled = self._before(epoch, batch + 1)
-        self.results.write(self._settle(kept, settled, None), epoch, batch + 1)
-
-    def start(self, messages: DataFrame, checkpoint: str, interval: str | None = "10 seconds") -> StreamingQuery:
+        self.results = BatchTable(f"{self.root.rstrip('/')}/results")
+
+    def start(
+        self, messages: DataFrame, again: DataFrame, checkpoint: str, interval: str | None = "10 seconds"
+    ) -> StreamingQuery:
+        use_state_store(self.spark)
         epoch = epoch_of(self.spark, f"{self.root.rstrip('/')}/epochs", checkpoint)
-        writer = messages.writeStream.foreachBatch(
-            lambda frame, batch: self.process(frame, batch, epoch)
-        ).option("checkpointLocation", checkpoint)
+        found = results(nearest_messages(messages, again, self.wait_seconds, self.lateness))
+        writer = found.writeStream.foreachBatch(lambda frame, batch: self.results.write(frame, epoch, batch))
         trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-        return writer.trigger(**trigger).start()
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

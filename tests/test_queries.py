@@ -14,7 +14,8 @@ from workload.views import Views
 
 QUERIES = registered.queries()
 ORACLES = registered.oracle_sql()
-STREAMED = {n for n in QUERIES if n.startswith(("q_stream_", "q_sink_", "q_monitor", "q_restart"))}
+STREAMS = "q_stream_ q_sink_ q_monitor q_restart q_start_over q_state_stream q_minute_windows q_late_rows"
+STREAMED = {n for n in QUERIES if n.startswith(tuple(STREAMS.split()))}
 
 
 def _sorted_rows(table):

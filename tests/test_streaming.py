@@ -13,7 +13,6 @@ from coldtrace.schemas import DEVICE_STATUS, MESSAGE
 from coldtrace.sources import messages
 from coldtrace.streaming import monitor
 from coldtrace.streaming.pipeline import Masters, Pipeline, SinkError
-from coldtrace.streaming.minutes import MinuteStream
 from coldtrace.streaming.tables import KeyedTable, current_history, epoch_of
 
 BEGIN = at("2024-01-01")
@@ -197,23 +196,6 @@ def test_progress_table(spark, root):
     assert {r.metric for r in monitor.measures(rows).collect()} == {"batch_seconds", "consumer_lag", "rows_per_second"}
 
 
-def test_minutes_count_late_rows_and_list_them(spark, root):
-    schema = "device_id int, event_timestamp timestamp"
-    first = [(1, at("2024-01-01 00:00:10")), (2, at("2024-01-01 00:30:00")), (2, at("2024-01-01 00:30:05"))]
-    second = [(3, at("2024-01-01 00:00:20")), (1, at("2024-01-01 00:25:00"))]
-    stream = MinuteStream(spark, root)
-    for batch, rows in enumerate([first, second, second[:0]]):
-        stream.process(spark.createDataFrame(rows, schema), batch)
-    stream.process(spark.createDataFrame(second, schema), 1)  # repeated
-    found = {r.minute: (r.records, r.devices) for r in stream.series().collect()}
-    assert found == {
-        at("2024-01-01 00:00:00"): (2, 2),
-        at("2024-01-01 00:30:00"): (2, 1),
-        at("2024-01-01 00:25:00"): (1, 1),
-    }
-    assert [r.device_id for r in stream.late.read(spark).collect()] == [3]
-
-
 def test_a_missing_generation_is_an_error(spark, root):
     table = KeyedTable(f"{root}/t", T.StructType.fromDDL("k int, v int"), ("k",), fold_every=2)
     with pytest.raises(RuntimeError):

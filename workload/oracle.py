@@ -160,6 +160,25 @@ _VIEWS = {
             row_number() OVER (w ORDER BY event_timestamp, event_id) AS place
         FROM numbered WHERE threshold_exceeded
         WINDOW w AS (PARTITION BY device_id, alert_id, episode)""",
+    # The queue, slot by slot.
+    "waiting": """WITH RECURSIVE counted AS (
+            SELECT user_id % 16 AS part, date_trunc('hour', ts) AS slot, count(*) AS arrived
+            FROM events GROUP BY ALL),
+        hours AS (SELECT unnest(generate_series(min(slot), max(slot), INTERVAL 1 HOUR)) AS slot FROM counted),
+        grid AS (SELECT p.part, h.slot, coalesce(c.arrived, 0) AS arrived
+            FROM (SELECT DISTINCT part FROM counted) p CROSS JOIN hours h
+            LEFT JOIN counted c ON c.part = p.part AND c.slot = h.slot),
+        able AS (SELECT part, ceil(2 * avg(arrived)) AS able FROM grid GROUP BY part),
+        flow AS (SELECT g.part, slot, arrived, CAST(CASE WHEN slot >= TIMESTAMP '2024-01-10'
+                AND slot < TIMESTAMP '2024-01-10 12:00:00' THEN 0 ELSE able END AS BIGINT) AS capacity,
+                row_number() OVER (PARTITION BY g.part ORDER BY slot) AS k
+            FROM grid g JOIN able USING (part)),
+        queue AS (SELECT part, slot, arrived, capacity, k, greatest(0, arrived - capacity) AS backlog
+            FROM flow WHERE k = 1
+            UNION ALL SELECT f.part, f.slot, f.arrived, f.capacity, f.k,
+                greatest(0, q.backlog + f.arrived - f.capacity)
+            FROM queue q JOIN flow f ON f.part = q.part AND f.k = q.k + 1)
+        SELECT part, slot, arrived, capacity, backlog FROM queue""",
     "replay": f"""SELECT f.device_id, f.alert_id, f.started AS abnormal_start_time,
             f.event_timestamp AS fired_event_time, f.current_sensor_value AS alert_value,
             n.event_timestamp AS recovered_event_time
@@ -200,15 +219,17 @@ _VIEWS = {
                     >= 0.95 * (SELECT avg(records) FROM minutes) * 5 AS reached FROM minutes)
             GROUP BY run) b ON m.run = b.run""",
     "measured": """SELECT unnest([
-            {'metric': 'avg_lag_sec', 'value': avg(lag) / 4},
-            {'metric': 'avg_lag_sec_oltp', 'value': avg(lag)},
-            {'metric': 'records_per_minute', 'value': count(*) / 10},
+            {'metric': 'avg_lag_sec', 'value': avg(lag)},
+            {'metric': 'avg_lag_sec_oltp',
+             'value': avg(lag) FILTER (event_id % 101 <> 0 AND event_id % 103 <> 0)},
+            {'metric': 'records_per_minute',
+             'value': count(*) / count(DISTINCT date_trunc('minute', event_timestamp))},
             {'metric': 'consumer_lag', 'value': (SELECT CAST(sum(sent - coalesce(got, 0)) AS DOUBLE)
                 FROM (SELECT user_id % 16 AS p, max(CASE WHEN user_id % 16 = 3
                         AND hour(date_trunc('hour', ts)) = 0 THEN 0 ELSE event_id END) AS sent
                     FROM events GROUP BY 1)
                 LEFT JOIN (SELECT user_id % 16 AS p, max(event_id) AS got FROM events
-                    WHERE event_id % 101 <> 0 GROUP BY 1) USING (p))},
+                    WHERE event_id % 101 <> 0 AND event_id % 103 <> 0 GROUP BY 1) USING (p))},
             {'metric': 'throttled_ratio', 'value': (SELECT count(*) FILTER (type = 'error')
                 / count(*) FROM requests)},
             {'metric': 'rate_deviation_pct', 'value': (SELECT abs((n / 864000 - d / 38880)
@@ -218,7 +239,6 @@ _VIEWS = {
                 count(DISTINCT device_id) AS d FROM telemetry))},
             {'metric': 'device_coverage',
              'value': count(DISTINCT device_id) / (SELECT count(*) FROM device_master)},
-            {'metric': 'batch_seconds', 'value': max(lag) / 4},
             {'metric': 'archive_delay_minutes', 'value': max(lag) / 60},
             {'metric': 'freshness_sec', 'value': CAST(epoch_us(max(create_time)) // 1000000
                 - epoch_us(max(event_timestamp)) // 1000000 AS DOUBLE)},
@@ -242,10 +262,9 @@ _VIEWS = {
                             ELSE max(event_id) END AS last_sequence
                     FROM events GROUP BY user_id % 16, date_trunc('hour', ts))))},
             {'metric': 'archive_gap_minutes', 'value': (SELECT max(gap) FROM (
-                SELECT (epoch_us(m) - epoch_us(lag(m) OVER (PARTITION BY CAST(m AS DATE) ORDER BY m)))
-                    / 60000000 AS gap
+                SELECT (epoch_us(m) - epoch_us(lag(m) OVER (ORDER BY m))) / 60000000 AS gap
                 FROM (SELECT DISTINCT date_trunc('minute', create_time) AS m FROM stored)))},
-            {'metric': 'error_rate', 'value': count(*) FILTER (event_id % 97 = 0) / count(*)},
+            {'metric': 'error_rate', 'value': (count(*) - (SELECT count(*) FROM parsed)) / count(*)},
             {'metric': 'failure_rate', 'value': (SELECT count(exception) / count(*) FROM requests)}],
             recursive := true)
         FROM (SELECT *, epoch_us(create_time) // 1000000 - epoch_us(event_timestamp) // 1000000 AS lag
@@ -414,7 +433,10 @@ _QUERIES = {
         FROM flagged WHERE NOT (no_device OR plain)
         ORDER BY topic, CAST(device_id % 16 AS INTEGER), event_id LIMIT 3""",
     "q_canonical_json": """SELECT event_id, device_id, device_id AS text_id,
-            CAST(1 AS INTEGER) AS id_fields, device_id AS variant_id, event_id % 5 = 4 AS is_nan
+            CAST(1 AS INTEGER) AS id_fields, device_id AS variant_id, event_id % 12 = 4 AS is_nan,
+            CASE WHEN event_id % 12 <> 4 THEN external_temp END AS temperature,
+            CASE WHEN event_id % 12 = 5 THEN 3 END AS nested_id,
+            CASE WHEN event_id % 12 = 8 THEN 't: NaN, x' END AS note, true AS is_valid
         FROM telemetry""",
     "q_variant": f"SELECT event_id, device_id, {_SENSOR_LIST} FROM parsed",
     "q_binary_decode": f"""SELECT event_id, device_id, event_timestamp,
@@ -497,6 +519,19 @@ _QUERIES = {
         LEFT JOIN measurement_item i
             ON f.alert_conditions_measurement_item_id = i.measurement_item_id
         WHERE alert_email_flag""",
+    "q_mail_detail": """SELECT email_address AS recipient_email, alert_id,
+            alert_conditions_measurement_item_id AS measurement_item_id, alert_level_id, device_id,
+            organization_id, alert_name, measurement_item_name, alert_conditions_operator AS operator,
+            alert_conditions_threshold AS threshold, date_trunc('millisecond', event_timestamp) AS detected_at
+        FROM fired f JOIN (SELECT * FROM mail_setting WHERE is_active) m USING (organization_id)
+        LEFT JOIN measurement_item i
+            ON f.alert_conditions_measurement_item_id = i.measurement_item_id
+        WHERE alert_email_flag""",
+    "q_history_identity": """SELECT device_id, alert_id, regexp_replace(
+                md5(concat_ws('|', device_id, alert_id, epoch_us(abnormal_start_time))),
+                '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5') AS alert_history_uuid,
+            true AS own_key
+        FROM fired""",
     "q_device_status": f"""SELECT f.device_id, 'ALERT' AS latest_status,
             max(event_timestamp) AS latest_event_timestamp,
             count(*) + CASE WHEN f.device_id % 5 = 0 THEN 3 ELSE 0 END AS alert_count,
@@ -673,6 +708,42 @@ _QUERIES = {
         FROM device_master""",
     "q_stream_minutes": """SELECT date_trunc('minute', event_timestamp) AS minute,
         count(*) AS records, count(DISTINCT device_id) AS devices FROM telemetry GROUP BY 1""",
+    "q_stream_checks": """SELECT check_id, metric, true AS measured,
+            CASE WHEN metric = 'failure_rate' THEN 'pass' END AS verdict
+        FROM checks WHERE metric IN ('batch_seconds', 'failure_rate')""",
+    "q_reconcile_buckets": """SELECT coalesce(l.event_id, r.event_id) AS event_id,
+            CASE WHEN r.event_id IS NULL THEN 'only_left' WHEN l.event_id IS NULL THEN 'only_right'
+                ELSE 'differs' END AS side
+        FROM telemetry l FULL JOIN (
+            SELECT CASE WHEN event_id % 103 = 0 THEN event_id + 1000000000 ELSE event_id END AS event_id,
+                device_id, CASE WHEN event_id % 107 = 0 THEN -1.0 ELSE external_temp END AS external_temp
+            FROM telemetry WHERE event_id % 101 <> 0) r ON l.event_id = r.event_id
+        WHERE l.event_id IS NULL OR r.event_id IS NULL OR l.device_id <> r.device_id
+            OR l.external_temp IS DISTINCT FROM r.external_temp""",
+    "q_distinct_windows": " UNION ALL ".join(
+        f"""SELECT '{name}' AS window, time_bucket(INTERVAL '{name}', event_timestamp) AS window_start,
+            count(*) AS records, count(DISTINCT device_id) AS devices, true AS within_bound
+        FROM telemetry GROUP BY 2"""
+        for name in ("10 minutes", "1 hour", "1 day")
+    ),
+    "q_variant_stored": f"SELECT event_id, {_SENSOR_LIST} FROM parsed",
+    "q_catch_up": "SELECT part, slot, arrived, capacity, backlog FROM waiting",
+    "q_catch_up_time": """SELECT part, max(backlog) AS highest,
+            date_diff('minute', TIMESTAMP '2024-01-10 12:00:00', min(slot)
+                FILTER (slot >= TIMESTAMP '2024-01-10 12:00:00' AND backlog = 0)) + 60 AS minutes
+        FROM waiting GROUP BY part""",
+    "q_minute_windows": """SELECT date_trunc('minute', event_timestamp) AS minute,
+            count(*) AS records, count(DISTINCT device_id) AS devices FROM telemetry
+        WHERE NOT (event_id % 50 = 0 AND event_timestamp < TIMESTAMP '2024-01-08') GROUP BY 1""",
+    "q_late_rows": """SELECT event_id, device_id, event_timestamp, 1 AS times FROM telemetry
+        WHERE event_id % 50 = 0 AND event_timestamp < TIMESTAMP '2024-01-08'
+        UNION ALL SELECT event_id, device_id, event_timestamp, 1 FROM telemetry
+        WHERE event_id % 70 = 0 AND event_timestamp >= TIMESTAMP '2024-01-10'
+            AND event_timestamp < TIMESTAMP '2024-01-20'""",
+    "q_state_stream": "SELECT * FROM replay",
+    "q_stream_redelivery": """SELECT p.device_id, CAST(event_timestamp AS DATE) AS event_date, count(*) AS rows
+        FROM parsed p JOIN device_master d ON p.device_id = d.device_id
+        WHERE organization_id IN (SELECT organization_id FROM organization_master) GROUP BY ALL""",
     "q_stream_correlate": "SELECT * FROM correlated",
     "q_stream_silver": _SILVER
     + """ FROM parsed p JOIN device_master d ON p.device_id = d.device_id
@@ -699,4 +770,6 @@ def _streamed_alerts() -> str:
 def all_oracles() -> dict[str, str]:
     texts = {name: _with_views(body) for name, body in _QUERIES.items()}
     texts["q_stream_alerts"] = _streamed_alerts()
+    texts["q_start_over"] = texts["q_stream_alerts"]
+    texts["q_stream_funnel"] = texts["q_funnel"]
     return texts

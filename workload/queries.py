@@ -12,16 +12,17 @@ from pyspark.sql.streaming import StreamingQuery
 from coldtrace.functions import frames, payload
 from coldtrace.operators import alerts, changes, correlate, enrich, numbering, parse, replay
 from coldtrace.operators.hot import hot_keys
-from coldtrace.plans import runs, traffic, validation, verdicts
+from coldtrace.plans import catchup, runs, sketches, traffic, validation, verdicts
 from coldtrace.schemas import SENSORS
 from coldtrace.session import materialise, scratch_root
-from coldtrace.sources import generator, loadtest, messages
+from coldtrace.sources import documents, generator, loadtest, messages
 from coldtrace.streaming import monitor
 from coldtrace.streaming.pipeline import Masters, Pipeline
 from coldtrace.streaming.correlation import CorrelationStream
+from coldtrace.streaming.episodes import EpisodeStream
 from coldtrace.streaming.minutes import MinuteStream
 from coldtrace.streaming.tables import current_history
-from workload.views import AS_OF, BATCH_TIME, POLL_PARTITIONS, Views, plain_times, week_of
+from workload.views import AS_OF, BATCH_TIME, OUTAGE_TO, POLL_PARTITIONS, Views, plain_times, week_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -112,21 +113,27 @@ def q_payload_sample(v: Views) -> DataFrame:
 def q_canonical_json(v: Views) -> DataFrame:
     """Device ids as the column, the canonical text and the variant hold them."""
     rows = parse.accepted(parse.decode(v.odd_messages, binary=False))
-    text = F.col("raw_json")
+    text, document = F.col("raw_json"), F.col("document")
+    names = F.map_keys(F.from_json(text, "map<string,variant>"))
+    temperature = payload.variant_double(document, "external_temp")
     return rows.select(
         F.col("offset").alias("event_id"),
         "device_id",
         F.get_json_object(text, "$.device_id").try_cast("int").alias("text_id"),
-        F.regexp_count(text, F.lit('"device_id"')).alias("id_fields"),
-        F.try_variant_get(payload.to_variant(text), "$.device_id", "int").alias("variant_id"),
-        F.isnan(payload.variant_double(payload.to_variant(text), "external_temp")).alias("is_nan"),
+        F.size(F.filter(names, lambda name: name == "device_id")).alias("id_fields"),
+        F.try_variant_get(document, "$.device_id", "int").alias("variant_id"),
+        F.coalesce(F.isnan(temperature), F.lit(False)).alias("is_nan"),
+        F.when(~F.isnan(temperature), temperature).alias("temperature"),
+        F.try_variant_get(document, "$.meta.device_id", "int").alias("nested_id"),
+        F.try_variant_get(document, "$.note", "string").alias("note"),
+        (F.try_parse_json(text).isNotNull() & document.isNotNull()).alias("is_valid"),
     )
 
 
 @query
 def q_variant(v: Views) -> DataFrame:
     rows = parse.accepted(_decoded(v)).select(
-        F.col("offset").alias("event_id"), payload.to_variant(F.col("raw_json")).alias("doc")
+        F.col("offset").alias("event_id"), F.col("document").alias("doc")
     )
     return rows.select(
         "event_id",
@@ -277,6 +284,31 @@ def q_mail_queue(v: Views) -> DataFrame:
     return rows.drop("alert_detail_json", "error_message", "processed_time")
 
 
+@query
+def q_mail_detail(v: Views) -> DataFrame:
+    """The fields of the detail text of every queued mail."""
+    rows = changes.mail_rows(_changes(v).firings, v.mail_setting, v.measurement_item, _now())
+    text = lambda name: F.get_json_object("alert_detail_json", f"$.{name}")
+    numbers = ("alert_id", "measurement_item_id", "alert_level_id", "device_id", "organization_id")
+    return rows.select(
+        "recipient_email",
+        *[text(name).cast("int").alias(name) for name in numbers],
+        *[text(name).alias(name) for name in ("alert_name", "measurement_item_name", "operator")],
+        text("threshold").cast("double").alias("threshold"),
+        F.try_to_timestamp(text("detected_at")).alias("detected_at"),
+    )
+
+
+@query
+def q_history_identity(v: Views) -> DataFrame:
+    """The lasting names of firings, and whether each has a key of its own."""
+    fired = _changes(v).firings
+    keys = fired.groupBy("alert_history_id").agg(F.count("*").alias("n"))
+    return fired.join(keys, "alert_history_id").select(
+        "device_id", "alert_id", "alert_history_uuid", (F.col("n") == 1).alias("own_key")
+    )
+
+
 @query
 def q_device_status(v: Views) -> DataFrame:
     stored = v.device_master.filter("device_id % 5 = 0").select(
@@ -468,6 +500,53 @@ def q_reconcile_counts(v: Views) -> DataFrame:
     return validation.reconcile_counts(v.telemetry, v.mirror)
 
 
+@query
+def q_reconcile_buckets(v: Views) -> DataFrame:
+    """Rows that differ between the stores, found through digests of their buckets."""
+    return validation.reconcile_buckets(
+        v.readings, v.altered, ["event_id"], ["device_id", "external_temp"]
+    )
+
+
+@query
+def q_distinct_windows(v: Views) -> DataFrame:
+    """Devices in windows of three lengths from stored minute sketches, held against the exact count."""
+    minutes = materialise(sketches.per_minute(v.telemetry))
+    found = None
+    for window in ("10 minutes", "1 hour", "1 day"):
+        begin = F.window("event_timestamp", window)["start"]
+        exact = v.telemetry.groupBy(begin.alias("window_start")).agg(F.countDistinct("device_id").alias("devices"))
+        both = sketches.per_window(minutes, window).join(exact, "window_start").select(
+            F.lit(window).alias("window"), "window_start", "records", "devices",
+            sketches.within(F.col("about"), F.col("devices")).alias("within_bound"),
+        )
+        found = both if found is None else found.unionByName(both)
+    return found
+
+
+@query
+def q_variant_stored(v: Views) -> DataFrame:
+    """All sensors read back from the stored documents."""
+    path = f"{scratch_root(v.spark)}/documents-{uuid.uuid4().hex}"
+    rows = parse.accepted(_decoded(v)).select(
+        F.col("offset").alias("event_id"), F.to_date("event_timestamp").alias("event_date"), "document"
+    )
+    documents.write(rows, path, ["event_date"])
+    return documents.read(v.spark, path, rows.schema, "document", SENSORS).drop("event_date")
+
+
+@query
+def q_catch_up(v: Views) -> DataFrame:
+    """What waits in each partition at the end of every hour."""
+    return catchup.backlog(v.hourly_flow)
+
+
+@query
+def q_catch_up_time(v: Views) -> DataFrame:
+    """Highest backlog of each partition, and the minutes it takes to work it off after the outage."""
+    return catchup.drained(catchup.backlog(v.hourly_flow), F.lit(OUTAGE_TO).cast("timestamp"))
+
+
 # -- load runs ---------------------------------------------------------------------------------
 
 
@@ -603,26 +682,27 @@ def q_run_summary(v: Views) -> DataFrame:
 
 
 def _measured(v: Views) -> DataFrame:
-    """Metrics of the checks over the tables; some are fixture data and not measures.
+    """Metrics of the checks, all measured over the tables.
 
-    Fixture data: `avg_lag_sec` and `batch_seconds` (event-to-store lag over 4), `records_per_minute`
-    (a tenth of all rows, whatever their time span), `error_rate` (a share of ids, not of messages that
-    fail to parse) and the backlog of `consumer_lag` (ids left out of what was read).
+    The first store is `stored`, the second one its rows that `mirror` holds. How long a batch takes
+    is told by a running stream only (`q_stream_checks`).
     """
     lag = F.unix_seconds("create_time") - F.unix_seconds("event_timestamp")
     stored = v.stored.agg(
-        (F.avg(lag) / 4).alias("avg_lag_sec"),
-        F.avg(lag).alias("avg_lag_sec_oltp"),
-        (F.count("*") / 10).alias("records_per_minute"),
+        F.avg(lag).alias("avg_lag_sec"),
         (F.countDistinct("device_id") / F.lit(v.device_master.agg(F.count("*")).scalar())).alias(
             "device_coverage"
         ),
-        (F.max(lag) / 4).alias("batch_seconds"),
-        (F.count_if(F.col("event_id") % 97 == 0) / F.count("*")).alias("error_rate"),
     )
+    second = v.stored.join(v.mirror.select("event_id"), "event_id", "left_semi").agg(
+        F.avg(lag).alias("avg_lag_sec_oltp")
+    )
+    minutes = validation.per_minute(v.telemetry).agg(F.avg("records").alias("records_per_minute"))
+    stages = parse.funnel(_decoded(v)).agg(F.max("rows").alias("raw"), F.min("rows").alias("kept"))
+    rejected = stages.select(((F.col("raw") - F.col("kept")) / F.col("raw")).alias("error_rate"))
     newest = v.polls.groupBy("partition").agg(F.max("last_sequence").alias("sent"))
     read = (
-        v.telemetry.filter(F.col("event_id") % 101 != 0)
+        v.telemetry.join(v.mirror.select("event_id"), "event_id", "left_semi")
         .groupBy((F.col("device_id") % POLL_PARTITIONS).cast("int").alias("partition"))
         .agg(F.max("event_id").alias("stored"))
     )
@@ -663,7 +743,7 @@ def _measured(v: Views) -> DataFrame:
         .cast("double")
         .alias("freshness_sec"),
     )
-    frames_ = (stored, behind, requests, steady, sending, known, polled, failed, arrived, both, gap, fresh)
+    frames_ = (stored, second, minutes, rejected, behind, requests, steady, sending, known, polled, failed, arrived, both, gap, fresh)
     parts = [part.unpivot([], part.columns, "metric", "value") for part in frames_]
     whole = parts[0]
     for part in parts[1:]:
@@ -681,6 +761,26 @@ def q_verdict_rollup(v: Views) -> DataFrame:
     return verdicts.roll_up(verdicts.judge(_measured(v), verdicts.checks(v.spark)))
 
 
+@query
+def q_stream_checks(v: Views) -> DataFrame:
+    """The checks that only a running stream can measure: which were measured, and which passed.
+
+    Times of this machine are no results to compare, so a pass is shown for the other checks only.
+    """
+    pipeline, running = run_stream(v, "batch")
+    measured = monitor.measures(monitor.recent_progress(running)).filter("metric = 'batch_seconds'")
+    failed = pipeline.audit.read(v.spark).agg(
+        (F.count_if(~F.col("ok")) / F.count("*")).alias("failure_rate")
+    )
+    both = measured.unionByName(failed.unpivot([], failed.columns, "metric", "value"))
+    judged = verdicts.judge(both, verdicts.checks(v.spark)).join(both.select("metric"), "metric", "left_semi")
+    timed = F.col("metric") == "batch_seconds"
+    return judged.select(
+        "check_id", "metric", (F.col("value") >= 0).alias("measured"),
+        F.when(~timed, F.col("verdict")).alias("verdict"),
+    )
+
+
 @query
 def q_frames(v: Views) -> DataFrame:
     text = F.col("payload")
@@ -854,6 +954,10 @@ def q_stream_silver(v: Views) -> DataFrame:
 @query
 def q_stream_alerts(v: Views) -> DataFrame:
     pipeline, _ = run_stream(v, "replay")
+    return _streamed_history(pipeline, v)
+
+
+def _streamed_history(pipeline: Pipeline, v: Views) -> DataFrame:
     history = current_history(pipeline.history.read(v.spark))
     return history.select(
         "alert_id",
@@ -864,28 +968,132 @@ def q_stream_alerts(v: Views) -> DataFrame:
     )
 
 
+def _closing(v: Views) -> DataFrame:
+    """A reading without values, two years after all others: it only moves the clock of a stream."""
+    device = v.alert_setting.agg(F.min("device_id").alias("device_id"))
+    return device.select(
+        F.lit(-1).cast("long").alias("event_id"),
+        "device_id",
+        F.lit("2026-01-01").cast("timestamp").alias("event_timestamp"),
+        *[F.lit(None).cast("double").alias(name) for name in SENSORS],
+    )
+
+
+def _land_last(rows: DataFrame, path: str) -> None:
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
+@query
+def q_start_over(v: Views) -> DataFrame:
+    """The stream of alerts, started over with a new checkpoint after half of the messages."""
+    pipeline = new_pipeline(v, "replay")
+    half = v.raw_messages.agg(F.percentile_approx("offset", 0.5, 10000)).first()[0] or 0
+    parts = (v.raw_messages.filter(F.col("offset") <= half), v.raw_messages.filter(F.col("offset") > half))
+    for number, part in enumerate(parts):
+        landing = f"{pipeline.root}/landing-{number}"
+        part.repartition(4).write.parquet(landing)
+        stream = v.spark.readStream.schema(part.schema).parquet(landing)
+        pipeline.start(stream, f"{pipeline.root}/checkpoint-{number}", interval=None).awaitTermination()
+    return _streamed_history(pipeline, v)
+
+
 @query
 def q_stream_minutes(v: Views) -> DataFrame:
-    """The minute series kept up to date batch by batch."""
+    """The minute series, each minute written once the watermark has passed it."""
     root = f"{scratch_root(v.spark)}/minutes-{uuid.uuid4().hex}"
     rows = v.telemetry.select("event_id", "device_id", "event_timestamp")
-    stream = land_in_order(rows, "event_id", f"{root}/landing", 3)
+    stream = land_in_order(rows, "event_timestamp", f"{root}/landing", 3)
+    _land_last(_closing(v).select(*rows.columns), f"{root}/landing")
     minutes = MinuteStream(v.spark, f"{root}/tables")
     minutes.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
     return minutes.series()
 
 
+def _with_stragglers(v: Views) -> MinuteStream:
+    """Telemetry in three parts by date; every 50th row of the first week comes with the last one,
+    every 70th of the second part comes twice."""
+    root = f"{scratch_root(v.spark)}/late-{uuid.uuid4().hex}"
+    rows = v.telemetry.select("event_id", "device_id", "event_timestamp")
+    event, day = F.col("event_id"), F.to_date("event_timestamp")
+    straggles = (event % 50 == 0) & (day < "2024-01-08")
+    part = F.when(straggles | (day >= "2024-01-20"), 2).when(day >= "2024-01-10", 1).otherwise(0)
+    parts = [rows.filter(part == n) for n in range(3)]
+    parts[1] = parts[1].unionAll(parts[1].filter(event % 70 == 0))
+    for landed in [*parts, _closing(v).select(*rows.columns)]:
+        _land_last(landed, f"{root}/landing")
+    reader = v.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    stream = MinuteStream(v.spark, f"{root}/tables", lateness="1 hour")
+    stream.start(reader.parquet(f"{root}/landing"), f"{root}/checkpoint", interval=None).awaitTermination()
+    return stream
+
+
+@query
+def q_minute_windows(v: Views) -> DataFrame:
+    """Finished minutes of a stream with late and repeated rows, which are not counted."""
+    return _with_stragglers(v).series()
+
+
+@query
+def q_late_rows(v: Views) -> DataFrame:
+    """The rows left out of those minutes."""
+    return _with_stragglers(v).left_out()
+
+
+@query
+def q_state_stream(v: Views) -> DataFrame:
+    """The replay as a stream with keyed state: three triggers, two runs, one checkpoint."""
+    root = f"{scratch_root(v.spark)}/episodes-{uuid.uuid4().hex}"
+    stream = EpisodeStream(v.spark, f"{root}/tables", lambda: v.alert_setting)
+
+    def run(rows: DataFrame) -> None:
+        stream.start(rows, f"{root}/checkpoint", interval=None).awaitTermination()
+
+    landed = land_in_order(_enriched(v).select(*v.telemetry.columns), "event_timestamp", f"{root}/landing", 3)
+    run(landed)
+    # What is still open waits in the checkpoint for the next run.
+    _land_last(_closing(v), f"{root}/landing")
+    run(landed)
+    return stream.history()
+
+
 @query
 def q_stream_correlate(v: Views) -> DataFrame:
     root = f"{scratch_root(v.spark)}/correlation-{uuid.uuid4().hex}"
-    stream = land_in_order(v.messages, "at", f"{root}/landing", 3)
+    path = f"{root}/landing"
+    first = land_in_order(v.messages, "at", path, 3)
+    last = v.spark.range(1).select(
+        F.lit("closing").alias("client"),
+        *[F.lit(0).alias(name) for name in ("msg_type", "msg_id")],
+        F.lit("2026-01-01").cast("timestamp").alias("at"),
+        F.lit(False).alias("is_response"),
+        F.lit(0).cast("long").alias("seq"),
+    )
+    _land_last(last.select(*v.messages.columns), path)
+    again = v.spark.readStream.schema(v.messages.schema).option("maxFilesPerTrigger", 4).parquet(path)
     correlation = CorrelationStream(v.spark, f"{root}/tables")
-    query = correlation.start(stream, f"{root}/checkpoint", interval=None)
-    query.awaitTermination()
-    correlation.finish(query.lastProgress.batchId)
+    correlation.start(first, again, f"{root}/checkpoint", interval=None).awaitTermination()
     return correlation.results.read(v.spark).drop("epoch", "batch_id")
 
 
+@query
+def q_stream_redelivery(v: Views) -> DataFrame:
+    """Silver of a stream whose second third is delivered twice, in two triggers."""
+    pipeline = new_pipeline(v, "batch")
+    landing = f"{pipeline.root}/landing"
+    stream = land_in_order(v.raw_messages, "offset", landing, 3)
+    second = v.raw_messages.filter(F.col("offset") % 3 == 1)
+    second.repartition(4).write.mode("append").parquet(landing)
+    pipeline.start(stream, f"{pipeline.root}/checkpoint", interval=None).awaitTermination()
+    return pipeline.silver.read(v.spark).groupBy("device_id", "event_date").agg(F.count("*").alias("rows"))
+
+
+@query
+def q_stream_funnel(v: Views) -> DataFrame:
+    """The funnel as the stream counted it while it wrote."""
+    pipeline, _ = run_stream(v, "batch")
+    return pipeline.funnel()
+
+
 @query
 def q_sink_audit(v: Views) -> DataFrame:
     """Per sink the batches that it finished and that it failed."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldtrace.functions.payload import BINARY_RECORD, iso_text
+from coldtrace.plans import catchup
 from coldtrace.schemas import SENSORS
 from coldtrace.sources.generator import device_name
 
@@ -31,6 +32,7 @@ STATE_FIRED = "2024-01-15 12:00:00"
 BATCH_TIME = "2024-02-01 00:00:00"
 AS_OF = "2024-01-25 12:00:00"
 POLL_PARTITIONS = 16
+OUTAGE_FROM, OUTAGE_TO = "2024-01-10 00:00:00", "2024-01-10 12:00:00"
 
 
 @F.arrow_udf(T.BinaryType())
@@ -202,14 +204,23 @@ class Views:
 
     @cached_property
     def odd_messages(self) -> DataFrame:
-        """JSON messages whose device id is right, null, a text, missing, or beside a NaN."""
+        """JSON messages whose device id is right, null, a text, missing, or beside a NaN; nested, an
+        object, an array, beside a text that looks like NaN, or twice; and fields that repeat."""
         device = F.col("device_id").cast("string")
-        kind = F.col("event_id") % 5
+        kind = F.col("event_id") % 12
+        right = F.concat(F.lit('"device_id":'), device, F.lit(","))
         field = (
             F.when(kind == 1, '"device_id":null,')
             .when(kind == 2, '"device_id" : "a\\"b,}",')
             .when(kind == 3, "")
-            .otherwise(F.concat(F.lit('"device_id":'), device, F.lit(",")))
+            .when(kind == 5, '"meta":{"device_id":3},')
+            .when(kind == 6, '"device_id":{"a":1},')
+            .when(kind == 7, '"device_id":[1,2],')
+            .when(kind == 8, F.concat(right, F.lit('"note":"t: NaN, x",')))
+            .when(kind == 9, F.concat(right, F.lit('"device_id":"x",')))
+            .when(kind == 10, F.concat(right, F.lit('"meta":{"x":1,"x":2},')))
+            .when(kind == 11, F.concat(right, F.lit('"external_temp":-1.5,')))
+            .otherwise(right)
         )
         temperature = F.when(kind == 4, "NaN").otherwise(F.coalesce(F.col("external_temp").cast("string"), F.lit("null")))
         text = F.concat(
@@ -240,6 +251,34 @@ class Views:
             "device_id",
         )
 
+    @cached_property
+    def readings(self) -> DataFrame:
+        """One sensor of the first store."""
+        return self.telemetry.select("event_id", "device_id", "external_temp")
+
+    @cached_property
+    def altered(self) -> DataFrame:
+        """The second store with that sensor, which differs in some of its rows."""
+        event = F.col("event_id")
+        changed = F.when(event % 107 == 0, F.lit(-1.0)).otherwise(F.col("external_temp"))
+        return self.readings.filter(event % 101 != 0).select(
+            F.when(event % 103 == 0, event + 1_000_000_000).otherwise(event).alias("event_id"),
+            "device_id",
+            changed.alias("external_temp"),
+        )
+
+    @cached_property
+    def hourly_flow(self) -> DataFrame:
+        """Arrivals per partition and hour, and what can be handled: twice the average rounded up,
+        nothing on the morning of the tenth."""
+        part = (F.col("user_id") % POLL_PARTITIONS).cast("int")
+        flow = catchup.slots(self.events, part, "ts")
+        means = flow.groupBy("part").agg(F.ceil(2 * F.avg("arrived")).alias("able"))
+        outage = (F.col("slot") >= OUTAGE_FROM) & (F.col("slot") < OUTAGE_TO)
+        return flow.join(means, "part").select(
+            "part", "slot", "arrived", F.when(outage, 0).otherwise(F.col("able")).cast("long").alias("capacity")
+        )
+
     @cached_property
     def requests(self) -> DataFrame:
         return self.events.select(
