@@ -40,6 +40,8 @@ BLOCK = 512
 #: Bytes of signatures of a bucket, and of sets of a family, that a task holds of either side.
 BUCKET_BYTES = 1 << 18
 FAMILY_BYTES = 8 << 20
+#: Bytes of the sets of a task as bits, beyond which pairs are compared one by one.
+BITSET_BYTES = 64 << 20
 
 _MASKS = mix(np.arange(PLACES, dtype=np.uint64), 21)
 _FACTORS = mix(np.arange(PLACES, dtype=np.uint64), 22) | np.uint64(1)
@@ -174,6 +176,36 @@ def _apart(left: np.ndarray, right: np.ndarray) -> bool:
     return SIMILARITY[1] * shared < SIMILARITY[0] * (len(left) + len(right) - shared)
 
 
+def _bitsets(sets: list[np.ndarray]) -> np.ndarray | None:
+    """Sets as rows of bits over the shingles that two or more of them hold; None if that is too large."""
+    values = np.concatenate(sets)
+    shingles, of, counts = np.unique(values, return_inverse=True, return_counts=True)
+    column = np.cumsum(counts > 1) - 1
+    width = (int(column[-1]) + 64) // 64
+    if len(sets) * width * 8 > BITSET_BYTES:
+        return None
+    held = np.flatnonzero(counts[of] > 1)
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[held]
+    at = column[of[held]].astype(np.uint64)
+    bits = np.zeros((len(sets), max(width, 1)), np.uint64)
+    np.bitwise_or.at(bits, (rows, (at >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (at & np.uint64(63)))
+    return bits
+
+
+def _similar(
+    x: np.ndarray, y: np.ndarray, sets: list[np.ndarray], sizes: np.ndarray, bits: np.ndarray | None
+) -> np.ndarray:
+    """Which of the pairs (x, y) of rows have sets that are similar enough."""
+    if bits is None:
+        return np.array([not _apart(sets[p], sets[q]) for p, q in zip(x.tolist(), y.tolist())], bool)
+    shared = np.empty(len(x), np.int64)
+    step = max(1, (1 << 22) // bits.shape[1])
+    for k in range(0, len(x), step):
+        both = bits[x[k : k + step]] & bits[y[k : k + step]]
+        shared[k : k + step] = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+    return SIMILARITY[1] * shared >= SIMILARITY[0] * (sizes[x] + sizes[y] - shared)
+
+
 def _sets_of(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
     """(id, set) of the documents in `ids`: sorted shingle hashes as bytes, written once."""
 
@@ -364,9 +396,6 @@ class _Joined:
             k = parent[k]
         return k
 
-    def apart(self, x: int, y: int) -> bool:
-        return self._root(x) != self._root(y)
-
     def join(self, x: int, y: int) -> bool:
         """Connects the labels of two rows; whether they were apart."""
         p, q = self._root(x), self._root(y)
@@ -385,8 +414,8 @@ def _links_left(
 ) -> DataFrame:
     """Links between members of a family that are not connected yet, confirmed on full sets.
 
-    Members are compared inside tasks with their sets at hand, the nearest signatures first; of the
-    links those go out that connect components.
+    Members are compared inside tasks with their sets at hand, as bits over the shingles that they
+    share; of the links those go out that connect components.
     """
     label = found.withColumnRenamed("node", "id").withColumnRenamed("component", "label")
     members = (
@@ -405,13 +434,11 @@ def _links_left(
         for group in grouped(batches, ["family", "i", "j"]):
             ids, joined = group["id"].to_numpy(), _Joined(group["label"].to_numpy())
             sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in group["set"]]
-            for x, y, far in _near_in_task(group):
-                nearest = np.argsort(far, kind="stable")
-                ends = []
-                for p, q in zip(x[nearest].tolist(), y[nearest].tolist()):
-                    if joined.apart(p, q) and not _apart(sets[p], sets[q]):
-                        joined.join(p, q)
-                        ends.append((p, q))
+            sizes, bits = group["n"].to_numpy(), _bitsets(sets)
+            for x, y, _ in _near_in_task(group):
+                close = _similar(x, y, sets, sizes, bits)
+                pairs = zip(x[close].tolist(), y[close].tolist())
+                ends = [(p, q) for p, q in pairs if joined.join(p, q)]
                 if ends:
                     yield _pairs(ids, ends)
 

@@ -292,3 +292,18 @@ def test_ids_on_different_texts(spark):
     assert {(i, known[i, v][:9]): c for (i, v), c in rows.items()} == {
         (5, a[:9]): 2, (9, a[:9]): 2, (2, a[:9]): 2, (5, b[:9]): 5, (8, b[:9]): 5,
     }
+
+
+def test_bits_count_what_sets_share(monkeypatch):
+    draw = np.random.default_rng(2)
+    base = np.unique(draw.integers(0, 1 << 63, 300, dtype=np.uint64))
+    sets = [np.unique(np.r_[draw.choice(base, n, replace=False), draw.integers(0, 1 << 63, 9, dtype=np.uint64)]) for n in (0, 1, 250, 280, 290)]
+    sets += [base, base[:250], np.unique(draw.integers(0, 1 << 63, 70, dtype=np.uint64))]
+    x, y = (z.ravel() for z in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    x, y = x[x != y], y[x != y]
+    sizes = np.array([len(s) for s in sets])
+    plain = [len(np.intersect1d(sets[p], sets[q])) / len(np.union1d(sets[p], sets[q])) >= 0.8 for p, q in zip(x, y)]
+    assert minhash._similar(x, y, sets, sizes, minhash._bitsets(sets)).tolist() == plain
+    monkeypatch.setattr(minhash, "BITSET_BYTES", 8)
+    assert minhash._bitsets(sets) is None
+    assert minhash._similar(x, y, sets, sizes, None).tolist() == plain
