@@ -99,8 +99,8 @@ def with_device_id(text: Column, parsed: Column, variant: Column, device: Column
     `parsed` holds the declared fields and `variant` the whole text, NULL where it is no valid JSON.
     A valid text with the right id stays as it is. Any other object is written anew from its fields:
     of repeated ones the last one stays, NaN and infinities, which the fields accept, come in quotes.
-    If fields inside of it repeat, the declared ones are all that can be told. Texts that are no
-    object, or end too early, stay.
+    If fields inside of it repeat, the declared ones are all that can be told. Texts that do not have
+    the accepted shape, among them those of several lines, stay.
     """
     right = variant.isNotNull() & (parsed["device_id"] == device.cast("string"))
     fields = F.from_json(text, "map<string,variant>")
@@ -115,7 +115,8 @@ def with_device_id(text: Column, parsed: Column, variant: Column, device: Column
         parsed["event_timestamp"].isNotNull(),
         F.to_json(F.struct(device.alias("device_id"), *[parsed[f].alias(f) for f in JSON_PAYLOAD.names[1:]])),
     )
-    return F.when(~text.startswith("{") | right, text).otherwise(F.coalesce(anew, declared, text))
+    shaped = text.rlike(JSON_OBJECT)
+    return F.when(right | ~shaped, text).otherwise(F.coalesce(anew, declared, text))
 
 
 def event_time(text: Column) -> Column:

@@ -149,12 +149,13 @@ def test_odd_payloads_keep_all_their_fields(spark):
 
 def test_unreadable_payloads_are_kept_apart(spark):
     texts = ["{bad}", "[1]", "plain", '{"device_id":7,"event_timestamp":"2024"', "{}", '{"event_timestamp":"never"}', None]
+    texts.append('{"event_timestamp":"2024-01-01T00:00:00Z",\n"external_temp":1}')
     rows = [(b"7", None if t is None else t.encode(), "t", 0, n, BEGIN) for n, t in enumerate(texts)]
     decoded = parse.decode(spark.createDataFrame(rows, MESSAGE), binary=False)
     assert parse.accepted(decoded).count() == 0
     reasons = {r.offset: r.reason for r in parse.quarantine(decoded).collect()}
     assert reasons == {
         0: "no_payload", 1: "no_json_text", 2: "no_json_text", 3: "no_json_text", 4: "no_payload",
-        5: "no_event_time", 6: "no_json_text",
+        5: "no_event_time", 6: "no_json_text", 7: "no_json_text",
     }
     assert rows_of(parse.funnel(decoded))[0]
