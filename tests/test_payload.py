@@ -119,6 +119,27 @@ def test_binary_records(spark):
     assert seconds[0].event_timestamp == at("2024-01-01")
 
 
+def test_records_of_devices_whose_number_opens_like_json(spark):
+    """Told from a text by the device of the message key, or of the topic without a key."""
+    number = 0x017B
+    text = json.dumps({"device_id": 1, "event_timestamp": TIME, "_padding": ""})
+    text = text.replace('""', f'"{"x" * (payload.BINARY_SIZE - len(text))}"')
+    opening = str(int.from_bytes(text.encode()[:4], "little"))
+    rows = [
+        (str(number), record(device=number), TOPIC),
+        (None, record(device=number), "devices/loadtest-device-00379/messages/events/"),
+        (str(number), record(device=number, millis=-1000), TOPIC),
+        ("7", record(device=number), "devices/loadtest-device-00379/messages/events/"),
+        (None, record(device=number), "devices/other/messages/events/"),
+        (opening, text, TOPIC),
+    ]
+    out = decoded(spark, rows)
+    known = [at("2024-01-01"), at("2024-01-01"), at("1969-12-31 23:59:59"), None, None, at("2024-01-01")]
+    assert [r.event_timestamp for r in out] == known
+    assert [out[0][name] for name in SENSORS] == [float(i) for i in range(22)]
+    assert [r.device_id for r in out] == [number, number, number, 7, None, 1]
+
+
 def test_no_binary_record_in_a_batch(spark):
     values = messages(spark, [("1", "{}", TOPIC)] * 3).select(payload.decode_binary(F.col("value")).alias("r"))
     assert [r.r for r in values.collect()] == [None] * 3
