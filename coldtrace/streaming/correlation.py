@@ -1,60 +1,160 @@
-"""Requests matched with responses on a stream, by a join of the stream with itself.
+"""Requests matched with responses on a stream, by their neighbours in keyed state.
 
-A request looks for the messages of its key within the wait after it, a response for those before it:
-a left outer join of two watermarked streams on the key and a range of time. Spark drops what can no
-longer be met from its state, and gives out messages that met none once the watermark has passed
-them. Of the messages met the nearest decides, as in the batch operator: an aggregate per message,
-given out once.
+Messages of a (client, type, id) wait in its state until the watermark has passed them. They are then
+in order for good, and the message before and the one after decide, as in the batch operator: no pairs
+are formed. A request is given out when the message after it, or the end of its wait, has passed. A
+timer wakes a key when its next message is due, or when nothing can meet its last one any more.
+
+State lives in Spark's state store (RocksDB) under the checkpoint; a key that is settled has none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from coldtrace.operators import correlate
 from coldtrace.session import use_state_store
 from coldtrace.streaming.tables import BatchTable, epoch_of
 
+#: A message in the state of its key; times in microseconds. `given` marks one that was given out.
+HELD = np.dtype([("at", "<i8"), ("is_response", "?"), ("numbered", "?"), ("seq", "<i8"), ("given", "?")])
+PLACE = ["at", "is_response", "numbered", "seq"]
+STATE = "held binary, timer long"
+OUTPUT = "client string, msg_type int, msg_id int, at long, is_response boolean, seq long, answered_at long"
+_SECOND = 1_000_000
+
 
-def nearest_messages(messages: DataFrame, again: DataFrame, wait_seconds: int, lateness: str) -> DataFrame:
-    """Every message with the nearest of its key on the side it looks to, NULL without one.
+def settle(held: np.ndarray, passed: int, wait: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(messages to give out, times of their answers or -1, messages to keep), once `passed` is over.
 
-    `again` is a second reading of `messages`.
+    Of a message that came more than once, one is kept. Responses that answer are not given out.
     """
-    columns = [*correlate.KEY, *correlate.ORDER]
-    left = messages.select(*columns).withWatermark("at", lateness).alias("x")
-    right = again.select(*columns).withWatermark("at", lateness).alias("y")
-    x, y = (lambda name: F.col(f"x.{name}")), (lambda name: F.col(f"y.{name}"))
-    same = x(correlate.KEY[0]).eqNullSafe(y(correlate.KEY[0]))
-    for name in correlate.KEY[1:]:
-        same = same & x(name).eqNullSafe(y(name))
-    place = lambda of: F.struct(*[of(name) for name in correlate.ORDER])
-    # A literal interval: from it Spark tells how long a message must be kept.
-    wait = F.expr(f"INTERVAL {int(wait_seconds)} SECONDS")
-    near = (y("at") >= x("at") - wait) & (y("at") <= x("at") + wait)
-    ahead = F.when(x("is_response"), place(y) < place(x)).otherwise(place(y) > place(x))
-    met = left.join(right, same & near & ahead, "left_outer").select(
-        *[x(name).alias(name) for name in columns],
-        F.when(y("at").isNotNull(), F.struct(y("at").alias("at"), y("is_response").alias("is_response"), y("seq").alias("seq"))).alias("other"),
+    held = np.sort(held, order=PLACE)
+    fresh = np.ones(len(held), bool)
+    fresh[1:] = held[PLACE][1:] != held[PLACE][:-1]
+    held = held[fresh]
+    ready = int(np.searchsorted(held["at"], passed, "right"))
+    known = held[:ready]
+    if not ready:
+        return known, known["at"], held
+    near = np.diff(known["at"]) <= wait
+    turns = near & ~known["is_response"][:-1] & known["is_response"][1:]
+    answered, answers = np.append(turns, False), np.append(False, turns)
+    over = bool(known["at"][-1] + wait <= passed)
+    open_ = np.zeros(ready, bool)
+    open_[-1] = not known["is_response"][-1] and not over
+    out = ~known["given"] & ~answers & ~open_
+    following = np.append(known["at"][1:], -1)
+    # The last message in order stays while another one may meet it.
+    kept = held[ready if over else ready - 1 :].copy()
+    if not over:
+        kept["given"][0] = not open_[-1]
+    return known[out], np.where(answered, following, -1)[out], kept
+
+
+class NeighbourProcessor(StatefulProcessor):
+    def __init__(self, wait: int):
+        self._wait = wait
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._messages = handle.getValueState("messages", STATE)
+
+    def _load(self) -> tuple[np.ndarray, int | None]:
+        stored = self._messages.get()
+        return (np.empty(0, HELD), None) if stored is None else (np.frombuffer(stored[0], HELD), stored[1])
+
+    def _store(self, held: np.ndarray, timer: int | None, due: int | None) -> None:
+        """Keeps `held`, and sets the key's one timer to the first millisecond after `due`."""
+        wanted = None if due is None else due // 1000 + 1
+        if timer is not None and wanted != timer:
+            self._handle.deleteTimer(timer)
+        if wanted is None:
+            self._messages.clear()
+            return
+        if wanted != timer:
+            self._handle.registerTimer(wanted)
+        self._messages.update((held.tobytes(), wanted))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held, timer = self._load()
+        arrived = [held]
+        for frame in rows:
+            more = np.zeros(len(frame), HELD)
+            more["at"] = frame["micros"].to_numpy()
+            more["is_response"] = frame["is_response"].to_numpy()
+            more["numbered"] = frame["numbered"].to_numpy()
+            more["seq"] = frame["seq"].to_numpy()
+            arrived.append(more)
+        due = min(int(more["at"].min()) for more in arrived[1:] if len(more))
+        if timer is not None:  # the first millisecond after what was due before
+            due = min(due, (timer - 1) * 1000)
+        self._store(np.concatenate(arrived), timer, due)
+        yield _output(key, np.empty(0, HELD), np.empty(0, "<i8"))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held, timer = self._load()
+        if timer != expiredTimerInfo.getExpiryTimeInMs():
+            yield _output(key, np.empty(0, HELD), np.empty(0, "<i8"))
+            return
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        given, answered_at, held = settle(held, passed, self._wait)
+        # The one that the watermark has passed is the last in order, all others wait for their time.
+        due = np.where(held["at"] <= passed, held["at"] + self._wait, held["at"])
+        self._store(held, None, int(due.min()) if len(held) else None)
+        yield _output(key, given, answered_at)
+
+    def close(self) -> None:
+        pass
+
+
+def _output(key, given: np.ndarray, answered_at: np.ndarray) -> pd.DataFrame:
+    size = len(given)
+    return pd.DataFrame(
+        {
+            "client": pd.array([key[0]] * size, "object"),
+            "msg_type": pd.array([key[1]] * size, "Int32"),
+            "msg_id": pd.array([key[2]] * size, "Int32"),
+            "at": pd.array(given["at"], "Int64"),
+            "is_response": pd.array(given["is_response"], "boolean"),
+            "seq": pd.arrays.IntegerArray(given["seq"].copy(), ~given["numbered"]),
+            "answered_at": pd.arrays.IntegerArray(answered_at.astype("int64"), answered_at < 0),
+        }
+    )
+
+
+def settled_messages(messages: DataFrame, wait_seconds: int, lateness: str) -> DataFrame:
+    """Requests, and responses that answer none, with the time of the answer or NULL."""
+    rows = messages.filter(F.col("at").isNotNull()).withWatermark("at", lateness).select(
+        *correlate.KEY,
+        "at",
+        F.unix_micros("at").alias("micros"),
+        F.coalesce("is_response", F.lit(False)).alias("is_response"),
+        F.col("seq").isNotNull().alias("numbered"),
+        F.coalesce("seq", F.lit(0)).alias("seq"),
+    )
+    return rows.groupBy(*correlate.KEY).transformWithStateInPandas(
+        NeighbourProcessor(int(wait_seconds) * _SECOND), OUTPUT, "Append", "EventTime"
     )
-    return met.groupBy(*columns).agg(F.min("other").alias("following"), F.max("other").alias("previous"))
 
 
-def results(nearest: DataFrame) -> DataFrame:
+def results(settled: DataFrame) -> DataFrame:
     """One row per request (Success or Timeout) and per stray response (Failure)."""
-    response = F.col("is_response")
-    answers = response & ~F.coalesce(F.col("previous.is_response"), F.lit(True))
-    answered = ~response & F.coalesce(F.col("following.is_response"), F.lit(False))
-    waited = F.unix_micros("following.at") - F.unix_micros("at")
-    return nearest.filter(~answers).select(
+    response, answered = F.col("is_response"), F.col("answered_at").isNotNull()
+    at, answered_at = F.timestamp_micros("at"), F.timestamp_micros("answered_at")
+    waited = F.col("answered_at") - F.col("at")
+    return settled.select(
         *correlate.KEY,
         "seq",
-        F.when(~response, F.col("at")).alias("request_at"),
-        F.when(response, F.col("at")).when(answered, F.col("following.at")).alias("response_at"),
+        F.when(~response, at).alias("request_at"),
+        F.when(response, at).when(answered, answered_at).alias("response_at"),
         F.when(response, "Failure").when(answered, "Success").otherwise("Timeout").alias("result"),
         F.when(answered, F.ceil(waited / F.lit(1000))).alias("latency_ms"),
     )
@@ -77,11 +177,12 @@ class CorrelationStream:
         self.results = BatchTable(f"{self.root.rstrip('/')}/results")
 
     def start(
-        self, messages: DataFrame, again: DataFrame, checkpoint: str, interval: str | None = "10 seconds"
+        self, messages: DataFrame, again: DataFrame | None, checkpoint: str, interval: str | None = "10 seconds"
     ) -> StreamingQuery:
+        """`again`, a second reading of `messages` that a join of the stream took, is not read."""
         use_state_store(self.spark)
         epoch = epoch_of(self.spark, f"{self.root.rstrip('/')}/epochs", checkpoint)
-        found = results(nearest_messages(messages, again, self.wait_seconds, self.lateness))
+        found = results(settled_messages(messages, self.wait_seconds, self.lateness))
         writer = found.writeStream.foreachBatch(lambda frame, batch: self.results.write(frame, epoch, batch))
         trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
         return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -169,6 +169,25 @@ def test_correlation_over_restarts(spark, root):
     assert {r.result for r in found.collect()} == {"Success", "Failure", "Timeout"}
 
 
+def test_correlation_forms_no_pairs(spark, root):
+    """30,000 messages of one key inside the wait: 450 million pairs for a join on the range of time."""
+    rows = spark.range(30_000).select(
+        F.lit("c0").alias("client"), F.lit(0).alias("msg_type"), F.lit(0).alias("msg_id"),
+        F.timestamp_micros(F.unix_micros(F.lit(BEGIN)) + F.col("id") * 400).alias("at"),
+        (F.xxhash64("id") % 2 == 0).alias("is_response"), "id",
+    ).withColumnRenamed("id", "seq")
+    end = spark.createDataFrame([("end", 0, 0, BEGIN + timedelta(days=1), False, 0)], MESSAGE)
+    for part in (rows, end):
+        land_once(part, f"{root}/landing")
+    stream = CorrelationStream(spark, f"{root}/tables")
+    sides = [stream_of(spark, f"{root}/landing", MESSAGE) for _ in range(2)]
+    query = stream.start(*sides, f"{root}/checkpoint", interval=None)
+    query.awaitTermination()
+    assert rows_of(stream.results.read(spark).drop("epoch", "batch_id")) == rows_of(correlate.correlate(rows))
+    joins = [o for p in query.recentProgress for o in p["stateOperators"] if "Join" in o["operatorName"]]
+    assert not joins
+
+
 # -- minutes -------------------------------------------------------------------------------------
 
 

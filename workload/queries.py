@@ -1070,9 +1070,8 @@ def q_stream_correlate(v: Views) -> DataFrame:
         F.lit(0).cast("long").alias("seq"),
     )
     _land_last(last.select(*v.messages.columns), path)
-    again = v.spark.readStream.schema(v.messages.schema).option("maxFilesPerTrigger", 4).parquet(path)
     correlation = CorrelationStream(v.spark, f"{root}/tables")
-    correlation.start(first, again, f"{root}/checkpoint", interval=None).awaitTermination()
+    correlation.start(first, None, f"{root}/checkpoint", interval=None).awaitTermination()
     return correlation.results.read(v.spark).drop("epoch", "batch_id")
 
 
