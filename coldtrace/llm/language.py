@@ -45,26 +45,51 @@ class Model:
     languages: list[str]
     row_of: dict[str, int]
     rows: np.ndarray
-    gram_rows: dict[str, np.ndarray]
+    gram_of: dict[str, int]
+    gram_rows: np.ndarray
     unseen: np.ndarray
     _later: dict[str, int] = field(default_factory=dict)
-    _later_rows: list[np.ndarray] = field(default_factory=list)
+    _later_rows: np.ndarray | None = None
 
     def backed_off(self, word: str) -> np.ndarray:
         """Mean log frequency of the word's n-grams of the longest length of which any is known."""
-        for n in GRAMS:
-            known = [self.gram_rows[g] for g in grams(word, n) if g in self.gram_rows]
-            if known:
-                return np.mean(known, axis=0)
-        return self.unseen
-
-    def _row(self, word: str) -> int:
-        if len(self._later) >= REMEMBER:
+        return self.all_backed_off([word])[0]
+
+    def all_backed_off(self, words: list[str]) -> np.ndarray:
+        """The scores of many words, their n-grams averaged at once."""
+        get, picked, counts = self.gram_of.get, [], []
+        for word in words:
+            for n in GRAMS:
+                known = [at for at in map(get, grams(word, n)) if at is not None]
+                if known:
+                    break
+            picked += known
+            counts.append(len(known))
+        found = np.array(counts, np.intp)
+        rows = np.repeat(self.unseen[None, :], len(words), axis=0)
+        some = found > 0
+        if picked:
+            starts = (np.cumsum(found) - found)[some]
+            sums = np.add.reduceat(self.gram_rows.take(picked, axis=0), starts, axis=0)
+            rows[some] = sums / found[some][:, None]
+        return rows
+
+    def _places(self, words: list[str]) -> list[int]:
+        """Where the scores of so many unseen words lie in `_later_rows`, at most REMEMBER of them."""
+        if len(self._later) + len(words) > REMEMBER and len(self._later) + len(set(words)) > REMEMBER:
             self._later.clear()
-            self._later_rows.clear()
-        at = self._later[word] = len(self.rows) + len(self._later_rows)
-        self._later_rows.append(self.backed_off(word))
-        return at
+        if self._later_rows is None:
+            self._later_rows = np.empty((1024, len(self.languages)))
+        places = list(map(self._later.get, words))
+        if None in places:
+            first = len(self._later)
+            fresh = list(dict.fromkeys(word for word, at in zip(words, places) if at is None))
+            self._later.update(zip(fresh, range(first, first + len(fresh))))
+            while len(self._later_rows) < len(self._later):
+                self._later_rows = np.concatenate([self._later_rows, np.empty_like(self._later_rows)])
+            self._later_rows[first : len(self._later)] = self.all_backed_off(fresh)
+            places = list(map(self._later.get, words))
+        return places
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and posterior of each text; `und` and 0 without a letter or without training."""
@@ -77,21 +102,17 @@ class Model:
                 names.append(UNKNOWN)
                 continue
             total = np.zeros(len(self.languages))
-            known, later = [], []
-            get = self.row_of.get
-            for word in found:
-                at = get(word)
-                if at is None:
-                    later.append(word)
-                else:
-                    known.append(at)
-            if known:
-                total += self.rows[known].sum(axis=0)
-            for word in later:
-                at = self._later.get(word)
-                if at is None:
-                    at = self._row(word)
-                total += self._later_rows[at - len(self.rows)]
+            places = list(map(self.row_of.get, found))
+            later = []
+            if None in places:
+                later = [word for word, at in zip(found, places) if at is None]
+                places = [at for at in places if at is not None]
+            if places:
+                total += self.rows.take(places, axis=0).sum(axis=0)
+            for first in range(0, len(later), REMEMBER):
+                more = self._places(later[first : first + REMEMBER])
+                # Added to the total one after the other.
+                total = np.vstack([total, self._later_rows.take(more, axis=0)]).sum(axis=0)
             odds = np.exp(total - total.max())
             best = int(np.argmax(odds))
             names.append(self.languages[best])
@@ -120,15 +141,16 @@ def fit(counts: list[tuple[str, str, int]]) -> Model:
     for gram, c in parts.items():
         length_totals[len(gram)] += c
         by_length[len(gram)] += 1
-    gram_rows = {
-        g: np.log((c + _FLOOR) / (length_totals[len(g)] + _FLOOR * by_length[len(g)]))
-        for g, c in parts.items()
-        if c.sum() >= KNOWN
-    }
+    common = [g for g, c in parts.items() if c.sum() >= KNOWN]
+    gram_rows = np.zeros((len(common), len(languages)))
+    for k, g in enumerate(common):
+        smoothed = length_totals[len(g)] + _FLOOR * by_length[len(g)]
+        gram_rows[k] = np.log((parts[g] + _FLOOR) / smoothed)
     return Model(
         languages,
         {w: k for k, w in enumerate(known)},
         rows,
+        {g: k for k, g in enumerate(common)},
         gram_rows,
         np.zeros(len(languages)),
     )

@@ -79,3 +79,18 @@ def test_scores_do_not_depend_on_neighbours():
     model = quality_model.fit(texts * 4, np.array([0, 1, 0, 1, 1] * 4))
     together = model.scores(texts)
     assert np.allclose(together, [model.scores([t])[0] for t in texts])
+
+
+def test_unseen_words_are_scored_many_at_once(monkeypatch):
+    """As if one by one, also when more words are unseen than are remembered."""
+    model = language.fit([("the", "en", 9), ("abcde", "en", 9), ("der", "de", 9), ("xyxyx", "de", 9)])
+    words = ["abcdeq", "qqxyq", "qqq", "the", "thexy", "derab", "abcdeq", "cdqq", "ZZ"]
+    apart = np.array([model.backed_off(word) for word in words])
+    assert (model.all_backed_off(words) == apart).all()
+    texts = [" ".join(words[k:]) for k in range(len(words))] + ["", None]
+    whole = model.predict(texts)
+    monkeypatch.setattr(language, "REMEMBER", 3)
+    few = language.fit([("the", "en", 9), ("abcde", "en", 9), ("der", "de", 9), ("xyxyx", "de", 9)])
+    again = few.predict(texts)
+    assert again[0] == whole[0] and np.allclose(again[1], whole[1], rtol=1e-12)
+    assert len(few._later) <= 3
