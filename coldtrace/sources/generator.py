@@ -113,7 +113,9 @@ def telemetry(
     seed: int = 7,
 ) -> DataFrame:
     """Readings of every device: `ticks` events, first one spread over `spread_seconds`."""
-    sent = fleet.select("device_id").withColumn(
+    # A small file of devices becomes a lot of draws: it is dealt over all tasks first.
+    tasks = int(fleet.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = fleet.select("device_id").repartition(tasks).withColumn(
         "tick", F.explode(F.sequence(F.lit(0), F.lit(ticks - 1)))
     )
     draws = Draws(seed, F.col("device_id"), F.col("tick"))

@@ -34,6 +34,12 @@ def fleet(spark, n=20):
     return spark.range(1, n + 1).select(F.col("id").cast("int").alias("device_id"))
 
 
+def test_a_small_file_of_devices_is_drawn_for_by_all_tasks(spark):
+    rows = generator.telemetry(fleet(spark, 200).coalesce(1), F.lit(at("2024-01-01")), ticks=4)
+    sizes = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) <= 2 * 200
+
+
 def test_generated_values_keep_their_ranges(spark):
     rows = generator.telemetry(fleet(spark, 200), F.lit(at("2024-01-01")), ticks=10).cache()
     assert rows.count() == 2000
