@@ -140,6 +140,18 @@ def test_records_of_devices_whose_number_opens_like_json(spark):
     assert [r.device_id for r in out] == [number, number, number, 7, None, 1]
 
 
+def test_such_records_pass_every_stage(spark):
+    number = 0x017B
+    out = parse.decode(messages(spark, [(str(number), record(device=number), TOPIC), ("1", "{bad}", TOPIC)]))
+    assert [r.offset for r in parse.accepted(out).collect()] == [0]
+    assert [r.offset for r in parse.quarantine(out).collect()] == [1]
+    assert [r.rows for r in parse.funnel(out).orderBy("step").collect()] == [2, 2, 2, 1, 1]
+    stored = parse.accepted(out).select(
+        *[payload.variant_double(F.col("document"), name).alias(name) for name in SENSORS]
+    )
+    assert [list(r) for r in stored.collect()] == [[float(i) for i in range(22)]]
+
+
 def test_no_binary_record_in_a_batch(spark):
     values = messages(spark, [("1", "{}", TOPIC)] * 3).select(payload.decode_binary(F.col("value")).alias("r"))
     assert [r.r for r in values.collect()] == [None] * 3
