@@ -36,9 +36,11 @@ from coldtrace.session import materialise
 # Fixed value: how byte-level vocabularies of this kind split a text before merging.
 PARTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Windows that a task remembers before it begins anew with the next block.
-REMEMBERED = 1 << 18
+REMEMBERED = 3 << 16
 #: Bytes of a block of documents, about.
 BLOCK = "4m"
+#: Four bytes that are no id, between the ids of both sides of a window.
+NO_ID = b"\xff" * 4
 #: An id pair as one number: ids of the second tokenizer have so many bits.
 BITS = 20
 #: Links of a group beyond which its ids are counted before they are paired.
@@ -153,17 +155,17 @@ class Windows:
 
     def number(self, a: np.ndarray, b: np.ndarray) -> int:
         """Number of the window of these ids."""
-        key = (a.tobytes(), b.tobytes())
+        key = a.tobytes() + NO_ID + b.tobytes()
         found = self.known.get(key)
         return self._add(key, a.tolist(), b.tolist()) if found is None else found
 
     def clear(self) -> None:
-        self.known: dict[tuple[bytes, bytes], int] = {}
+        self.known: dict[bytes, int] = {}
         self.text: list[str] = []
         self.groups, self.links = array("q"), array("q")
         self.edges, self.pairs, self.times = array("q", [0]), array("q"), array("q")
 
-    def _add(self, key: tuple[bytes, bytes], a: list[int], b: list[int]) -> int:
+    def _add(self, key: bytes, a: list[int], b: list[int]) -> int:
         """Aligns a window: a group ends at each place where tokens of both sides end."""
         size_a, size_b, name_a, name_b = self.size_a, self.size_b, self.first.name, self.second.name
         found: dict[int, int] = {}
@@ -307,8 +309,9 @@ def align_block(memory: Windows, block: int, doc_ids: pa.Array, texts: list[str
     found = spelled_texts(memory.first, memory.second, texts)
     cuts_a, cuts_b = windows_of(memory.first, memory.second, found)
     numbers = numbered_windows(memory, found, cuts_a, cuts_b)
+    # Seen in place: nothing is added to the memory from here on.
     edges, pairs, times, groups, links = (
-        np.array(x) for x in (memory.edges, memory.pairs, memory.times, memory.groups, memory.links)
+        np.frombuffer(x, np.int64) for x in (memory.edges, memory.pairs, memory.times, memory.groups, memory.links)
     )
     n, count = len(texts), len(found.rows)
     # Windows of a text stand together; a text begins where one of them does.
@@ -331,7 +334,10 @@ def align_block(memory: Windows, block: int, doc_ids: pa.Array, texts: list[str
     distinct, rank = np.unique(pairs[places], return_inverse=True)
     of_window = np.r_[0, np.cumsum(sizes)]
     spread, repeated = _spread(of_window, window)
-    held = np.unique(np.repeat(text_of, repeated) * max(1, len(distinct)) + rank[spread])
+    held = rank[spread]
+    del spread
+    held += np.repeat(text_of, repeated) * max(1, len(distinct))
+    held = np.unique(held)
     holders = np.bincount(held % max(1, len(distinct)), minlength=len(distinct))
 
     def in_rows(values: np.ndarray) -> pa.Array:

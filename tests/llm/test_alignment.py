@@ -3,9 +3,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -116,6 +118,22 @@ def test_windows_are_remembered_and_forgotten(monkeypatch):
     assert number[0] == number[1] == number[2] == number[4] != number[3] and found.rows.tolist() == [0, 2]
 
 
+def test_a_block_does_not_copy_the_memory():
+    memory = alignment.Windows(*alignment._tokenizers(A, B))
+    texts = ["one two", "three"]
+    ids = pa.array([1, 2])
+    plain = alignment.align_block(memory, 0, ids, texts)
+    for held in (memory.pairs, memory.times):
+        held.extend(range(1 << 19))
+    tracemalloc.start()
+    again = alignment.align_block(memory, 0, ids, texts)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert again == plain
+    assert peak < 1 << 21
+    assert all(isinstance(key, bytes) for key in memory.known)
+
+
 def test_wide_groups_are_counted():
     found = {}
     alignment.linked_pairs([1, 2, 1] * 5, [7] * 9, found)
