@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldtrace.schemas import DEVICE_STATUS, MESSAGE
+from coldtrace.session import adaptive_as_in
 from coldtrace.sources import messages
 from coldtrace.streaming import monitor
 from coldtrace.streaming.pipeline import Masters, Pipeline, SinkError
@@ -155,6 +156,33 @@ def test_failed_sink_is_isolated_recorded_and_raised(spark, root):
         run_stream(lenient, root)
 
 
+def test_a_batch_writes_one_file_a_date_and_leaves_the_session_as_it_was(spark, root):
+    readings = [(1 + n % 2, 720 * n, 4.0) for n in range(12)]
+    pipeline = Pipeline(spark, root, make_masters(spark), clock=clock)
+    seen = []
+    pipeline.extra_sinks["look"] = lambda rows, batch: seen.append(
+        rows.sparkSession.conf.get("spark.sql.adaptive.enabled")
+    )
+    for first in (0, 12):
+        land(spark, f"{root}/landing", readings, first)
+    run_stream(pipeline, root)
+    files = pipeline.silver.read(spark).withColumn("file", F.input_file_name()).groupBy("event_date", "batch_id").agg(
+        F.countDistinct("file").alias("files"), F.count("*").alias("rows")
+    )
+    assert sorted((r.files, r.rows) for r in files.collect()) == [(1, 2)] * 12
+    assert seen == [spark.conf.get("spark.sql.adaptive.enabled")] * 2
+
+
+def test_adaptive_execution_of_a_batch(spark):
+    batch = spark.newSession().range(1)
+    conf = batch.sparkSession.conf
+    conf.set("spark.sql.adaptive.enabled", "false")
+    with pytest.raises(ValueError), adaptive_as_in(spark, batch):
+        assert conf.get("spark.sql.adaptive.enabled") == spark.conf.get("spark.sql.adaptive.enabled")
+        raise ValueError
+    assert conf.get("spark.sql.adaptive.enabled") == "false"
+
+
 def test_empty_batch(spark, root):
     pipeline = Pipeline(spark, f"{root}/tables", make_masters(spark))
     pipeline.process(pipeline.transform(spark.createDataFrame([], MESSAGE)), 0)
