@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from coldtrace.session import use_state_store
+from coldtrace.session import adaptive_as_in, use_state_store
 from coldtrace.streaming.tables import epoch_of, read_if_exists
 
 TIME = "event_timestamp"
@@ -74,7 +74,8 @@ class MinuteStream:
         )
         settled = settled.filter((F.col("kind") == MINUTE) | (F.col("times") > 0))
         target = f"{self.root.rstrip('/')}/tables/epoch={epoch}/batch_id={batch}"
-        settled.write.mode("overwrite").partitionBy("kind").parquet(target)
+        with adaptive_as_in(self.spark, told):
+            settled.write.mode("overwrite").partitionBy("kind").parquet(target)
 
     def _read(self, kind: str) -> DataFrame | None:
         found = read_if_exists(self.spark, f"{self.root.rstrip('/')}/tables")
