@@ -207,37 +207,54 @@ def closing_rows(recovered: DataFrame, batch_time: Column) -> DataFrame:
     )
 
 
-def mail_rows(
-    fired: DataFrame, recipients: DataFrame, items: DataFrame, batch_time: Column
-) -> DataFrame:
-    """Queue rows: every mail-enabled firing times every active recipient of its organization."""
-    active = recipients.filter(F.col("is_active")).select("organization_id", "email_address")
+def mails(fired: DataFrame, items: DataFrame) -> DataFrame:
+    """The mail of every mail-enabled firing, with its texts: once per firing, whoever gets it."""
     named = items.select(
         F.col("measurement_item_id").alias("alert_conditions_measurement_item_id"),
         "measurement_item_name",
     )
     wanted = fired.filter(R.should_enqueue_email(F.lit(True), F.col("alert_email_flag")))
     name, device, event = F.col("alert_name"), F.col("device_id"), F.col("event_timestamp")
-    return (
-        wanted.join(active, "organization_id")
-        .join(named, "alert_conditions_measurement_item_id", "left")
-        .select(
-            "device_id",
-            "organization_id",
-            "alert_id",
-            F.col("email_address").alias("recipient_email"),
-            notices.subject(name, device).alias("subject"),
-            notices.body(name, device, F.col("measurement_item_name"), event).alias("body"),
-            notices.detail_json().alias("alert_detail_json"),
-            F.lit(notices.QUEUE_STATUS).alias("status"),
-            F.lit(0).alias("retry_count"),
-            F.lit(None).cast("string").alias("error_message"),
-            "event_timestamp",
-            batch_time.alias("queued_time"),
-            F.lit(None).cast("timestamp").alias("processed_time"),
-            batch_time.alias("create_time"),
-            batch_time.alias("update_time"),
-        )
+    texts = F.struct(
+        notices.subject(name, device).alias("subject"),
+        notices.body(name, device, F.col("measurement_item_name"), event).alias("body"),
+        notices.detail_json().alias("alert_detail_json"),
+    )
+    # Unpacked from a one-element array, so that the join with recipients above does not write the
+    # texts anew for each of them.
+    return wanted.join(named, "alert_conditions_measurement_item_id", "left").select(
+        "device_id", "organization_id", "alert_id", "event_timestamp", F.inline(F.array(texts))
+    )
+
+
+def to_recipients(mail: DataFrame, recipients: DataFrame) -> DataFrame:
+    """Rows of an organization, each times every active recipient of it."""
+    active = recipients.filter(F.col("is_active")).select(
+        "organization_id", F.col("email_address").alias("recipient_email")
+    )
+    return mail.join(active, "organization_id")
+
+
+def mail_rows(
+    fired: DataFrame, recipients: DataFrame, items: DataFrame, batch_time: Column
+) -> DataFrame:
+    """Queue rows: every mail-enabled firing times every active recipient of its organization."""
+    return to_recipients(mails(fired, items), recipients).select(
+        "device_id",
+        "organization_id",
+        "alert_id",
+        "recipient_email",
+        "subject",
+        "body",
+        "alert_detail_json",
+        F.lit(notices.QUEUE_STATUS).alias("status"),
+        F.lit(0).alias("retry_count"),
+        F.lit(None).cast("string").alias("error_message"),
+        "event_timestamp",
+        batch_time.alias("queued_time"),
+        F.lit(None).cast("timestamp").alias("processed_time"),
+        batch_time.alias("create_time"),
+        batch_time.alias("update_time"),
     )
 
 

@@ -154,6 +154,18 @@ def test_mail(spark):
     assert (row.status, row.retry_count, row.error_message) == ("PENDING", 0, None)
 
 
+def test_mail_texts_are_written_once_per_firing(spark):
+    result = run(spark, [(1, 6, True)], [(1, 0, 0, None, None)])
+    people = spark.createDataFrame(
+        [(1, "a@example.test", True)], "organization_id int, email_address string, is_active boolean"
+    )
+    items = spark.createDataFrame([(2, "other")], "measurement_item_id int, measurement_item_name string")
+    rows = changes.mail_rows(result.firings, people, items, F.lit(NOW))
+    # Under the join with recipients, and unpacked there, or each of its rows would write them anew.
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("Join Inner") < plan.find("Generate inline") < plan.find("StructsToJson")
+
+
 def test_status_adds_to_the_stored_count(spark):
     result = run(spark, [(1, 6, True), (2, 7, True)], [(1, 0, 0, None, None), (2, 0, 0, None, None)])
     status = spark.createDataFrame([(1, 4)], "device_id int, alert_count long")

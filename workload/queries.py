@@ -287,17 +287,31 @@ def q_mail_queue(v: Views) -> DataFrame:
 
 @query
 def q_mail_detail(v: Views) -> DataFrame:
-    """The fields of the detail text of every queued mail."""
-    rows = changes.mail_rows(_changes(v).firings, v.mail_setting, v.measurement_item, _now())
+    """The fields of the detail text of every queued mail, read once per firing."""
+    mail = changes.mails(_changes(v).firings, v.measurement_item)
     text = lambda name: F.get_json_object("alert_detail_json", f"$.{name}")
-    numbers = ("alert_id", "measurement_item_id", "alert_level_id", "device_id", "organization_id")
-    return rows.select(
-        "recipient_email",
+    numbers = ("alert_id", "measurement_item_id", "alert_level_id", "device_id")
+    fields = F.struct(
+        text("organization_id").cast("int").alias("told_organization"),
         *[text(name).cast("int").alias(name) for name in numbers],
         *[text(name).alias(name) for name in ("alert_name", "measurement_item_name", "operator")],
         text("threshold").cast("double").alias("threshold"),
         F.try_to_timestamp(text("detected_at")).alias("detected_at"),
     )
+    told = mail.select("organization_id", F.inline(F.array(fields)))
+    return changes.to_recipients(told, v.mail_setting).select(
+        "recipient_email",
+        "alert_id",
+        "measurement_item_id",
+        "alert_level_id",
+        "device_id",
+        F.col("told_organization").alias("organization_id"),
+        "alert_name",
+        "measurement_item_name",
+        "operator",
+        "threshold",
+        "detected_at",
+    )
 
 
 @query
