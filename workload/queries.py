@@ -384,10 +384,13 @@ def _in_quarters(v: Views) -> list[DataFrame]:
 
 
 def _replay_in_batches(batches: list[DataFrame], hot: DataFrame | None, slices: int | None) -> DataFrame:
-    """Episodes of batches that each carry on from the state the one before left."""
+    """Episodes of batches that each carry on from the state the one before left.
+
+    A judged batch is written once, for its episodes and for its state.
+    """
     state, found = None, None
     for batch in batches:
-        judged = replay.judge_in_order(replay.replay_rows(batch, carried=state), hot, slices)
+        judged = materialise(replay.judge_in_order(replay.replay_rows(batch, carried=state), hot, slices))
         episodes = replay.episodes(judged)
         found = episodes if found is None else found.unionByName(episodes)
         closing = replay.closing_state(judged)
