@@ -108,13 +108,12 @@ class EpisodeProcessor(StatefulProcessor):
         if len(waiting):
             self._wake(episode, int(waiting["at"].min()))
         self._store(episode)
-        yield _output(key, [])
+        return _output(key, [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         episode = self._load()
         if episode.timer != expiredTimerInfo.getExpiryTimeInMs():
-            yield _output(key, [])
-            return
+            return _output(key, [])
         episode.timer = None
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         waiting = np.sort(np.frombuffer(episode.waiting, WAITING), order=["at", "normal", "seq"])
@@ -128,12 +127,11 @@ class EpisodeProcessor(StatefulProcessor):
                 found.append((SILENT, episode.start, episode.last, None))
                 if not episode.exceeded:
                     self._episode.clear()
-                    yield _output(key, found)
-                    return
+                    return _output(key, found)
             else:
                 self._wake(episode, episode.last + self._silence)
         self._store(episode)
-        yield _output(key, found)
+        return _output(key, found)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         stored = initialState.iloc[0]
@@ -153,18 +151,23 @@ class EpisodeProcessor(StatefulProcessor):
         pass
 
 
-def _output(key, found: list[tuple]) -> pd.DataFrame:
-    kinds, starts, times, values = zip(*found) if found else ([], [], [], [])
-    return pd.DataFrame(
+def _output(key, found: list[tuple]) -> Iterator[pd.DataFrame]:
+    """A frame of what was found, and none if nothing was: a frame costs more than most events."""
+    if not found:
+        return iter(())
+    kinds, starts, times, values = zip(*found)
+    frame = pd.DataFrame(
         {
-            "device_id": pd.array([key[0]] * len(kinds), "Int32"),
-            "alert_id": pd.array([key[1]] * len(kinds), "Int32"),
-            "kind": pd.array(list(kinds), "object"),
-            "start": pd.array(list(starts), "Int64"),
-            "at": pd.array(list(times), "Int64"),
-            "value": pd.array(list(values), "Float64"),
+            "device_id": np.full(len(found), key[0], np.int32),
+            "alert_id": np.full(len(found), key[1], np.int32),
+            "kind": np.array(kinds, object),
+            "start": np.array(starts, object),
+            "at": np.array(times, np.int64),
+            # What is no number becomes NULL.
+            "value": np.array(values, np.float64),
         }
     )
+    return iter((frame,))
 
 
 @dataclass

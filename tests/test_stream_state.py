@@ -18,7 +18,7 @@ from test_streaming import clock, land, make_masters, run_stream
 from coldtrace.operators import alerts, correlate, replay
 from coldtrace.schemas import SENSORS
 from coldtrace.streaming.correlation import CorrelationStream
-from coldtrace.streaming.episodes import Episode, EpisodeStream
+from coldtrace.streaming.episodes import Episode, EpisodeStream, _output
 from coldtrace.streaming.minutes import MinuteStream
 from coldtrace.streaming.pipeline import Pipeline, SinkError
 from coldtrace.streaming.tables import DatedTable, KeyedTable
@@ -297,3 +297,10 @@ def test_finished_dates_are_rewritten_and_read_once(spark, root):
     table.compact(spark, at("2024-01-03").date())
     assert held() == [*range(40), 100, 101, 102, 200]
     assert not os.path.exists(f"{root}/silver_packed/run=2")
+
+
+def test_a_key_without_a_finding_hands_over_no_frame():
+    assert list(_output((1, 10), [])) == []
+    frame, = _output((1, 10), [("fired", 1, 2, 0.5), ("silent", None, 3, None)])
+    assert frame["kind"].tolist() == ["fired", "silent"] and frame["start"].tolist() == [1, None]
+    assert frame["value"].isna().tolist() == [False, True]
