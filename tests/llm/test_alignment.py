@@ -151,3 +151,20 @@ def test_ranks_give_the_merged_tokens():
     texts = [t for (t,) in rows] + [t for t in messy_texts() if t] + ["   a\t \n b'll don't '' x1y2 \u00a0\x85 \x1c z", "<|endoftext|>"]
     for text in texts:
         assert ranked.ids(text).tolist() == own.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_windows_of_equal_and_repeated_pairs():
+    memory = alignment.Windows(*alignment._tokenizers(A, B))
+    first, second = memory.first, memory.second
+    found = alignment.spelled_texts(first, second, ["a a a a b", "a a a a b", "----" * 40])
+    ends = list(zip(found.edges_a[:-1].tolist(), found.edges_a[1:].tolist(), found.edges_b[:-1].tolist(), found.edges_b[1:].tolist()))
+    numbers = memory.numbers(found.a, found.b, ends)
+    assert numbers == [0, 0, 1] and memory.numbers(found.a, found.b, ends) == numbers
+    for number, (i, j, k, m) in zip((0, 1), (ends[0], ends[2])):
+        at = slice(memory.edges[number], memory.edges[number + 1])
+        pairs, times = memory.pairs[at], memory.times[at]
+        # Every pair once, and all links of the window counted.
+        assert len(set(pairs)) == len(pairs) and sum(times) == memory.links[number]
+        assert {p >> alignment.BITS for p in pairs} == set(found.a[i:j].tolist())
+        assert {p & (1 << alignment.BITS) - 1 for p in pairs} == set(found.b[k:m].tolist())
+    assert max(memory.times[: memory.edges[1]]) > 1
