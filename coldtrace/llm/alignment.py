@@ -39,6 +39,8 @@ PARTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s
 REMEMBERED = 3 << 16
 #: Bytes of a block of documents, about.
 BLOCK = "4m"
+#: Bytes of a row group of the table of blocks.
+ROW_GROUP = 32 << 20
 #: Four bytes that are no id, between the ids of both sides of a window.
 NO_ID = b"\xff" * 4
 #: An id pair as one number: ids of the second tokenizer have so many bits.
@@ -155,12 +157,13 @@ class Windows:
 
     def numbers(self, a: np.ndarray, b: np.ndarray, ends: Iterable[tuple[int, int, int, int]]) -> list[int]:
         """Numbers of the windows of ids i to j of `a` and k to m of `b`, for every (i, j, k, m)."""
-        bytes_a, bytes_b, list_a, list_b = a.tobytes(), b.tobytes(), a.tolist(), b.tolist()
+        bytes_a, bytes_b = a.tobytes(), b.tobytes()
         known, width_a, width_b, numbers = self.known, a.itemsize, b.itemsize, []
         for i, j, k, m in ends:
             key = bytes_a[i * width_a : j * width_a] + NO_ID + bytes_b[k * width_b : m * width_b]
             found = known.get(key)
-            numbers.append(self._add(key, list_a[i:j], list_b[k:m]) if found is None else found)
+            # Ids become Python numbers for new windows only, not for the whole block.
+            numbers.append(self._add(key, a[i:j].tolist(), b[k:m].tolist()) if found is None else found)
         return numbers
 
     def clear(self) -> None:
@@ -223,27 +226,18 @@ class Spelled:
 
 def spelled_texts(first: Tokenizer, second: Tokenizer, texts: list[str | None]) -> Spelled:
     """Tokenizes whole texts and keeps those that the tokens of both sides spell byte by byte."""
-    rows, spellings, ids = [], [], []
+    rows, ids = [], []
     for row, text in enumerate(texts):
         if text:
             spelling = b" " + text.encode()
             a, b = first.ids(text), second.ids(text)
             if first.size[a].sum() == len(spelling) == second.size[b].sum():
-                rows.append(row)
-                spellings.append(spelling)
-                ids.append((a, b))
-    wanted = np.frombuffer(b"".join(spellings), np.uint8)
-    begins = np.r_[0, np.cumsum([len(x) for x in spellings])].astype(np.int64)
-    wrong = np.zeros(len(rows), bool)
-    for side, tokenizer in enumerate((first, second)):
-        made = tokenizer.bytes_of(_joined([x[side] for x in ids]))
-        bad = np.flatnonzero(made != wanted)
-        wrong[np.searchsorted(begins, bad, "right") - 1] = True
-    kept = [x for x, no in zip(ids, wrong) if not no]
-    edges = [np.r_[0, np.cumsum([len(x[side]) for x in kept])].astype(np.int64) for side in (0, 1)]
-    return Spelled(
-        np.array(rows, np.int64)[~wrong], _joined([x[0] for x in kept]), _joined([x[1] for x in kept]), *edges
-    )
+                # Text by text: places in the spellings take many times the bytes of what is compared.
+                if first.bytes_of(a).tobytes() == spelling == second.bytes_of(b).tobytes():
+                    rows.append(row)
+                    ids.append((a, b))
+    edges = [np.r_[0, np.cumsum([len(x[side]) for x in ids])].astype(np.int64) for side in (0, 1)]
+    return Spelled(np.array(rows, np.int64), _joined([x[0] for x in ids]), _joined([x[1] for x in ids]), *edges)
 
 
 def _joined(parts: list[np.ndarray]) -> np.ndarray:
@@ -255,12 +249,20 @@ def _hashes(ids: np.ndarray, cuts: np.ndarray, seed: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         base = np.uint64(0x9E3779B97F4A7C15 + 2 * seed)
         back = np.uint64(pow(int(base), -1, 1 << 64))
-        steps = np.ones((2, len(ids) + 1), np.uint64)
-        steps[0, 1:], steps[1, 1:] = base, back
-        up, down = np.cumprod(steps, axis=1, dtype=np.uint64)
-        sums = np.r_[np.uint64(0), np.cumsum(mix(ids.astype(np.uint64), seed) * up[1:], dtype=np.uint64)]
+        # The powers of one base exist at a time.
+        sums = np.zeros(len(ids) + 1, np.uint64)
+        terms = mix(ids.astype(np.uint64), seed)
+        terms *= _powers(base, len(ids))[1:]
+        np.cumsum(terms, out=sums[1:])
+        del terms
         lengths = np.diff(cuts).astype(np.uint64)
-        return mix((sums[cuts[1:]] - sums[cuts[:-1]]) * down[cuts[:-1]] + lengths, seed + 1)
+        return mix((sums[cuts[1:]] - sums[cuts[:-1]]) * _powers(back, len(ids))[cuts[:-1]] + lengths, seed + 1)
+
+
+def _powers(base: np.uint64, count: int) -> np.ndarray:
+    powers = np.full(count + 1, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, out=powers)
 
 
 def windows_of(first: Tokenizer, second: Tokenizer, found: Spelled) -> tuple[np.ndarray, np.ndarray]:
@@ -269,12 +271,17 @@ def windows_of(first: Tokenizer, second: Tokenizer, found: Spelled) -> tuple[np.
     A window begins where a token of both sides does and both begin with a blank; each text begins one,
     with the blank in front of it.
     """
-    starts = [np.cumsum(side.size[ids]) - side.size[ids] for side, ids in ((first, found.a), (second, found.b))]
-    marked = [np.flatnonzero(side.blank[ids]) for side, ids in ((first, found.a), (second, found.b))]
-    _, at_a, at_b = np.intersect1d(
-        starts[0][marked[0]], starts[1][marked[1]], assume_unique=True, return_indices=True
-    )
-    return np.r_[marked[0][at_a], len(found.a)], np.r_[marked[1][at_b], len(found.b)]
+    marked_a, starts_a = _blanks(first, found.a)
+    marked_b, starts_b = _blanks(second, found.b)
+    _, at_a, at_b = np.intersect1d(starts_a, starts_b, assume_unique=True, return_indices=True)
+    return np.r_[marked_a[at_a], len(found.a)], np.r_[marked_b[at_b], len(found.b)]
+
+
+def _blanks(side: Tokenizer, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the ids that begin with a blank, and the bytes before each of them."""
+    marked = np.flatnonzero(side.blank[ids])
+    sizes = side.size[ids]
+    return marked, np.cumsum(sizes)[marked] - sizes[marked]
 
 
 def numbered_windows(memory: Windows, found: Spelled, cuts_a: np.ndarray, cuts_b: np.ndarray) -> np.ndarray:
@@ -290,7 +297,8 @@ def numbered_windows(memory: Windows, found: Spelled, cuts_a: np.ndarray, cuts_b
         if (hash_a == hash_a[at][back]).all() and (hash_b == hash_b[at][back]).all():
             break
         seed += 1
-    ends = zip(cuts_a[at].tolist(), cuts_a[at + 1].tolist(), cuts_b[at].tolist(), cuts_b[at + 1].tolist())
+    # Read one number at a time: as lists they would take five times the bytes.
+    ends = zip(*map(memoryview, (cuts_a[at], cuts_a[at + 1], cuts_b[at], cuts_b[at + 1])))
     return np.array(memory.numbers(found.a, found.b, ends), np.int64)[back]
 
 
@@ -329,9 +337,8 @@ def align_block(memory: Windows, block: int, doc_ids: pa.Array, texts: list[str
         running = np.r_[0, np.cumsum(values[numbers])] if len(numbers) else np.zeros(1, np.int64)
         figures[name] = running[begins[1:]] - running[begins[:-1]]
     digests = [""] * n
-    listed = numbers.tolist()
     for row, i, j in zip(found.rows.tolist(), begins[:-1].tolist(), begins[1:].tolist()):
-        whole = ";".join([memory.text[k] for k in listed[i:j]])
+        whole = ";".join([memory.text[k] for k in numbers[i:j].tolist()])
         digests[row] = hashlib.sha256(whole.encode()).hexdigest()
     used, local = np.unique(numbers, return_inverse=True)
     of_text = np.repeat(np.arange(count), np.diff(begins))
@@ -432,7 +439,8 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> tuple[DataFrame, DataFra
             yield align_block(memory, (part << 32) + number, batch.column("doc_id"), texts)
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    blocks = materialise(narrow.mapInArrow(aligned, ALIGNED))
+    # A row of this table holds megabytes: with small row groups a task keeps few of them until it writes.
+    blocks = materialise(narrow.mapInArrow(aligned, ALIGNED), **{"parquet.block.size": ROW_GROUP})
     of_block = blocks.filter("row = 0").select("block", F.explode(F.arrays_zip("pairs", "holders")).alias("x"))
     of_block = of_block.select("block", F.col("x.pairs").alias("pair"), F.col("x.holders").alias("holders"))
     counts = materialise(of_block.groupBy("pair").agg(F.sum("holders").alias("n")))

@@ -76,9 +76,12 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/coldtrace-{spark.sparkContext.applicationId}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared folder and continue from the written table."""
+def materialise(df: DataFrame, **options) -> DataFrame:
+    """Write `df` once to the shared folder and continue from the written table.
+
+    `options` are those of the writer.
+    """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -134,6 +134,20 @@ def test_a_block_does_not_copy_the_memory():
     assert all(isinstance(key, bytes) for key in memory.known)
 
 
+def test_a_block_takes_few_bytes_for_each_of_its_texts():
+    draw = random.Random(5)
+    texts = [sentence(draw, 400) for _ in range(300)]
+    memory = alignment.Windows(*alignment._tokenizers(A, B))
+    ids = pa.array(range(len(texts)), pa.int64())
+    once = alignment.align_block(memory, 0, ids, texts)
+    tracemalloc.start()
+    again = alignment.align_block(memory, 0, ids, texts)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert again == once
+    assert peak < 45 * sum(map(len, texts))
+
+
 def test_wide_groups_are_counted():
     found = {}
     alignment.linked_pairs([1, 2, 1] * 5, [7] * 9, found)
