@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -9,12 +10,14 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coldtrace.operators import parse
 from coldtrace.schemas import DEVICE_STATUS, MESSAGE
-from coldtrace.session import adaptive_as_in
+from coldtrace.session import DROP_SHUFFLES, adaptive_as_in
 from coldtrace.sources import messages
 from coldtrace.streaming import monitor
 from coldtrace.streaming.pipeline import Masters, Pipeline, SinkError
 from coldtrace.streaming.tables import KeyedTable, current_history, epoch_of
+from workload.queries import _land, land_in_order
 
 BEGIN = at("2024-01-01")
 
@@ -233,3 +236,59 @@ def test_a_missing_generation_is_an_error(spark, root):
 def test_replay_does_not_take_unknown_outcomes_as_normal(spark, root):
     with pytest.raises(ValueError):
         Pipeline(spark, root, make_masters(spark), mode="replay", null_policy="reset")
+
+
+def test_files_of_a_date_follow_its_own_rows(spark, root, monkeypatch):
+    monkeypatch.setattr("coldtrace.streaming.pipeline.FILE_ROWS", 4)
+    land(spark, f"{root}/landing", [(1, 720 * n, 4.0) for n in range(12)])
+    pipeline = Pipeline(spark, f"{root}/tables", make_masters(spark), clock=clock)
+    pipeline.run_once(spark.read.schema(MESSAGE).parquet(f"{root}/landing"))
+    files = pipeline.silver.read(spark).withColumn("file", F.input_file_name()).groupBy("event_date").agg(
+        F.countDistinct("file").alias("files"), F.count("*").alias("rows")
+    )
+    # Six dates of two rows each, none of which fills a file.
+    assert [(r.files, r.rows) for r in files.collect()] == [(1, 2)] * 6
+
+
+def test_a_held_message_has_what_it_is_stored_with(spark, root):
+    land(spark, f"{root}/landing", [(1, 0, 9.0), (2, 0, 9.0)])
+    raw = spark.read.schema(MESSAGE).parquet(f"{root}/landing")
+    odd = [b"{bad}", b"text", None, b'{"device_id":1,"event_timestamp":"no"}', b'{"event_timestamp":"2024-01-01"}\n']
+    rows = [(None if n else b"7", value, "t", 0, 50 + n, BEGIN) for n, value in enumerate(odd)]
+    decoded = parse.decode(raw.unionByName(spark.createDataFrame(rows, MESSAGE)))
+    plain = lambda frame: rows_of(frame.withColumn("document", F.col("document").cast("string")))
+    told = parse.told_apart(decoded, texts=True)
+    assert plain(parse.accepted_of(told)) == plain(parse.accepted(decoded))
+    assert rows_of(parse.rejected_of(told)) == rows_of(parse.quarantine(decoded))
+    assert told.agg(*parse.stage_counts_of_told()).first() == decoded.agg(*parse.stage_counts()).first()
+    kinds = told.groupBy(F.col("reason").isNull().alias("kept")).agg(F.count("value"), F.count("raw_json"), F.count("document"))
+    assert sorted(tuple(r) for r in kinds.collect()) == [(False, 4, 0, 0), (True, 0, 2, 2)]
+    assert "raw_json" not in parse.told_apart(decoded).columns
+
+
+def test_landing_leaves_no_shuffle_behind(spark, root):
+    disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disks.getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffles()
+    _land(spark.range(100), f"{root}/landing", make=lambda rows: rows.withColumn("twice", F.col("id") * 2))
+    until = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert shuffles() <= before
+    landed = spark.read.parquet(f"{root}/landing")
+    assert sorted(tuple(r) for r in landed.collect()) == [(n, 2 * n) for n in range(100)]
+    assert spark.conf.get(DROP_SHUFFLES, "false") == "false"
+
+
+def test_what_is_made_of_parts_is_landed_in_order(spark, root):
+    rows = spark.range(100).select(F.when(F.col("id") > 0, F.col("id")).alias("id"))
+    stream = land_in_order(rows, "id", f"{root}/landing", 3, make=lambda part: part.withColumn("twice", F.col("id") * 2))
+    assert stream.isStreaming and stream.columns == ["id", "twice"]
+    landed = spark.read.parquet(f"{root}/landing").withColumn("file", F.input_file_name())
+    assert landed.select("file").distinct().count() == 12
+    assert sorted((r.id or 0, r.twice or 0) for r in landed.collect()) == [(n, 2 * n) for n in range(100)]
