@@ -292,3 +292,27 @@ def test_what_is_made_of_parts_is_landed_in_order(spark, root):
     landed = spark.read.parquet(f"{root}/landing").withColumn("file", F.input_file_name())
     assert landed.select("file").distinct().count() == 12
     assert sorted((r.id or 0, r.twice or 0) for r in landed.collect()) == [(n, 2 * n) for n in range(100)]
+
+
+def test_mails_of_few_firings_are_written_by_many_tasks(spark, root, monkeypatch):
+    masters = make_masters(spark)
+    names = [(1 + n % 2, f"{n}@example.test", n % 5 > 0) for n in range(100)]
+    mail = spark.createDataFrame(names, "organization_id int, email_address string, is_active boolean")
+    masters.mail_settings = lambda: mail
+    # An episode fires in its own batch when it is judged event by event.
+    land(spark, f"{root}/landing", [(1, minute, value) for start in range(0, 60, 10) for minute, value in ((start, 9.0), (start + 6, 9.0), (start + 8, 1.0))])
+    raw = spark.read.schema(MESSAGE).parquet(f"{root}/landing")
+
+    def queue(name):
+        pipeline = Pipeline(spark, f"{root}/{name}", masters, mode="replay", clock=clock)
+        report = {r.sink: r for r in pipeline.run_once(raw).collect()}
+        rows = pipeline.mail.read(spark)
+        assert report["email_queue"].metrics == {"rows": rows.count()}
+        return rows_of(rows), rows.select(F.input_file_name()).distinct().count()
+
+    plain, files = queue("plain")
+    assert len(plain) == 6 * 40 and files == 1
+    monkeypatch.setattr("coldtrace.streaming.pipeline.FILE_ROWS", 4)
+    monkeypatch.setattr("coldtrace.operators.changes.MAIL_ROWS", 50)
+    spread, files = queue("spread")
+    assert spread == plain and files > 1
